@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import HOUR, axis, latest, row_index, scan, small, upcoming
+from tidemark.operators.ordered import HOUR, axis, fits, latest, row_index, scan, upcoming
 
 
 def _timeline(a: DataFrame, b: DataFrame, by: Sequence[str], ts: str, cols: Sequence[str], width: float) -> DataFrame:
@@ -116,23 +116,44 @@ def aligned(a: DataFrame, b: DataFrame, on: Sequence[str], how: str = "full") ->
     return a.join(b, list(on), how)
 
 
-def effective(df: DataFrame, dim: DataFrame, at: str, valid_from: str, by: Sequence[str] = (), first_if_none: bool = True) -> DataFrame:
+def effective(df: DataFrame, dim: DataFrame, at: str, valid_from: str, by: Sequence[str] = (), first_if_none: bool = True, width: float = 720 * HOUR) -> DataFrame:
     """Newest dimension row valid at a time, else the first one (or none).
 
-    The dimension must be small; its size is checked before it is broadcast.
+    A dimension of a few rows is broadcast after its size is checked; a long one is looked up
+    along the time line like any other series.
     """
-    w = Window.partitionBy(*by).orderBy(valid_from)
-    opened = F.when(F.row_number().over(w) == 1, F.lit(None)).otherwise(F.col(valid_from)) if first_if_none else F.col(valid_from)
-    spans = dim.withColumns({"_open": opened, "_close": F.lead(valid_from).over(w), "_any": F.lit(True)})
-    renamed = spans.select(*[F.col(c).alias(f"_k_{c}") if c in by else F.col(c) for c in spans.columns])
-    match = [F.col(k) == F.col(f"_k_{k}") for k in by]
-    inside = (F.col("_open").isNull() | (F.col("_open") <= F.col(at))) & (F.col("_close").isNull() | (F.col(at) < F.col("_close")))
-    if not first_if_none:
-        inside = (F.col("_open") <= F.col(at)) & (F.col("_close").isNull() | (F.col(at) < F.col("_close")))
-    for m in match:
-        inside = inside & m
-    joined = df.join(small(renamed, 10_000), inside, "left")
-    return joined.drop("_open", "_close", "_any", *[f"_k_{k}" for k in by])
+    if not fits(dim, 2_000):
+        return _effective_timeline(df, dim, at, valid_from, by, first_if_none, width)
+    w = Window.partitionBy(*(by or [F.lit(1)])).orderBy(valid_from)
+    opened = F.col(valid_from)
+    if first_if_none:
+        opened = F.when(F.row_number().over(w) > 1, opened)
+    spans = dim.withColumns({"_open": opened, "_close": F.lead(valid_from).over(w)})
+    for k in by:
+        spans = spans.withColumnRenamed(k, f"_k_{k}")
+    since = F.col("_open") <= F.col(at)
+    inside = (since | F.col("_open").isNull()) if first_if_none else since
+    inside = inside & (F.col("_close").isNull() | (F.col(at) < F.col("_close")))
+    for k in by:
+        inside = inside & (F.col(k) == F.col(f"_k_{k}"))
+    joined = df.join(F.broadcast(spans), inside, "left")
+    return joined.drop("_open", "_close", *[f"_k_{k}" for k in by])
+
+
+def _effective_timeline(df: DataFrame, dim: DataFrame, at: str, valid_from: str, by: Sequence[str], first_if_none: bool, width: float) -> DataFrame:
+    keys = list(by) or ["_all"]
+    facts = df if by else df.withColumn("_all", F.lit(1))
+    rows = dim if by else dim.withColumn("_all", F.lit(1))
+    cols = [c for c in dim.columns if c not in by]
+    rows = rows.select(*keys, F.col(valid_from).alias(at), F.struct(*cols).alias("_row"))
+    near = _timeline(facts, rows, keys, at, ["_row"], width)
+    if first_if_none:
+        first = rows.groupBy(*keys).agg(F.min_by("_row", at).alias("_first"))
+        near = near.join(first, keys, "left")
+        found = F.coalesce("_row_0", "_first")
+    else:
+        found = F.col("_row_0")
+    return near.withColumn("_found", found).select(*df.columns, "_found.*")
 
 
 def contains_event(intervals: DataFrame, events: DataFrame, by: Sequence[str], start: str, end: str, at: str, name: str) -> DataFrame:

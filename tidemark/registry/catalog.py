@@ -4,7 +4,7 @@ import importlib
 
 from tidemark.registry.core import ORACLE, QUERIES
 
-MODULES = ("cleaning", "joins")
+MODULES = ("cleaning", "joins", "aggregates")
 
 for _name in MODULES:
     importlib.import_module(f"tidemark.registry.{_name}")
