@@ -337,19 +337,21 @@ def flash_counts(
     return frames(marked, by, idx, window // 2, (window - 1) // 2, count, size).drop("_high", "_low")
 
 
-def flash_rates(counts: DataFrame, flow: DataFrame, by: Sequence[str], seconds: int = 15, per_litre: float = 1000.0) -> DataFrame:
+def flash_rates(counts: DataFrame, flow: DataFrame, by: Sequence[str], seconds: int = 15, per_litre: float = 1000.0, grid: float = 1.0) -> DataFrame:
     """Flashes per litre on the one-second grid: mean count, per second, per flow (mL/s)."""
-    means = resample_mean(counts, by, "us", ["high", "low"], 1.0, centred=False)
+    means = resample_mean(counts, by, "us", ["high", "low"], grid, centred=False)
     both = means.join(flow, [*by, "us"], "left")
     rate = {f"nbflash_{c}": F.col(c) / seconds / F.col("flow") * per_litre for c in ("high", "low")}
     return both.withColumns(rate).drop("high", "low", "flow")
 
 
-def flash_intensity(env: DataFrame, by: Sequence[str], idx: str, x: str, window: int = 900, size: int = 100_000) -> DataFrame:
+def flash_intensity(
+    env: DataFrame, by: Sequence[str], idx: str, x: str, window: int = 900, size: int = 100_000, grid: float = 1.0
+) -> DataFrame:
     """Rolling maximum above the middle background, mean per second."""
     above = env.withColumn("_above", F.col(x) - F.col("med_bg"))
     rolled = frames(above, by, idx, window // 2, (window - 1) // 2, {"intflash": lambda w: F.max("_above").over(w)}, size)
-    return resample_mean(rolled, by, "us", ["intflash"], 1.0, centred=False)
+    return resample_mean(rolled, by, "us", ["intflash"], grid, centred=False)
 
 
 # --- low-pass filter ------------------------------------------------------------------------

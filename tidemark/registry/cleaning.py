@@ -303,13 +303,14 @@ def cln17(spark, sf):
 
 @query(
     "cln18_counter_wraps",
-    """WITH c AS (SELECT series, idx, (idx*997 + CAST(floor(value) AS BIGINT)) % 65536 AS counter FROM rate60),
+    """WITH c AS (SELECT series, idx, CASE idx % 50 WHEN 48 THEN 65535 WHEN 49 THEN 1 + CAST(floor(value) AS BIGINT) % 8 ELSE (idx % 50)*10 END AS counter FROM rate60),
     d AS (SELECT *, counter - lag(counter) OVER (PARTITION BY series ORDER BY idx) AS step FROM c)
     SELECT series, idx, counter + 65537 * count(*) FILTER (WHERE step > -65540 AND step < -65530) OVER (PARTITION BY series ORDER BY idx) AS counter FROM d""",
     ("rate60",),
 )
 def cln18_wraps(spark, sf):
-    counter = (F.col("idx") * 997 + F.floor("value")) % 65536
+    place = F.col("idx") % 50
+    counter = F.when(place == 48, 65535).when(place == 49, 1 + F.floor("value") % 8).otherwise(place * 10)
     return clean.correct_counter_wraps(
         fx.rate60(spark, sf).select("series", "idx", counter.alias("counter")), axis("series", "idx", 700), "counter"
     )
