@@ -4,7 +4,7 @@ import importlib
 
 from tidemark.registry.core import ORACLE, QUERIES
 
-MODULES = ("cleaning", "joins", "aggregates", "formulas", "signals", "particles", "reading")
+MODULES = ("cleaning", "joins", "aggregates", "formulas", "signals", "particles", "reading", "jobs")
 
 for _name in MODULES:
     importlib.import_module(f"tidemark.registry.{_name}")

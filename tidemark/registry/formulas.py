@@ -176,7 +176,7 @@ HS2 = dict(mu=4.3, temp_coeff=-1.2e-3, cal_temp=19.0, gains=GAINS, nominal=4871.
 
 
 def absorption_sql(w):
-    cell = (w - 400) // 10
+    cell = min((w - 400) // 10, len(optics.ABSORPTION) - 2)
     a, b = optics.ABSORPTION[cell], optics.ABSORPTION[cell + 1]
     star = f"({a!r} + ({b!r} - {a!r})*{(w - 400 - cell * 10) / 10!r})"
     return f"(0.06*{star}*pow(0.1, 0.65)*(1 + 0.2*exp(-0.014*{w - 440})) + 0.01*exp(-0.011*{w - 400}))"

@@ -20,9 +20,10 @@ def stream_means(stream: DataFrame, by: Sequence[str], ts: str, value: str, bin_
     )
 
 
-def open_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 100) -> DataFrame:
+def open_stream(spark: SparkSession, path: str, schema: T.StructType, names: str = "*.parquet", files_per_batch: int = 100) -> DataFrame:
     """Parquet files as they arrive in a folder."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    return reader.option("pathGlobFilter", names).parquet(path)
 
 
 def write_means(means: DataFrame, path: str, checkpoint: str) -> None:
