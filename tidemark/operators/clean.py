@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 from tidemark.operators.ordered import (
     Axis,
     following,
+    order_value,
     previous,
     quantiles,
     row_index,
     running,
     scan,
     small,
-    upcoming,
 )
+from tidemark.session import durable
 
 
 def keep_monotonic(df: DataFrame, ax: Axis, ts: str = "ts") -> DataFrame:
@@ -49,8 +50,9 @@ def drop_time_spikes(df: DataFrame, ax: Axis, t: str, threshold: float = 10.0) -
     steps = scan(df, ax, _prev=previous(F.col(t)), _next=following(F.col(t))).withColumns(
         {"_in": F.col(t) - F.col("_prev"), "_out": F.col("_next") - F.col(t)}
     )
+    steps = durable(steps)
     by = list(ax.by)
-    middle = quantiles(steps, by, "_in", {"_med": 0.5})
+    middle = durable(quantiles(steps, by, "_in", {"_med": 0.5}))
     spread = steps.select(*by, "_in").join(middle, by).withColumn("_dev", F.abs(F.col("_in") - F.col("_med")))
     mad = quantiles(spread, by, "_dev", {"_mad": 0.5})
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
@@ -255,14 +257,14 @@ def to_degrees(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def fix_lon_sign(df: DataFrame, by: Sequence[str], lon: str, order: Sequence[str]) -> DataFrame:
     """Negate a series' longitudes when its first one is positive."""
-    first = df.groupBy(*by).agg(F.min_by(lon, F.struct(*order)).alias("_first"))
+    first = df.groupBy(*by).agg(F.min_by(lon, order_value(order)).alias("_first"))
     signed = F.when(F.col("_first") > 0, -F.col(lon)).otherwise(F.col(lon))
     return df.join(first, list(by)).withColumn(lon, signed).drop("_first")
 
 
 def relative(df: DataFrame, by: Sequence[str], cols: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Values relative to the first sample of the series."""
-    pos = F.struct(*order)
+    pos = order_value(order)
     first = df.groupBy(*by).agg(*[F.min_by(c, pos).alias(f"_{c}") for c in cols])
     moved = {c: F.col(c) - F.col(f"_{c}") for c in cols}
     return df.join(first, list(by)).withColumns(moved).select(df.columns)
@@ -303,8 +305,3 @@ def correct_counter_wraps(df: DataFrame, ax: Axis, counter: str) -> DataFrame:
     flagged = stepped.withColumn("_wrap", F.when(fell, 1).otherwise(0))
     counted = scan(flagged, ax, _wraps=running("sum", F.col("_wrap")))
     return counted.withColumn(counter, F.col(counter) + F.col("_wraps") * 65537).drop("_step", "_wrap", "_wraps")
-
-
-def next_valid(df: DataFrame, ax: Axis, col: str, valid: Column, name: str) -> DataFrame:
-    """The next valid value at or after each row."""
-    return scan(df, ax, **{name: upcoming(F.when(valid, F.col(col)))})

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -55,8 +56,12 @@ class Axis:
         return df.withColumn(CHUNK, F.floor(number(df, self.order[0]) / F.lit(self.width)))
 
     def position(self) -> Column:
-        """One value that orders the rows; a single column keeps the totals in hash aggregation."""
-        return F.col(self.order[0]) if len(self.order) == 1 else F.struct(*self.order)
+        return order_value(self.order)
+
+
+def order_value(order: Sequence[str]) -> Column:
+    """One value that orders the rows; a single column keeps ``min_by`` in hash aggregation."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
 def axis(by: str | Sequence[str], order: str | Sequence[str], width: float = HOUR) -> Axis:
@@ -243,54 +248,79 @@ def map_blocks(
     return halo(df, by, idx, size, before, after).groupBy(*by, "_block").applyInPandas(run, schema)
 
 
-def value_counts(df: DataFrame, by: Sequence[str], col: str, splits: int = 256) -> DataFrame:
-    """Distinct values of a group with ``n``, the number of smaller rows ``below`` and ``total``.
+def _value_ranges(df: DataFrame, by: Sequence[str], col: str, splits: int, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct values with their count in value ranges, and the ranges with the rows ``_c`` before.
 
-    The exact order statistics of a group without sorting it in one task: values are counted
-    first (map-side combined), then accumulated in value ranges cut at sketched quantiles. The
-    sketch only balances the ranges; it does not touch the result.
+    Groups of more than ``limit`` rows are cut into ranges at sketched quantiles, all others are
+    one range. The sketch only balances the ranges and does not touch the results; it is written
+    down, because two evaluations could cut differently.
     """
-    if not by:
-        return value_counts(df.withColumn("_all", F.lit(1)), ["_all"], col, splits).drop("_all")
-    counted = (
-        df.where(F.col(col).isNotNull())
-        .groupBy(*by, F.col(col).alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    marks = F.array(*[F.lit(i / splits) for i in range(1, splits)])
-    cuts = df.groupBy(*by).agg(
-        F.array_distinct(F.percentile_approx(col, marks, F.lit(4 * splits))).alias("_cuts")
+    known = df.where(F.col(col).isNotNull())
+    counted = known.groupBy(*by, F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    long = durable(known.groupBy(*by).count().where(F.col("count") > limit).select(*by))
+    if long.isEmpty():
+        ranged = counted.withColumn(CHUNK, F.lit(0))
+    else:
+        marks = F.array(*[F.lit(i / splits) for i in range(1, splits)])
+        sketch = F.percentile_approx(col, marks, F.lit(4 * splits))
+        cuts = known.join(long, list(by), "left_semi").groupBy(*by).agg(F.array_distinct(sketch).alias("_cuts"))
+        smaller = F.size(F.filter("_cuts", lambda c: c < F.col("value")))
+        joined = counted.join(durable(cuts), list(by), "left")
+        ranged = joined.withColumn(CHUNK, F.when(F.col("_cuts").isNull(), 0).otherwise(smaller)).drop("_cuts")
+    sizes = ranged.groupBy(*by, CHUNK).agg(F.sum("n").alias("_n"))
+    order = Window.partitionBy(*by).orderBy(CHUNK)
+    before = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    ranges = sizes.withColumns(
+        {"_c": F.coalesce(before, F.lit(0)), "total": F.sum("_n").over(Window.partitionBy(*by))}
     )
-    cuts = durable(cuts)
-    ranged = counted.join(cuts, list(by), "left").withColumn(
-        CHUNK, F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("value"))), F.lit(0))
-    ).drop("_cuts")
+    return ranged, ranges
+
+
+def _place(ranged: DataFrame, ranges: DataFrame, by: Sequence[str]) -> DataFrame:
     w = Window.partitionBy(*by, CHUNK).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     rows = ranged.withColumn("_below", F.coalesce(F.sum("n").over(w), F.lit(0)))
-    per_range = ranged.groupBy(*by, CHUNK).agg(F.sum("n").alias("_n"))
-    order = Window.partitionBy(*by).orderBy(CHUNK)
-    carry = per_range.select(
-        *by,
-        CHUNK,
-        F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_c"),
-        F.sum("_n").over(Window.partitionBy(*by)).alias("total"),
-    )
-    return rows.join(carry, [*by, CHUNK]).select(
+    return rows.join(ranges, [*by, CHUNK]).select(
         *by, "value", "n", (F.col("_below") + F.col("_c")).alias("below"), "total"
     )
 
 
-def quantiles(df: DataFrame, by: Sequence[str], col: str, probs: dict[str, float]) -> DataFrame:
-    """Exact quantiles with linear interpolation between the two neighbouring ranks."""
-    counted = value_counts(df, by, col)
+def value_counts(df: DataFrame, by: Sequence[str], col: str, splits: int = 256, limit: int = 1_000_000) -> DataFrame:
+    """Distinct values of a group with ``n``, the number of smaller rows ``below`` and ``total``.
+
+    Ranks without sorting a group in one task: values are counted first (map-side combined), then
+    accumulated inside value ranges.
+    """
+    ranged, ranges = _value_ranges(df, by, col, splits, limit)
+    return _place(ranged, ranges, by)
+
+
+def quantiles(
+    df: DataFrame, by: Sequence[str], col: str, probs: dict[str, float], splits: int = 256, limit: int = 1_000_000
+) -> DataFrame:
+    """Exact quantiles with linear interpolation between the two neighbouring ranks.
+
+    Only the value ranges that hold a wanted rank are sorted.
+    """
+    if not by:
+        return quantiles(df.withColumn("_all", F.lit(1)), ["_all"], col, probs, splits, limit).drop("_all")
+    ranged, ranges = _value_ranges(df, by, col, splits, limit)
+
+    def spot(p: float) -> Column:
+        return F.lit(float(p)) * (F.col("total") - 1)
+
+    def holds(rank: Column, first: str, size: str) -> Column:
+        return (F.col(first) <= rank) & (rank < F.col(first) + F.col(size))
+
+    ranks = [f(spot(p)) for p in probs.values() for f in (F.floor, F.ceil)]
+    wanted = ranges.where(reduce(Column.__or__, [holds(r, "_c", "_n") for r in ranks]))
+    placed = _place(ranged.join(wanted.select(*by, CHUNK), [*by, CHUNK], "left_semi"), wanted, by)
     aggs = []
     for name, p in probs.items():
-        spot = F.lit(float(p)) * (F.col("total") - 1)
-        for suffix, rank in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
-            holds = (F.col("below") <= rank) & (rank < F.col("below") + F.col("n"))
-            aggs.append(F.max(F.when(holds, F.col("value"))).alias(f"_{name}_{suffix}"))
-        aggs.append(F.max(spot - F.floor(spot)).alias(f"_{name}_f"))
-    found = counted.groupBy(*by).agg(*aggs)
+        at = spot(p)
+        for suffix, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            aggs.append(F.max(F.when(holds(rank, "below", "n"), F.col("value"))).alias(f"_{name}_{suffix}"))
+        aggs.append(F.max(at - F.floor(at)).alias(f"_{name}_f"))
+    found = placed.groupBy(*by).agg(*aggs)
     return found.select(
         *by,
         *[

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.ordered import HOUR, Axis, axis, following, latest, map_blocks, previous, row_index, scan, upcoming
+from tidemark.operators.ordered import HOUR, Axis, axis, following, frames, latest, map_blocks, previous, scan, upcoming
 
 SECOND = 1_000_000
 
@@ -131,27 +131,25 @@ def interpolate(df: DataFrame, by: Sequence[str], us: str, cols: Sequence[str],
     return near.withColumns(out).select(df.columns)
 
 
-ROLLERS = ("min", "max", "mean", "median", "count", "sum")
-
-
 def rolling(df: DataFrame, by: Sequence[str], idx: str, col: str, fn: str, width: int, out: str, size: int = 50_000) -> DataFrame:
     """Centred rolling statistic of ``width`` rows over a dense index, shorter windows at the ends.
 
-    An even width covers ``-width/2 .. width/2 - 1``. Cheap statistics run as window expressions;
-    the median slides in pandas, because a window expression rebuilds every frame.
+    An even width covers ``-width/2 .. width/2 - 1``. Narrow windows run as window expressions.
+    Those visit every row of every frame, so wide ones slide in pandas, block by block, at a cost
+    per row that does not grow with the width.
     """
     before, after = width // 2, (width - 1) // 2
-    if fn == "median":
-        def slide(block: pd.DataFrame) -> pd.DataFrame:
-            block[out] = block[col].rolling(width, min_periods=1, center=True).median()
-            return block
+    if width <= 16 and fn != "median":
+        make = {"min": F.min, "max": F.max, "mean": F.avg, "count": F.count, "sum": F.sum}[fn]
+        return frames(df, by, idx, before, after, {out: lambda w: make(col).over(w)}, size)
 
-        schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
-        return map_blocks(df, by, idx, before, after, slide, schema, size)
-    from tidemark.operators.ordered import frames
+    def slide(block: pd.DataFrame) -> pd.DataFrame:
+        window = block[col].rolling(width, min_periods=0 if fn == "count" else 1, center=True)
+        block[out] = getattr(window, fn)()
+        return block
 
-    make = {"min": F.min, "max": F.max, "mean": F.avg, "count": F.count, "sum": F.sum}[fn]
-    return frames(df, by, idx, before, after, {out: lambda w: make(col).over(w)}, size)
+    kind = T.LongType() if fn == "count" else T.DoubleType()
+    return map_blocks(df, by, idx, before, after, slide, T.StructType([*df.schema.fields, T.StructField(out, kind)]), size)
 
 
 def slope(df: DataFrame, ax: Axis, x: str, t: str, out: str = "slope") -> DataFrame:
@@ -167,7 +165,3 @@ def gradient(df: DataFrame, ax: Axis, x: str, out: str = "gradient") -> DataFram
     inner = (F.col("_n") - F.col("_p")) / 2
     sided = F.coalesce(F.col("_n") - F.col(x), F.col(x) - F.col("_p"))
     return near.withColumn(out, F.coalesce(inner, sided)).drop("_p", "_n")
-
-
-def indexed(df: DataFrame, by: Sequence[str], order: str, width: float) -> DataFrame:
-    return row_index(df, axis(by, order, width))

@@ -16,7 +16,6 @@ from tidemark.operators.ordered import (
     HOUR,
     axis,
     following,
-    frames,
     latest,
     map_blocks,
     previous,
@@ -25,7 +24,7 @@ from tidemark.operators.ordered import (
     running,
     scan,
 )
-from tidemark.operators.resample import resample_mean
+from tidemark.operators.resample import resample_mean, rolling
 from tidemark.session import durable
 
 ENVELOPE_MIN = 1.5e10
@@ -333,8 +332,8 @@ def flash_counts(
         *by, idx, F.when(F.col(x) > F.col("med_bg") + threshold, 1).alias("_high"), F.when(F.col(x) <= F.col("med_bg") + threshold, 1).alias("_low")
     )
     marked = env.select(*by, idx, "us").join(top, [*by, idx], "left")
-    count = {"high": lambda w: F.count("_high").over(w), "low": lambda w: F.count("_low").over(w)}
-    return frames(marked, by, idx, window // 2, (window - 1) // 2, count, size).drop("_high", "_low")
+    high = rolling(marked, by, idx, "_high", "count", window, "high", size)
+    return rolling(high, by, idx, "_low", "count", window, "low", size).drop("_high", "_low")
 
 
 def flash_rates(counts: DataFrame, flow: DataFrame, by: Sequence[str], seconds: int = 15, per_litre: float = 1000.0, grid: float = 1.0) -> DataFrame:
@@ -350,7 +349,7 @@ def flash_intensity(
 ) -> DataFrame:
     """Rolling maximum above the middle background, mean per second."""
     above = env.withColumn("_above", F.col(x) - F.col("med_bg"))
-    rolled = frames(above, by, idx, window // 2, (window - 1) // 2, {"intflash": lambda w: F.max("_above").over(w)}, size)
+    rolled = rolling(above.select(*by, idx, "us", "_above"), by, idx, "_above", "max", window, "intflash", size)
     return resample_mean(rolled, by, "us", ["intflash"], grid, centred=False)
 
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import HOUR, axis, fits, latest, row_index, scan, upcoming
+from tidemark.operators.ordered import HOUR, axis, fits, latest, scan, upcoming
 
 
 def _timeline(a: DataFrame, b: DataFrame, by: Sequence[str], ts: str, cols: Sequence[str], width: float) -> DataFrame:
@@ -212,7 +212,3 @@ def compare(a: DataFrame, b: DataFrame, on: Sequence[str], col: str) -> DataFram
     left = a.select(*on, F.col(col).alias("a"))
     right = b.select(*on, F.col(col).alias("b"))
     return left.join(right, list(on), "full").withColumn("difference", F.col("a") - F.col("b"))
-
-
-def with_index(df: DataFrame, by: Sequence[str], order: str, width: float, name: str = "idx") -> DataFrame:
-    return row_index(df, axis(by, order, width), name)

@@ -264,7 +264,7 @@ def win19(spark, sf):
 
 @query("win21_simplify")
 def win21(spark, sf):
-    return sec.simplify(fx.track(spark, sf).withColumn("x", F.col("idx") * 0.1), ["series"], "idx", "x", "depth", 1.0, 300)
+    return sec.simplify(fx.track(spark, sf).withColumn("x", F.col("idx") * 0.1), ["series"], "idx", "x", "depth", 1.0)
 
 
 @query(
