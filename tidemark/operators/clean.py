@@ -41,6 +41,17 @@ def in_window(df: DataFrame, windows: DataFrame, by: Sequence[str], ts: str, pad
     return df.join(span, list(by)).where(F.col(ts).between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
 
 
+def window_counts(df: DataFrame, windows: DataFrame, by: Sequence[str], t: str, pad_s: float = 600.0) -> DataFrame:
+    """Rows, missing times and times outside the padded window of each series (epoch seconds)."""
+    span = windows.select(*by, (F.unix_seconds("start") - pad_s).alias("_from"), (F.unix_seconds("end") + pad_s).alias("_to"))
+    finite = F.col(t).isNotNull() & ~F.isnan(t) & (F.abs(t) < float("inf"))
+    return df.join(span, list(by)).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~finite).alias("missing"),
+        F.count_if(finite & ~F.col(t).between(F.col("_from"), F.col("_to"))).alias("outside"),
+    )
+
+
 def drop_time_spikes(df: DataFrame, ax: Axis, t: str, threshold: float = 10.0) -> DataFrame:
     """Remove single points whose clock jumps away and back.
 

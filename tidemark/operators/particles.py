@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -130,6 +131,12 @@ def bin_counts(df: DataFrame, by: Sequence[str], frame: str, counts: str, interv
     return rows.groupBy(*by, "bin", "size_bin").agg(F.sum("_c").alias("n"))
 
 
+def add_counts(parts: Sequence[DataFrame], by: Sequence[str]) -> DataFrame:
+    """Counts per size bin of single-element and multi-element particles together."""
+    rows = reduce(DataFrame.unionByName, [p.select(*by, "size_bin", "n") for p in parts])
+    return rows.groupBy(*by, "size_bin").agg(F.sum("n").alias("n"))
+
+
 def frame_times(df: DataFrame, by: Sequence[str], order: str, counter: str, start: str, step: float = 0.5) -> DataFrame:
     """Time of each frame from the repaired counter: ``start + step * (counter - first)``."""
     first = df.groupBy(*by).agg(F.min_by(counter, order).alias("_first"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import clean
 from tidemark.operators.arrays import to_wide
 from tidemark.operators.ordered import HOUR, axis, row_index
-from tidemark.operators.resample import dense_grid, interpolate, median3, on_grid, resample_mean
+from tidemark.operators.resample import bounds, dense_grid, interpolate, median3, on_grid, resample_mean, sample_rate
 from tidemark.operators.signal import profile_number
 from tidemark.operators.timejoin import interp_join
 from tidemark.session import durable
@@ -22,6 +22,12 @@ def align(readings: DataFrame, depths: DataFrame, nav: DataFrame, by: Sequence[s
     return interp_join(deep, nav.select(*by, us, "lat", "lon"), by, us, ["lat", "lon"], width=width)
 
 
+def summary(readings: DataFrame, by: Sequence[str], us: str, cols: Sequence[str], per_s: float = 1.0) -> DataFrame:
+    """Bounds, duration and sampling rate of each instrument; the rate per ``per_s`` seconds."""
+    scaled = readings.select(*by, (F.col(us) / per_s).alias(us))
+    return bounds(readings, by, us, cols).join(sample_rate(scaled, by, us), list(by))
+
+
 def resample_coordinates(
     df: DataFrame, by: Sequence[str], us: str, cols: Sequence[str], seconds: float = 1.0, limit: int = 3, width: int = HOUR
 ) -> DataFrame:

@@ -12,7 +12,7 @@ from tidemark.operators import signal as sig
 from tidemark.operators.clean import default_flow, negative_to_null
 from tidemark.operators.ordered import HOUR, axis, row_index
 from tidemark.operators.resample import fill, on_grid, resample_mean
-from tidemark.operators.stats import pearson
+from tidemark.operators.stats import profile_corr
 from tidemark.operators.timejoin import asof_nearest, contains_event
 from tidemark.session import durable
 
@@ -38,6 +38,7 @@ def plankton_proxies(
     flash_window: int = 900,
     flash_seconds: int = 15,
     per_litre: float = 1000.0,
+    nominal_flow: float = 350.0,
     stride: int = 3000,
     seconds: float = 1.0,
     width: int = HOUR,
@@ -53,7 +54,7 @@ def plankton_proxies(
     key = [*by, "us"]
     known = row_index(raw.where(F.col("x").isNotNull()).select(*key, "x"), axis(by, "us", width), "_i")
     env = durable(sig.background_envelope(known, by, "_i", "x", window, size=size))
-    flows = durable(flow_grid(flow, by, seconds, width=width))
+    flows = durable(flow_grid(flow, by, seconds, nominal_flow, width))
     rates = sig.flash_rates(sig.flash_counts(env, by, "_i", "x", threshold, flash_window, size), flows, by, flash_seconds, per_litre, seconds)
     intensity = sig.flash_intensity(env, by, "_i", "x", flash_window, size, seconds)
 
@@ -83,9 +84,10 @@ def correct_proxies(
     least: int = 3,
     adinos_min: float = 0.1,
     floor: float = 0.2,
+    kind: str = "pearson",
     width: float = HOUR,
 ) -> DataFrame:
-    """Proxies scaled by the correlation of fluorescence and background in each profile.
+    """Proxies scaled by the correlation (``kind``) of fluorescence and background in each profile.
 
     ``grid`` gives ``depth`` and ``profile_number`` at the nearest time, ``sun`` the times ``at`` of
     sunsets and sunrises. ``outcome`` tells what happened to the profile; rows of skipped profiles
@@ -112,7 +114,7 @@ def correct_proxies(
     )
     counts = durable(counts)
     upper = rows.join(counts.select(*key, "_bottom"), key).where(deep & F.col("_near") & (F.col("depth") <= F.col("_bottom")))
-    corr = upper.groupBy(*key).agg(pearson("fluo", "bg").alias("_corr"))
+    corr = profile_corr(upper, key, "fluo", "bg", kind).withColumnRenamed("r", "_corr")
     outcome = (
         F.when(F.col("_sun"), "sun_event")
         .when(F.col("_rows") == 0, "no_deep_rows")

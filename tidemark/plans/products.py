@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.biology import unpack_words
+from tidemark.functions.biology import flow_speed, unpack_words
 from tidemark.operators import particles as pt
 from tidemark.operators import section as sec
 from tidemark.operators import signal as sig
 from tidemark.operators.arrays import concat_logs
-from tidemark.operators.clean import clip_null
+from tidemark.operators.clean import clip_null, drop_garbled
 from tidemark.operators.ordered import Axis, axis, row_index
 from tidemark.operators.resample import resample_mean
 from tidemark.operators.stats import ols
@@ -36,6 +36,20 @@ def particle_spectra(words: DataFrame, ax: Axis, frame: Column, interval: int =
     return stats, pt.size_histogram(binned, [*by, "bin"])
 
 
+def particle_frames(frames: DataFrame, ax: Axis, size: int = 50_000) -> DataFrame:
+    """Frames with their time and flow speed: garbled ones dropped, the counter repaired.
+
+    ``frames`` has ``counts``, ``threshold``, ``buffer``, ``counter``, ``flow_time``, ``flow_count``
+    and the ``start`` of the series in seconds.
+    """
+    by = list(ax.by)
+    sound = drop_garbled(frames, "counts", "threshold", "buffer")
+    dense = durable(row_index(sound, ax, "_i"))
+    repaired = pt.repair_counter(dense, axis(by, "_i", size), "counter", size=size)
+    timed = pt.frame_times(durable(repaired), by, "_i", "counter", "start").drop("_i")
+    return timed.withColumn("speed", flow_speed(F.col("flow_time"), F.col("flow_count")))
+
+
 def deployment(logs: Sequence[DataFrame], by: Sequence[str], us: str, seq: str, width: float, size: float = 100_000) -> DataFrame:
     """Logs of a deployment as one track: distance in km and profile numbers that count on."""
     rows = concat_logs(logs, by, us, seq, unique=True)

@@ -30,12 +30,27 @@ def cln1(spark, sf):
     ("clock",),
 )
 def cln2(spark, sf):
+    kept = clean.in_window(fx.clock(spark, sf), log_spans(spark, sf), ["series"], "ts", "10 MINUTES")
+    return kept.select("series", "seq", F.unix_micros("ts").alias("us"))
+
+
+@query(
+    "cln2_window_counts",
+    """WITH w AS (SELECT c_custkey, epoch_us(TIMESTAMP '1996-01-01' + INTERVAL 1 DAY * (c_nationkey * 30))/1e6 - 600 AS a, epoch_us(TIMESTAMP '1996-01-01' + INTERVAL 1 DAY * (c_nationkey * 30 + 900))/1e6 + 600 AS b FROM customer),
+    t AS (SELECT series, CASE WHEN seq % 19 = 0 THEN NULL ELSE us/1e6 END AS t FROM clock)
+    SELECT series, count(*) AS rows, count(*) FILTER (WHERE t IS NULL) AS missing, count(*) FILTER (WHERE t < a OR t > b) AS outside FROM t JOIN w ON c_custkey = series GROUP BY series""",
+    ("clock",),
+)
+def cln2_counts(spark, sf):
+    t = F.when(F.col("seq") % 19 == 0, F.lit(float("nan"))).otherwise(F.unix_micros("ts") / 1e6)
+    return clean.window_counts(fx.clock(spark, sf).withColumn("t", t), log_spans(spark, sf), ["series"], "t")
+
+
+def log_spans(spark, sf):
     start = F.lit("1996-01-01").cast("timestamp") + F.make_dt_interval(F.col("c_nationkey") * 30)
-    spans = table(spark, sf, "customer").select(
+    return table(spark, sf, "customer").select(
         F.col("c_custkey").alias("series"), start.alias("start"), (start + F.expr("INTERVAL 900 DAYS")).alias("end")
     )
-    kept = clean.in_window(fx.clock(spark, sf), spans, ["series"], "ts", "10 MINUTES")
-    return kept.select("series", "seq", F.unix_micros("ts").alias("us"))
 
 
 @query(

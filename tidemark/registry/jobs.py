@@ -239,6 +239,18 @@ def coordinate_sql(cols, src, out):
     {out} AS (SELECT series, h*3600000000 AS us, {fill} FROM {out}_n WHERE true), {out}_ok AS (SELECT * FROM {out} WHERE {whole})"""
 
 
+@query(
+    "job6_summary",
+    f"""WITH {ALIGN_IN} SELECT series, instr, min(us) AS min_us, max(us) AS max_us, round((max(us) - min(us))/1e6, 6) AS duration, round((count(*) - 1)/nullif((max(us) - min(us))/3.6e9, 0), 2) AS per_hour FROM rd GROUP BY ALL""",
+)
+def job6_summary(spark, sf):
+    e = table(spark, sf, "events").select(
+        F.col("user_id").alias("series"), F.col("event_type").alias("instr"), F.unix_micros(F.col("ts").cast("timestamp")).alias("us")
+    )
+    out = grid.summary(e.where("instr NOT IN ('view', 'signup')"), ["series", "instr"], "us", [], per_s=3600.0)
+    return out.withColumnRenamed("rate", "per_hour").withColumn("duration", F.round("duration", 6))
+
+
 @query(
     "job7_resample",
     f"""WITH {coordinate_sql(['value'], 'signal', 'c')} SELECT series, us, round(value + {NUDGE}, 6) AS value FROM c_ok""",
@@ -380,7 +392,7 @@ def agg21(spark, sf):
     p AS (SELECT g.*, t.us AS t0, t.v AS v0 FROM g ASOF LEFT JOIN t ON g.series = t.series AND g.name = t.name AND g.us >= t.us),
     q AS (SELECT p.*, t.us AS t1, t.v AS v1 FROM p ASOF LEFT JOIN t ON p.series = t.series AND p.name = t.name AND p.us <= t.us),
     f AS (SELECT series, name, us, CASE WHEN t0 IS NULL OR t1 IS NULL THEN NULL WHEN t0 = t1 THEN v0 ELSE v0 + (v1 - v0)*((us - t0)/nullif(t1 - t0, 0)::DOUBLE) END AS v FROM q)
-    SELECT series, us, round(max(CASE WHEN name = 'click' THEN v END), 6) AS click, round(max(CASE WHEN name = 'view' THEN v END), 6) AS view, round(max(CASE WHEN name = 'error' THEN v END), 6) AS error FROM f GROUP BY ALL""",
+    SELECT series, us, round(max(CASE WHEN name = 'click' THEN v END) + 2e-8, 6) AS click, round(max(CASE WHEN name = 'view' THEN v END) + 2e-8, 6) AS view, round(max(CASE WHEN name = 'error' THEN v END) + 2e-8, 6) AS error FROM f GROUP BY ALL""",
 )
 def job11(spark, sf):
     names = ["click", "view", "error"]
@@ -392,7 +404,7 @@ def job11(spark, sf):
     inside = messages.where("ts BETWEEN TIMESTAMP '2024-01-02' AND TIMESTAMP '2024-01-28'").drop("ts")
     start, end = F.lit(START), F.lit(START + 40 * DAY)
     out = grid.message_grid(inside, ["series"], "us", "seq", start, end, names, HOUR_S, 2 * DAY)
-    return out.select("series", "us", *[F.round(n, 6).alias(n) for n in names])
+    return out.select("series", "us", *[F.round(F.col(n) + NUDGE, 6).alias(n) for n in names])
 
 
 @query("job11_message_profiles")
@@ -427,6 +439,24 @@ def job12(spark, sf):
     )
 
 
+@query(
+    "job12_particle_frames",
+    """WITH f AS (SELECT series, idx, value, idx*2 + 500 AS counter, 5 + idx % 120 AS ft, 1 + idx % 3 AS fc FROM rate60 WHERE value <= 200),
+    s AS (SELECT *, ft/fc::DOUBLE AS m, first_value(counter) OVER (PARTITION BY series ORDER BY idx) AS c0 FROM f)
+    SELECT series, idx, round(1000.0 + 0.5*(counter - c0), 6) AS frame_time, round(CASE WHEN m < 7 OR m > 100 THEN NULL WHEN m <= 13 THEN 23.10410966*exp(-(-1.481499106*pow(m, 0.25) + 1.566460406*sqrt(m) + 0.196311142*m - 0.05*pow(sqrt(m), 3)))
+    ELSE 0.198996019*exp(-(-2.603059062*pow(m, 0.25) + 0.892897609*sqrt(m) + 0.006191239*m - 0.0013*pow(sqrt(m), 3))) END, 6) AS speed FROM s""",
+    ("rate60",),
+)
+def job12_frames(spark, sf):
+    counts = F.array_repeat(F.floor(F.col("value") * 5 + 0.9).cast("int"), 128)
+    df = fx.rate60(spark, sf).select(
+        "series", "idx", counts.alias("counts"), F.lit(100).alias("threshold"), F.lit(0).alias("buffer"), (F.col("idx") * 2 + 500).alias("counter"),
+        F.lit(1000.0).alias("start"), (5 + F.col("idx") % 120).alias("flow_time"), (1 + F.col("idx") % 3).alias("flow_count"),
+    )
+    out = products.particle_frames(df, axis("series", "idx", 700), size=700)
+    return out.select("series", "idx", F.round("frame_time", 6).alias("frame_time"), F.round("speed", 6).alias("speed"))
+
+
 @query(
     "job12_particle_spectra",
     f"""WITH {WORDS} SELECT series, frame//21 AS bin, CAST(greatest(0, least(993, ceil((esd - 108)/15.0::DOUBLE - 0.5))) AS INT) AS size_bin, count(*) AS n FROM a GROUP BY ALL""",

@@ -75,6 +75,19 @@ def agg20_counts(spark, sf):
     return pt.bin_counts(df, ["label"], "sec", "counts")
 
 
+@query(
+    "agg20_add_counts",
+    f"""WITH {MEPS}, m AS (SELECT series % 10 AS label, CAST(greatest(0, least(993, ceil((esd - 108)/15.0::DOUBLE - 0.5))) AS INT) AS size_bin, 1 AS n FROM a),
+    s AS (SELECT CAST(label AS BIGINT) AS label, CAST(j AS INT) AS size_bin, floor(abs(v)*100) AS n FROM (SELECT label, unnest(range(64)) AS j, unnest(samples) AS v FROM samples) q)
+    SELECT label, size_bin, CAST(sum(n) AS BIGINT) AS n FROM (SELECT * FROM m UNION ALL SELECT * FROM s) u GROUP BY ALL""",
+    ("mep", "samples"),
+)
+def agg20_total(spark, sf):
+    multi = pt.size_histogram(attributes(spark, sf).withColumn("label", F.col("series") % 10), ["label"])
+    single = agg20_counts(spark, sf).withColumn("label", F.col("label").cast("bigint"))
+    return pt.add_counts([multi, single], ["label"])
+
+
 @query(
     "agg27_frame_times",
     """WITH c AS (SELECT series, idx, idx*2 + CAST(floor(value) AS BIGINT) % 3 AS counter FROM rate60)
