@@ -210,7 +210,7 @@ def read_sections(lines: DataFrame, by: Sequence[str], line_no: str, width: floa
         *by, line_no, "section", F.trim(F.element_at(F.split(line, "="), 1)).alias("name"), F.trim(F.element_at(F.split(line, "="), 2)).alias("text")
     )
     values = pairs.groupBy(*by, "section", "name").agg(F.max_by("text", line_no).alias("text"))
-    has = F.bool_or((F.col("name") == "SigmaExp") & F.col("section").isin("Ch1", "Ch2"))
+    has = F.coalesce(F.bool_or((F.col("name") == "SigmaExp") & F.col("section").isin("Ch1", "Ch2")), F.lit(False))
     serial = F.max(F.when((F.col("section") == "General") & (F.col("name") == "Serial"), F.col("text")))
     lacking = values.groupBy(*by).agg(has.alias("_has"), serial.alias("_serial")).where("NOT _has")
     # Exponents of one instrument by serial number, and the mean of all others.
