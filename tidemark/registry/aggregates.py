@@ -34,7 +34,7 @@ GRID = """m AS (SELECT series, (us + 1800000000) // 3600000000 AS h, avg(value)
 
 def hourly(spark, sf):
     means = rs.resample_mean(fx.signal_us(spark, sf), ["series"], "us", ["value"], HOUR_S)
-    return rs.on_grid(means, ["series"], "us", HOUR_S, 2 * DAY)
+    return rs.on_grid(means, ["series"], "us", HOUR_S, 10 * DAY)
 
 
 @query("agg1_dense_grid", f"WITH {GRID} SELECT series, h * 3600000000 AS us, round(value + {NUDGE}, 6) AS value FROM w", ("signal",))
@@ -51,8 +51,8 @@ def agg1_grid(spark, sf):
 )
 def agg2(spark, sf):
     means = rs.resample_mean(fx.signal_us(spark, sf), ["series"], "us", ["value"], HOUR_S, centred=False)
-    grid = rs.on_grid(means, ["series"], "us", HOUR_S, 2 * DAY)
-    return rs.fill(grid, axis("series", "us", 2 * DAY), ["value"]).select("series", "us", F.round("value", 6).alias("value"))
+    grid = rs.on_grid(means, ["series"], "us", HOUR_S, 10 * DAY)
+    return rs.fill(grid, axis("series", "us", 10 * DAY), ["value"]).select("series", "us", F.round("value", 6).alias("value"))
 
 
 EXTENT = """SELECT user_id % 10 AS mission, event_type AS instr, epoch_us(ts) AS us, value FROM events WHERE NOT (event_type = 'click' AND ts > TIMESTAMP '2024-01-29')"""
@@ -88,7 +88,7 @@ def agg3(spark, sf):
 def agg4(spark, sf):
     df = instruments(spark, sf)
     means = rs.resample_mean(df, ["mission", "instr"], "us", ["value"], HOUR_S, centred=False)
-    out = rs.pad_grid(means, rs.extent(df, ["mission"], "instr", "us"), ["mission"], "instr", "us", HOUR_S, 2 * DAY)
+    out = rs.pad_grid(means, rs.extent(df, ["mission"], "instr", "us"), ["mission"], "instr", "us", HOUR_S, 10 * DAY)
     return out.select("mission", "instr", "us", F.round("value", 6).alias("value"))
 
 
@@ -189,7 +189,7 @@ def win3(spark, sf):
     ("signal",),
 )
 def win4(spark, sf):
-    out = rs.interpolate(durable(hourly(spark, sf)), ["series"], "us", ["value"], HOUR_US, 3, 2 * DAY)
+    out = rs.interpolate(durable(hourly(spark, sf)), ["series"], "us", ["value"], HOUR_US, 3, 10 * DAY)
     return out.select("series", "us", F.round(F.col("value") + NUDGE, 6).alias("value"))
 
 
@@ -200,7 +200,7 @@ def win4(spark, sf):
 )
 def win11(spark, sf):
     df = fx.signal_us(spark, sf).withColumn("t", F.col("us") / 1e6)
-    return rs.slope(df, axis("series", "us", 2 * DAY), "value", "t").select("series", "seq", F.round("slope", 6).alias("slope"))
+    return rs.slope(df, axis("series", "us", 10 * DAY), "value", "t").select("series", "seq", F.round("slope", 6).alias("slope"))
 
 
 @query(

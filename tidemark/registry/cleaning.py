@@ -18,7 +18,7 @@ from tidemark.registry.inputs import table
     ("clock",),
 )
 def cln1(spark, sf):
-    kept = clean.keep_monotonic(fx.clock(spark, sf), axis("series", "seq", 20_000))
+    kept = clean.keep_monotonic(fx.clock(spark, sf), axis("series", "seq", 50_000))
     return kept.select("series", "seq", F.unix_micros("ts").alias("us"), "value")
 
 
@@ -67,7 +67,7 @@ def cln3(spark, sf):
     days = fx.clock(spark, sf).select(
         "series", "seq", F.unix_micros("ts").alias("us"), (F.unix_micros("ts") / 86400000000.0).alias("t")
     )
-    return clean.drop_time_spikes(days, axis("series", "seq", 20_000), "t", 2.0).select("series", "seq", "us")
+    return clean.drop_time_spikes(days, axis("series", "seq", 50_000), "t", 2.0).select("series", "seq", "us")
 
 
 READINGS = """SELECT event_id // 1000 AS series, event_id // 5 AS seq, event_type AS var, value FROM events"""

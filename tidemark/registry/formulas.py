@@ -335,7 +335,7 @@ def fn21(spark, sf):
     from tidemark.operators.ordered import previous, scan
 
     g = fx.gps(spark, sf).withColumn("us", F.unix_micros("ts"))
-    d = scan(g, axis("series", "us", 2 * DAY), lat0=previous(F.col("lat")), lon0=previous(F.col("lon")), us0=previous(F.col("us")))
+    d = scan(g, axis("series", "us", 10 * DAY), lat0=previous(F.col("lat")), lon0=previous(F.col("lon")), us0=previous(F.col("us")))
     sec = (F.col("us") - F.col("us0")) / 1e6
     u = bio.drift_cm_per_s(F.col("lon") - F.col("lon0"), sec, F.col("lat"))
     v = bio.drift_cm_per_s(F.col("lat") - F.col("lat0"), sec)

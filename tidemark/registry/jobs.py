@@ -16,7 +16,7 @@ from tidemark.registry.inputs import DAY, table
 from tidemark.registry.joins import NEIGHBOURS
 from tidemark.registry.particles import MEPS
 from tidemark.registry.signals import ENVELOPE, FLEET, NIGHTS, PEAK_SQL, TRACK_SQL, TURNS, utm_sql
-from tidemark.sources.sinks import shared_folder
+from tidemark.session import shared_folder
 from tidemark.streaming import means as streaming
 
 # --- JOB1 -----------------------------------------------------------------------------------
@@ -47,7 +47,7 @@ def dead_reckoned(spark, sf):
     ("nav", "gps"),
 )
 def job1(spark, sf):
-    out, _ = positions.nudge_positions(dead_reckoned(spark, sf), fixes(spark, sf), ["series"], max_gap_s=36000, width=2 * DAY)
+    out, _ = positions.nudge_positions(dead_reckoned(spark, sf), fixes(spark, sf), ["series"], max_gap_s=36000, width=10 * DAY)
     return out.withColumns({"lat": F.round("lat", 9), "lon": F.round("lon", 9)})
 
 
@@ -57,7 +57,7 @@ def job1(spark, sf):
     ("nav", "gps"),
 )
 def job1_summary(spark, sf):
-    _, out = positions.nudge_positions(dead_reckoned(spark, sf), fixes(spark, sf), ["series"], max_gap_s=36000, width=2 * DAY)
+    _, out = positions.nudge_positions(dead_reckoned(spark, sf), fixes(spark, sf), ["series"], max_gap_s=36000, width=10 * DAY)
     return out.withColumn("minutes", F.round("minutes", 3))
 
 
@@ -69,7 +69,7 @@ def job1_summary(spark, sf):
     ("nav", "gps"),
 )
 def fn21_segments(spark, sf):
-    _, seg = positions.nudge_segments(dead_reckoned(spark, sf), fixes(spark, sf), ["series"], max_gap_s=36000, width=2 * DAY)
+    _, seg = positions.nudge_segments(dead_reckoned(spark, sf), fixes(spark, sf), ["series"], max_gap_s=36000, width=10 * DAY)
     return seg.select(
         "series", "seg_start", "points", F.round("lat_diff", 9).alias("lat_diff"), F.round("lon_diff", 9).alias("lon_diff"),
         F.round("u_drift", 4).alias("u_drift"), F.round("v_drift", 4).alias("v_drift"),
@@ -106,7 +106,7 @@ def job2(spark, sf):
         (F.lit(5900) + F.col("value")).alias("cond_frequency"), (F.lit(1) + F.col("value") / 200).alias("volts"),
     )
     pres = e.where("event_type = 'view'").select("series", "us", F.col("value").alias("filtpres"))
-    out = calibrate.calibrate_ctd(raw, pres, ["series"], "us", "seq", fm.TEMP, fm.COND_G, fm.OWENS, width=2 * DAY, seq_width=2_000)
+    out = calibrate.calibrate_ctd(raw, pres, ["series"], "us", "seq", fm.TEMP, fm.COND_G, fm.OWENS, width=10 * DAY, seq_width=2_000)
     return out.select(
         "series", "seq", *[F.round(c, 6).alias(c) for c in ("temperature", "conductivity", "salinity", "oxygen_mll")], F.round("oxygen_umolkg", 5).alias("oxygen_umolkg")
     )
@@ -133,7 +133,7 @@ def job3(spark, sf):
     )
     blue, red = dict(fm.HS2, wavelength=420, sigma_exp=0.1486), dict(fm.HS2, wavelength=700, sigma_exp=0.1522)
     fluo = dict(temp_coeff=-1.2e-3, cal_temp=19.0, gains=fm.GAINS, nominal=4871.0)
-    out = calibrate.calibrate_optics(raw, ["series"], "us", "seq", blue, red, fluo, seq_width=20_000)
+    out = calibrate.calibrate_optics(raw, ["series"], "us", "seq", blue, red, fluo, seq_width=50_000)
     return out.select("series", "seq", *[F.round(c, 6).alias(c) for c in ("bbp_blue", "bbp_red", "fl")])
 
 
@@ -151,7 +151,7 @@ def job4(spark, sf):
         "series", "seq", F.unix_micros("ts").alias("us"), F.radians(36 + v % 1000 / 500).alias("lat"), (side * F.radians(121 + v % 100 / 50)).alias("lon"),
         F.lit(0.1).alias("roll"), F.lit(0.2).alias("pitch"), (v % 7 / 10).alias("platform_orientation"),
     )
-    out = calibrate.calibrate_navigation(raw, ["series"], "us", "seq", {"lat": (36.2, 37.5), "lon": (-122.8, -121.3)}, 20_000)
+    out = calibrate.calibrate_navigation(raw, ["series"], "us", "seq", {"lat": (36.2, 37.5), "lon": (-122.8, -121.3)}, 50_000)
     return out.select("series", "seq", *[F.round(c, 6).alias(c) for c in ("lat", "lon", "yaw")])
 
 
@@ -175,7 +175,7 @@ def job5(spark, sf):
     )
     lags = spark.createDataFrame([("F", 0.5), ("O", 6.0)], "instr string, lag_secs double")
     conversions = spark.sql("SELECT * FROM VALUES (TIMESTAMP '1990-01-01', 0.45D), (TIMESTAMP '1998-06-29', 0.449D) AS t(valid_from, conversion)")
-    out = calibrate.calibrate_flow(raw, ["series"], "us", "seq", lags, conversions, "start", 20_000)
+    out = calibrate.calibrate_flow(raw, ["series"], "us", "seq", lags, conversions, "start", 50_000)
     return out.select("series", "seq", "us", "instr", F.round("flow", 9).alias("flow"))
 
 
@@ -211,7 +211,7 @@ def job6(spark, sf):
     )
     depths = e.where("instr = 'view'").select("series", "us", F.col("value").alias("depth"))
     nav = fx.gps(spark, sf).select("series", F.unix_micros("ts").alias("us"), "lat", "lon")
-    out = grid.align(e.where("instr NOT IN ('view', 'signup')"), depths, nav, ["series"], width=2 * DAY)
+    out = grid.align(e.where("instr NOT IN ('view', 'signup')"), depths, nav, ["series"], width=10 * DAY)
     return out.select("series", "instr", "seq", F.round("depth", 6).alias("depth"), F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"))
 
 
@@ -260,10 +260,10 @@ def job7(spark, sf):
     """Monotonic clock, median of three, centred hourly means, gaps of up to three hours filled."""
     ax = axis("series", "seq", 5_000)
     rising = keep_monotonic(fx.signal_us(spark, sf), ax, "us").select("series", "us", "value")
-    smooth = median3(durable(rising), axis("series", "us", 2 * DAY), ["value"], fill_ends=True)
+    smooth = median3(durable(rising), axis("series", "us", 10 * DAY), ["value"], fill_ends=True)
     means = resample_mean(smooth, ["series"], "us", ["value"], HOUR_S)
-    dense = durable(on_grid(means, ["series"], "us", HOUR_S, 2 * DAY))
-    filled = interpolate(dense, ["series"], "us", ["value"], HOUR_US, 3, 2 * DAY).dropna(subset=["value"])
+    dense = durable(on_grid(means, ["series"], "us", HOUR_S, 10 * DAY))
+    filled = interpolate(dense, ["series"], "us", ["value"], HOUR_US, 3, 10 * DAY).dropna(subset=["value"])
     return filled.select("series", "us", F.round(F.col("value") + NUDGE, 6).alias("value"))
 
 
@@ -289,7 +289,7 @@ def job7_grid(spark, sf):
     coordinates = e.select(
         "series", "us", F.col("value").alias("depth"), (F.lit(36.8) + F.col("value") / 10000).alias("lat"), (F.lit(-122.0) - F.col("value") / 20000).alias("lon")
     )
-    out = grid.resample(coordinates, e.where("var IN ('click', 'error')"), ["series"], "us", ["click", "error"], seconds=HOUR_S, width=2 * DAY, size=200)
+    out = grid.resample(coordinates, e.where("var IN ('click', 'error')"), ["series"], "us", ["click", "error"], seconds=HOUR_S, width=10 * DAY, size=200)
     return out.select(
         "series", "us", "profile_number", *[F.round(F.col(c) + NUDGE, 6).alias(c) for c in ("depth", "click", "error")], F.round(F.col("lat") + 3e-9, 7).alias("lat"), F.round(F.col("lon") + 3e-9, 7).alias("lon")
     )
@@ -330,7 +330,7 @@ def job8(spark, sf):
     flow = sparse.select("series", "us", F.when(F.col("value") > 100, 0.0).otherwise(F.col("value") + 100).alias("flow"))
     fluo = sparse.select("series", "us", (F.col("value") / 100 - 0.2).alias("fluo"))
     place = s.select("series", "us", (F.lit(36.8) + F.col("value") / 10000).alias("lat"), (F.lit(-122.0) - F.col("value") / 20000).alias("lon"))
-    out, _ = plankton.plankton_proxies(raw, flow, fluo, place, ["series"], ratio=3.9811e11, stride=3, seconds=HOUR_S, width=2 * DAY, size=5_000)
+    out, _ = plankton.plankton_proxies(raw, flow, fluo, place, ["series"], ratio=3.9811e11, stride=3, seconds=HOUR_S, width=10 * DAY, size=5_000)
     return out.select(
         "series", "us", F.round("nbflash_high", 6).alias("nbflash_high"), F.round("nbflash_low", 6).alias("nbflash_low"),
         *[F.round(F.col(c) / 1e6, 2).alias(c) for c in ("intflash", "bg_biolume")], *[F.round(c, 4).alias(c) for c in ("adinos", "hdinos", "diatoms")],
@@ -361,7 +361,7 @@ def corrected(spark, sf):
         "series", (i * 60_000_000).alias("us"), (v / 100).alias("fluo"), (v / 90 + i % 7 / 10.0).alias("bg"), adinos.alias("adinos"), (v / 300).alias("diatoms"), (v / 400).alias("hdinos")
     )
     depth = F.when(block % 13 == 5, 1.0).otherwise(F.col("depth"))
-    gd = fx.track(spark, sf).select("series", (i * 60_000_000 + 20_000_000).alias("us"), depth.alias("depth"), (1 + block + F.when(i % 500 == 499, 1000).otherwise(0)).alias("profile_number"))
+    gd = fx.track(spark, sf).select("series", (i * 60_000_000 + 50_000_000).alias("us"), depth.alias("depth"), (1 + block + F.when(i % 500 == 499, 1000).otherwise(0)).alias("profile_number"))
     ev = fx.rate60(spark, sf).where("idx % 700 = 350").select("series", (i * 60_000_000).alias("at"))
     return plankton.correct_proxies(px, gd, ev, ["series"], width=DAY // 4)
 
@@ -403,14 +403,14 @@ def job11(spark, sf):
     )
     inside = messages.where("ts BETWEEN TIMESTAMP '2024-01-02' AND TIMESTAMP '2024-01-28'").drop("ts")
     start, end = F.lit(START), F.lit(START + 40 * DAY)
-    out = grid.message_grid(inside, ["series"], "us", "seq", start, end, names, HOUR_S, 2 * DAY)
+    out = grid.message_grid(inside, ["series"], "us", "seq", start, end, names, HOUR_S, 10 * DAY)
     return out.select("series", "us", *[F.round(F.col(n) + NUDGE, 6).alias(n) for n in names])
 
 
 @query("job11_message_profiles")
 def job11_profiles(spark, sf):
     wide = durable(job11(spark, sf)).withColumnRenamed("click", "depth")
-    return grid.message_profiles(wide, ["series"], "us", width=2 * DAY, size=200)
+    return grid.message_profiles(wide, ["series"], "us", width=10 * DAY, size=200)
 
 
 WORDS = MEPS.replace("FROM mep", "FROM words").replace("g AS (SELECT *,", "words AS (SELECT l_suppkey AS series, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey) AS idx, CASE WHEN l_linenumber <= 2 THEN 1 ELSE 0 END AS n, CAST(l_quantity*40 AS INT) AS p, CAST(l_partkey % 64 AS INT) AS e, l_orderkey//100 AS frame FROM lineitem), g AS (SELECT *,").replace("min(idx) AS idx,", "min(frame) AS frame,")
@@ -477,7 +477,7 @@ def job13(spark, sf):
         (F.col("series") % 10).alias("series"), "seq", F.unix_micros("ts").alias("us"), "lat", "lon", (1 + F.floor(F.col("seq") / 70) % 9).alias("profile_number")
     )
     logs = [rows.where("seq % 2 = 0"), rows.where("seq % 2 = 1")]
-    out = products.deployment(logs, ["series"], "us", "seq", 2 * DAY, 300)
+    out = products.deployment(logs, ["series"], "us", "seq", 10 * DAY, 300)
     return out.select("series", "us", F.round("km", 6).alias("km"), "cumulative")
 
 

@@ -31,7 +31,7 @@ def gps_us(spark, sf):
 )
 def join1(spark, sf):
     fixes = gps_us(spark, sf).drop("seq")
-    out = tj.interp_join(nav_us(spark, sf).drop("nav_lat"), fixes, ["series"], "us", ["lat", "lon"], width=2 * DAY)
+    out = tj.interp_join(nav_us(spark, sf).drop("nav_lat"), fixes, ["series"], "us", ["lat", "lon"], width=10 * DAY)
     return out.withColumns({"lat": F.round("lat", 9), "lon": F.round("lon", 9)})
 
 
@@ -42,7 +42,7 @@ def join1(spark, sf):
 )
 def join2(spark, sf):
     fixes = gps_us(spark, sf).drop("seq", "lon")
-    out = tj.interp_join(nav_us(spark, sf).drop("nav_lat"), fixes, ["series"], "us", ["lat"], clamp=False, width=2 * DAY)
+    out = tj.interp_join(nav_us(spark, sf).drop("nav_lat"), fixes, ["series"], "us", ["lat"], clamp=False, width=10 * DAY)
     return out.withColumn("lat", F.round("lat", 9))
 
 
@@ -53,7 +53,7 @@ def join2(spark, sf):
 )
 def join3(spark, sf):
     fixes = gps_us(spark, sf).select("series", "us", F.col("seq").alias("fix"))
-    return tj.asof_nearest(nav_us(spark, sf).drop("nav_lat"), fixes, ["series"], "us", ["fix"], 2 * DAY)
+    return tj.asof_nearest(nav_us(spark, sf).drop("nav_lat"), fixes, ["series"], "us", ["fix"], 10 * DAY)
 
 
 @query(
@@ -89,7 +89,7 @@ def join4_means(spark, sf):
 def join5(spark, sf):
     events = gps_us(spark, sf).select(F.col("seq").alias("event"), "series", "us")
     grid = nav_us(spark, sf).select("series", "us", F.col("nav_lat").alias("lat"))
-    return tj.nearest_row(events, grid, ["series"], "us", ["lat"], 2 * DAY).withColumn("lat", F.round("lat", 9))
+    return tj.nearest_row(events, grid, ["series"], "us", ["lat"], 10 * DAY).withColumn("lat", F.round("lat", 9))
 
 
 @query(
@@ -99,7 +99,7 @@ def join5(spark, sf):
 )
 def join6(spark, sf):
     fixes = gps_us(spark, sf).drop("seq", "lon")
-    return tj.segment_join(nav_us(spark, sf).drop("nav_lat"), fixes, ["series"], "us", ["lat"], 2 * DAY)
+    return tj.segment_join(nav_us(spark, sf).drop("nav_lat"), fixes, ["series"], "us", ["lat"], 10 * DAY)
 
 
 @query(

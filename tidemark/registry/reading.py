@@ -8,6 +8,7 @@ from tidemark.operators.samples import sample_means
 from tidemark.registry import inputs as fx
 from tidemark.registry.core import query
 from tidemark.registry.inputs import table
+from tidemark.session import shared_folder
 from tidemark.sources import logs, selection, sinks
 
 
@@ -346,7 +347,7 @@ def src16(spark, sf):
 )
 def snk1(spark, sf):
     df = orders(spark, sf).select("o_orderkey", F.col("o_orderstatus").alias("platform"), F.year("day").alias("mission"), F.lit(1).alias("version"))
-    path = sinks.shared_folder(spark, "stage")
+    path = shared_folder(spark, "stage")
     sinks.write_stage(df, path)
     sinks.write_stage(df.where("mission = 1998").withColumn("version", F.lit(2)), path)
     return sinks.read_stage(spark, path)

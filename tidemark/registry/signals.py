@@ -101,7 +101,7 @@ def utm_sql(lat, lon):
 
 
 def fleet_track(spark, sf):
-    rows = row_index(fleet(spark, sf).drop("seq"), axis("series", "us", 2 * DAY))
+    rows = row_index(fleet(spark, sf).drop("seq"), axis("series", "us", 10 * DAY))
     return sec.track_distance(durable(rows), ["series"], "idx", "us", "lat", "lon", size=300)
 
 
@@ -138,7 +138,7 @@ SUN_EVENTS = f"""f0 AS (SELECT *, row_number() OVER (PARTITION BY series ORDER B
 
 
 def fleet_sun(spark, sf):
-    return sig.sun_events(fleet(spark, sf), ["series"], "us", "lat", "lon", 2, 2 * DAY)
+    return sig.sun_events(fleet(spark, sf), ["series"], "us", "lat", "lon", 2, 10 * DAY)
 
 
 @query(
@@ -174,7 +174,7 @@ def win13(spark, sf):
     ("nav",),
 )
 def win13_rows(spark, sf):
-    return sig.select_nights(fleet(spark, sf), fleet_nights(spark, sf), ["series"], "us", 2 * DAY).select("series", "seq", "us")
+    return sig.select_nights(fleet(spark, sf), fleet_nights(spark, sf), ["series"], "us", 10 * DAY).select("series", "seq", "us")
 
 
 @query(
@@ -188,7 +188,7 @@ def win14(spark, sf):
     from tidemark.functions.geo import sun_altitude
 
     df = fleet(spark, sf).withColumn("altitude", sun_altitude(F.col("lat"), F.col("lon"), F.col("us")))
-    return sig.night_spans(df, ["series"], "us", "altitude", "seq", 2 * DAY)
+    return sig.night_spans(df, ["series"], "us", "altitude", "seq", 10 * DAY)
 
 
 ENVELOPE = """raw AS (SELECT series, idx, (idx*1000000)//60 AS us, value*1e9 AS x FROM rate60),
@@ -279,7 +279,7 @@ def win21(spark, sf):
 )
 def win22(spark, sf):
     track = fleet(spark, sf).withColumn("km", F.col("seq").cast("double"))
-    return sec.midnights(track, ["series"], "us", "lon", "km", 2 * DAY).select("series", "us", F.round("km", 6).alias("km"))
+    return sec.midnights(track, ["series"], "us", "lon", "km", 10 * DAY).select("series", "us", F.round("km", 6).alias("km"))
 
 
 KM = f"""f AS ({FLEET}), t AS (SELECT series, us, seq, seq/100.0::DOUBLE AS km, us/1e12 AS used FROM f)"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,19 +33,28 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the files.
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A folder all executors share, below the one the cluster names in ``spark.checkpoint.dir``.
 
-    Cuts lineage, so a result that feeds several branches is computed once and stays the same
-    in all of them, also when an executor is lost. The folder is the one the cluster names in
-    ``spark.checkpoint.dir``; only a local session without one gets a temporary folder.
+    Only a local session without that setting gets a temporary folder.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not sc.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="tidemark-", dir=os.environ.get("TMPDIR"))
         sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return f"{sc.getCheckpointDir()}/{name}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Write ``df`` to a table in the shared folder and go on from the table.
+
+    Cuts lineage, so a result that feeds several branches is computed once and stays the same in
+    all of them, also when an executor is lost. Reading back keeps column pruning and known sizes.
+    """
+    path = shared_folder(df.sparkSession, f"durable-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

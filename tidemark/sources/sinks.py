@@ -8,15 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.samples import year_day
-from tidemark.session import durable
-
-
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A folder all executors share, below the one the session checkpoints to."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        durable(spark.range(1))
-    return f"{sc.getCheckpointDir()}/{name}"
 
 
 def write_stage(df: DataFrame, path: str, by: Sequence[str] = ("platform", "mission")) -> None:
