@@ -79,33 +79,27 @@ def as_text(s: Column) -> Column:
     return F.array_join(F.transform(s, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
-def with_next(df: DataFrame, key: str, carry: list[str], made: dict[str, Column] | None = None) -> DataFrame:
+def with_next(df: DataFrame, key: str, carry: list[str]) -> DataFrame:
     """Add ``next_<c>`` for each of ``carry``: the value of the row with the next larger key, after the last the first.
 
-    Rows are dealt by range of the key and ordered inside each range, so no task sees all rows. Only
-    the last row of a range looks outside it: it meets the first row of the next range in a join with
-    one row a range. ``made`` are columns to compute after the rows are dealt. Rows of one key are
-    ordered by the hash of what they carry.
+    Rows are dealt by ranges of a numeric key, cut at sketched quantiles (they only balance the ranges),
+    and ordered inside a range, so no task sees all rows and what is carried is shuffled once. Only the
+    last row of a range looks outside it: it meets the first row of the next range in a join with one
+    row a range. Rows of one key are ordered by the hash of what they carry; a null key comes first.
     """
-    spark = df.sparkSession
-    cuts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.withColumn("_tie", F.xxhash64(*carry)).repartitionByRange(cuts, key).withColumn("_part", F.spark_partition_id())
-    # A name of its own, so that a missing key orders like any other value.
-    place = F.struct(F.col(key).alias("k"), F.col("_tie").alias("t"))
-    plain = [c for c in dealt.columns if c not in ("_part", "_tie")]
-    made = made or {}
-    rich = dealt.withColumns(made)
-    carried = [*carry, *made]
+    cuts = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
+    bounds = sorted(set(df.agg(F.percentile_approx(key, shares, F.lit(10 * cuts))).first()[0] or []))
+    below = F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(key)) if bounds else F.array()
+    part = F.when(F.col(key).isNull(), F.lit(0)).otherwise(F.size(below))
+    dealt = df.withColumns({"_tie": F.xxhash64(*carry), "_part": part})
     along = Window.partitionBy("_part").orderBy(F.col(key).asc_nulls_first(), "_tie")
-    inside = rich.withColumn("_next", F.lead(F.struct(*carried)).over(along)).where(F.col("_next").isNotNull())
-
-    ends = dealt.groupBy("_part").agg(
-        F.min_by(F.struct(*plain), place).alias("_first"), F.max_by(F.struct(*plain), place).alias("_last")
-    )
+    placed = dealt.withColumns({"_next": F.lead(F.struct(*carry)).over(along), "_nth": F.row_number().over(along)})
+    tails = placed.where(F.col("_next").isNull()).drop("_next")
     order = Window.orderBy("_part")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    follows = ends.select("_part", F.coalesce(F.lead("_part").over(order), F.first("_part").over(whole)).alias("_after"))
-    heads = ends.select(F.col("_part").alias("_after"), "_first.*").withColumns(made).select("_after", F.struct(*carried).alias("_next"))
-    tails = ends.select("_part", "_last.*").withColumns(made).join(follows, "_part").join(heads, "_after")
-    names = [*plain, *made, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in carried]]
-    return inside.select(*names).unionByName(tails.select(*names))
+    follows = tails.select("_part", F.coalesce(F.lead("_part").over(order), F.first("_part").over(whole)).alias("_after"))
+    heads = placed.where(F.col("_nth") == 1).select(F.col("_part").alias("_after"), F.struct(*carry).alias("_next"))
+    ends = tails.join(follows, "_part").join(heads, "_after")
+    names = [*df.columns, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in carry]]
+    return placed.where(F.col("_next").isNotNull()).select(*names).unionByName(ends.select(*names))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, lines, mixing, quality
+from tidemark.llm import bpe, fingerprints, lines, mixing, quality, token_counts, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +35,14 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+@query("op1_bpe_codec")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL can't express it; tests compare ids and decoded texts with the tokenizers library."""
+    docs = read(spark, sf, "documents", "doc_id", "text")
+    made = ("n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.tokenize(docs, public_tokenizers.path("word_bpe_49k.json"), outputs=made).select("doc_id", *made)
+
+
 _REPEATS = """
 , hits_{k} AS (
   SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS c FROM (
@@ -142,6 +151,53 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(read(spark, sf, "documents", "doc_id", "source", "text"))
 
 
+RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+
+
+def _term_sql(terms: tuple[str, ...]) -> str:
+    edge = r"[^\p{L}\p{N}]"
+    return " + ".join(f"regexp_matches(known, '(^|{edge}){t}({edge}|$)')::INT" for t in terms)
+
+
+def _rules_sql(pick: Callable[[tuple[str, str, str]], str]) -> str:
+    ordered = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
+    cases = (f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{pick((v, h, p))}'" for v, h, p in ordered)
+    return "CASE " + " ".join(cases) + " END"
+
+
+OP5_SQL = rf"""
+WITH cut AS (
+  SELECT page_id, lower(coalesce(url, '')) AS known, coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') AS path,
+    translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+  FROM pages),
+judged AS (
+  SELECT page_id, host, path, {_rules_sql(lambda r: r[1] + r[2])} AS rule, {_rules_sql(lambda r: r[0])} AS by_rule,
+    ({urls.SOFT_LIMIT} * ({_term_sql(urls.STRICT)}) + {_term_sql(urls.SOFT)})::INT AS weight FROM cut)
+SELECT page_id, host, path, rule, weight, coalesce(by_rule, CASE WHEN weight >= {urls.SOFT_LIMIT} THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged
+"""
+
+
+@query("op5_url_filter", OP5_SQL)
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    judged = urls.judge(read(spark, sf, "pages", "page_id", "url"), RULES)
+    return judged.select("page_id", "host", "path", "rule", "weight", "verdict")
+
+
+@query("op8_token_counts")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL can't express it; tests compare the counts with the tokenizers library."""
+    docs = read(spark, sf, "documents", "doc_id", "text")
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 OP9_SQL = r"""
 WITH lines AS (
   SELECT doc_id, i, parts[i] AS line, len(parts) AS n_lines,
@@ -166,11 +222,17 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     """SQL has no such hash; tests recompute the sketches and check the estimates against whole sets."""
     docs = read(spark, sf, "documents", "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    beside = fingerprints.with_next(docs, "doc_id", ["text"], {"sketch": fingerprints.sketch(F.col("text"))})
+    beside = fingerprints.with_next(docs, "doc_id", ["text"])
     n = F.char_length("text").cast("bigint")
     cut = F.floor(n / 4)
     edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut))
-    made = beside.select("doc_id", n.alias("n_chars"), edited.alias("edited"), "sketch", "next_sketch")
+    made = beside.select(
+        "doc_id",
+        n.alias("n_chars"),
+        edited.alias("edited"),
+        fingerprints.sketch(F.col("text")).alias("sketch"),
+        fingerprints.sketch(F.col("next_text")).alias("next_sketch"),
+    )
     made = made.withColumn("edited_sketch", fingerprints.sketch(F.col("edited")))
     return made.select(
         "doc_id",
