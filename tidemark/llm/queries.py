@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprints, lines, mixing, quality, token_counts, urls
+from tidemark.llm import bpe, fingerprints, lines, mixing, neardup, quality, token_counts, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -151,6 +151,33 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(read(spark, sf, "documents", "doc_id", "source", "text"))
 
 
+OP4_SQL = rf"""
+WITH RECURSIVE split_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD_SQL}') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM split_words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n, md5(string_agg(s, chr(10) ORDER BY s)) AS cls FROM shingles GROUP BY doc_id),
+firsts AS (SELECT cls, min(doc_id) AS doc_id, max(n) AS n FROM sizes GROUP BY cls),
+near AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM shingles a JOIN shingles b USING (s)
+  WHERE a.doc_id <> b.doc_id AND a.doc_id IN (SELECT doc_id FROM firsts) AND b.doc_id IN (SELECT doc_id FROM firsts) GROUP BY ALL),
+links AS (
+  SELECT a, b FROM near JOIN firsts x ON x.doc_id = a JOIN firsts y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM firsts UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+roots AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(r.component_id, d.doc_id) AS component_id,
+  d.doc_id = coalesce(r.component_id, d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN firsts f USING (cls) LEFT JOIN roots r ON r.doc_id = f.doc_id
+"""
+
+
+@query("op4_near_dedup", OP4_SQL)
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return neardup.components_of(read(spark, sf, "documents", "doc_id", "text"), percent=85)
+
+
 RULES = (
     ("allow", "org", "/"),
     ("block", "example.org", "/es/"),
