@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprints, lines, mixing, neardup, quality, token_counts, urls
+from tidemark.llm import bpe, fingerprints, lines, mixing, neardup, quality, token_counts, urls, warc
+from tidemark.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -217,6 +219,27 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "weight", "verdict")
 
 
+_BASE32 = " || ".join(
+    f"substr('{warc.ALPHABET}', ((('0x' || substr(digest, {5 * k + 1}, 5))::INT >> {shift}) & 31) + 1, 1)" for k in range(8) for shift in (15, 10, 5, 0)
+)
+OP7_SQL = f"""
+WITH paid AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS digest FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM paid)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM firsts
+"""
+
+
+@query("op7_warc_archives", OP7_SQL)
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_folder(spark, f"warc-{uuid.uuid4().hex}")
+    warc.write(read(spark, sf, "pages", "page_id", "url", "html"), path)
+    found = warc.records(warc.read(spark, path, with_data=False))
+    page = F.expr("try_cast(record_id AS bigint)").alias("page_id")
+    refers = F.col("refers_to").cast("bigint").alias("refers_to")
+    return found.select(page, "payload_bytes", "payload_digest", "record_type", refers)
+
+
 @query("op8_token_counts")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     """SQL can't express it; tests compare the counts with the tokenizers library."""
