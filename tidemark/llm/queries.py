@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprints, lines, mixing, neardup, quality, token_counts, urls, warc
+from tidemark.llm import bpe, fingerprints, html_text, lines, mixing, neardup, quality, token_counts, urls, warc
 from tidemark.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -219,6 +219,13 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "weight", "verdict")
 
 
+@query("op6_main_text")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL can't express it; tests compare with the text of the articles, and on held-out layouts."""
+    found = html_text.extract(read(spark, sf, "pages", "page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 _BASE32 = " || ".join(
     f"substr('{warc.ALPHABET}', ((('0x' || substr(digest, {5 * k + 1}, 5))::INT >> {shift}) & 31) + 1, 1)" for k in range(8) for shift in (15, 10, 5, 0)
 )
