@@ -84,8 +84,9 @@ def with_next(df: DataFrame, key: str, carry: list[str]) -> DataFrame:
 
     Rows are dealt by ranges of a numeric key, cut at sketched quantiles (they only balance the ranges),
     and ordered inside a range, so no task sees all rows and what is carried is shuffled once. Only the
-    last row of a range looks outside it: it meets the first row of the next range in a join with one
-    row a range. Rows of one key are ordered by the hash of what they carry; a null key comes first.
+    last row of a range looks outside it: it meets the first row of the next range in a join by range,
+    for which the rows are already dealt. What is broadcast is one key a range, never what it carries.
+    Rows of one key are ordered by the hash of what they carry; a null key comes first.
     """
     cuts = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shares = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
@@ -93,13 +94,19 @@ def with_next(df: DataFrame, key: str, carry: list[str]) -> DataFrame:
     below = F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(key)) if bounds else F.array()
     part = F.when(F.col(key).isNull(), F.lit(0)).otherwise(F.size(below))
     dealt = df.withColumns({"_tie": F.xxhash64(*carry), "_part": part})
-    along = Window.partitionBy("_part").orderBy(F.col(key).asc_nulls_first(), "_tie")
-    placed = dealt.withColumns({"_next": F.lead(F.struct(*carry)).over(along), "_nth": F.row_number().over(along)})
-    tails = placed.where(F.col("_next").isNull()).drop("_next")
+    place = F.struct(F.col(key).alias("k"), F.col("_tie").alias("t"))
+    # One row a range: its first place, and which range comes before it.
     order = Window.orderBy("_part")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    follows = tails.select("_part", F.coalesce(F.lead("_part").over(order), F.first("_part").over(whole)).alias("_after"))
-    heads = placed.where(F.col("_nth") == 1).select(F.col("_part").alias("_after"), F.struct(*carry).alias("_next"))
-    ends = tails.join(follows, "_part").join(heads, "_after")
-    names = [*df.columns, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in carry]]
-    return placed.where(F.col("_next").isNotNull()).select(*names).unionByName(ends.select(*names))
+    first = dealt.groupBy("_part").agg(F.min(place).alias("_first"))
+    first = first.withColumn("_before", F.coalesce(F.lag("_part").over(order), F.last("_part").over(whole)))
+    first = F.broadcast(first.select(F.col("_part").alias("_own"), "_first", "_before"))
+    at_start = (F.col("_part") == F.col("_own")) & place.eqNullSafe(F.col("_first"))
+    heads = dealt.join(first, at_start).select("_before", *[F.col(c).alias(f"_head_{c}") for c in carry]).dropDuplicates(["_before"])
+
+    along = Window.partitionBy("_part").orderBy(F.col(key).asc_nulls_first(), "_tie")
+    leads = {f"_next_{c}": F.lead(c).over(along) for c in carry}
+    placed = dealt.withColumns({**leads, "_inside": F.lead(F.lit(True)).over(along)})
+    joined = placed.join(heads, (F.col("_part") == F.col("_before")) & F.col("_inside").isNull(), "left")
+    following = [F.when(F.col("_inside"), F.col(f"_next_{c}")).otherwise(F.col(f"_head_{c}")).alias(f"next_{c}") for c in carry]
+    return joined.select(*df.columns, *following)
