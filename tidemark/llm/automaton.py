@@ -38,11 +38,12 @@ class Automaton:
         self.born, self.into, self.out = array("i", [0]) * size, array("i", [-1]) * size, array("i", [-1]) * size
         self.gone: dict[int, int] = {}
         self.arcs: dict[int, bool] = {}
-        unread = set()
+        unread, used = set(), set()
         for time, (u, v, w) in enumerate(vocab.merges, 1):
-            if self.born[w] or max(self.born[u], self.born[v]) >= time or u in unread or v in unread:
+            used |= {u, v}
+            if self.born[w] or w in used:
                 raise ValueError(f"merge {time} uses a token that is made later, or makes one again")
-            if not self.follows(u, v, time - 1):
+            if u in unread or v in unread or not self.follows(u, v, time - 1):
                 unread.add(w)  # an earlier merge keeps u and v apart
             self.born[w], self.into[w], self.out[w] = time, u, v
             self.gone[u << _SHIFT | v] = time
