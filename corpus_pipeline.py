@@ -35,7 +35,9 @@ def _back(df: DataFrame, names: dict[str, str], **replaced) -> DataFrame:
 
 
 def _keyed(docs: DataFrame, names: dict[str, str]) -> DataFrame:
-    return docs.withColumn("_key", F.struct(F.col(names["doc_id"]).alias("id"), F.xxhash64(*names.values()).alias("content")))
+    """Rows by id and content; a missing id is larger than any other."""
+    own = F.col(names["doc_id"])
+    return docs.withColumn("_key", F.struct(own.isNull().alias("missing"), own.alias("id"), F.xxhash64(*names.values()).alias("content")))
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
