@@ -47,7 +47,7 @@ def test_butterworth_is_a_lowpass():
 def test_lowpass(spark):
     rng = np.random.default_rng(1)
     groups = {1: (np.sin(np.arange(700) / 30) * 20 + rng.normal(size=700)).tolist(), 2: [float(i) for i in range(20)]}
-    out = signal.lowpass(series(spark, groups, "x"), ["s"], "idx", "x", "y", taps=300, size=128).toPandas().sort_values("idx")
+    out = signal.lowpass(series(spark, groups, "x"), ["s"], "idx", "x", "y", size=128).toPandas().sort_values("idx")
     b, a = signal.butterworth(8, 0.2)
     np.testing.assert_allclose(out[out.s == 1]["y"].astype(float), filtfilt(np.array(groups[1]), b, a), atol=1e-7)
     assert out[out.s == 2]["y"].isna().all()
@@ -102,7 +102,7 @@ def test_repair_counter(spark):
     bad[200] += 4000
     bad[201] += 4000
     bad[202] += 4000
-    out = repair_counter(series(spark, {1: bad}, "c", "long"), axis("s", "idx", 64), "c", size=64).toPandas().sort_values("idx")
+    out = repair_counter(series(spark, {1: bad}, "c", "long"), axis("s", "idx", 64), "c").toPandas().sort_values("idx")
     got = out["c"].tolist()
     assert got[:120] == good[:120]
     assert got[120] == good[119] + 1
@@ -113,7 +113,7 @@ def test_repair_counter(spark):
 def test_counter_wraps_over_chunks(spark):
     true = list(range(65_400, 65_400 + 300))
     seen = [v % 65_537 for v in true]
-    out = repair_counter(series(spark, {1: seen}, "c", "long"), axis("s", "idx", 50), "c", size=100).toPandas().sort_values("idx")
+    out = repair_counter(series(spark, {1: seen}, "c", "long"), axis("s", "idx", 50), "c").toPandas().sort_values("idx")
     assert abs(np.array(out["c"]) - np.array(true)).max() <= 1
 
 

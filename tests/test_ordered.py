@@ -139,12 +139,11 @@ def test_hot_series_is_spread(spark):
 
 @pytest.mark.parametrize("first_if_none", [True, False])
 @pytest.mark.parametrize("by", [[], ["s"]])
-def test_effective_long_dimension(spark, monkeypatch, by, first_if_none):
+def test_effective_in_any_chunks(spark, by, first_if_none):
     dim = spark.createDataFrame([(s, t, s * 100 + t) for s in (1, 2) for t in (10 + s, 20 + s, 30 + s)], "s int, t long, v long")
     facts = spark.createDataFrame([(s, t) for s in (1, 2, 3) for t in range(0, 50, 3)], "s int, at long")
     dim = dim if by else dim.drop("s")
     short = timejoin.effective(facts, dim, "at", "t", by, first_if_none)
-    monkeypatch.setattr(timejoin, "fits", lambda *_: False)
     long = timejoin.effective(facts, dim, "at", "t", by, first_if_none, width=7)
     rows = lambda df: sorted(map(str, df.select("s", "at", "v").collect()))
     assert rows(short) == rows(long)

@@ -156,7 +156,7 @@ def default_flow(col: Column, flow: float = 350.0) -> Column:
 
 
 def backscatter_qc(df: DataFrame, by: Sequence[str], blue: str, red: str, fluo: str, legacy: bool = False) -> DataFrame:
-    """NULL backscatter above 0.1 and fluorescence above 0.02.
+    """NULL backscatter above 0.1; fluorescence is kept as it is.
 
     With ``legacy`` the red channel follows the fluorescence mask and nothing is masked unless
     every channel of the series has at least one bad value.
@@ -165,9 +165,7 @@ def backscatter_qc(df: DataFrame, by: Sequence[str], blue: str, red: str, fluo:
     bad_red = F.coalesce(F.col(red) > 0.1, F.lit(True))
     bad_fluo = F.coalesce(F.col(fluo) > 0.02, F.lit(True))
     if not legacy:
-        return df.withColumns(
-            {blue: F.when(~bad_blue, F.col(blue)), red: F.when(~bad_red, F.col(red)), fluo: F.when(~bad_fluo, F.col(fluo))}
-        )
+        return df.withColumns({blue: F.when(~bad_blue, F.col(blue)), red: F.when(~bad_red, F.col(red))})
     armed = df.groupBy(*by).agg((F.bool_or(bad_blue) & F.bool_or(bad_red) & F.bool_or(bad_fluo)).alias("_armed"))
     return (
         df.join(armed, list(by))

@@ -171,9 +171,11 @@ def _join(step: Step, local: Column, carry: Column, edge: Column) -> Column:
 def scan(df: DataFrame, ax: Axis, **steps: Step) -> DataFrame:
     """Add one column per step, exact over the whole series.
 
-    Reads ``df`` twice (rows and totals); put ``durable`` in front when ``df`` is costly.
+    Rows and totals both read ``df``. An input that reads several tables, such as the result of another
+    scan, is written down first, so stacked scans read each input once instead of 2**k times. NULL is
+    a key like any other.
     """
-    cut = ax.cut(df)
+    cut = ax.cut(df if leaves(df) < 2 else durable(df))
     base = Window.partitionBy(*ax.keys).orderBy(*ax.order)
     marks = {}
     if any(s.kind == "step" and s.forward for s in steps.values()):
@@ -183,7 +185,8 @@ def scan(df: DataFrame, ax: Axis, **steps: Step) -> DataFrame:
     rows = cut.withColumns({**{f"_l_{n}": _local(s, ax) for n, s in steps.items()}, **marks})
     totals = cut.groupBy(*ax.keys).agg(*[_total(s, ax).alias(f"_c_{n}") for n, s in steps.items()])
     carry = totals.select(*ax.keys, *[_carry(s, f"_c_{n}", ax).alias(f"_c_{n}") for n, s in steps.items()])
-    joined = rows.join(carry, ax.keys, "left")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in ax.keys])
+    joined = rows.join(carry.withColumnsRenamed({k: f"_k_{k}" for k in ax.keys}), same, "left")
     out = {
         n: _join(s, F.col(f"_l_{n}"), F.col(f"_c_{n}"), F.col("_head" if s.forward else "_tail") if s.kind == "step" else None)
         for n, s in steps.items()
@@ -192,6 +195,11 @@ def scan(df: DataFrame, ax: Axis, **steps: Step) -> DataFrame:
     return joined.select(*kept, *[c.alias(n) for n, c in out.items()])
 
 
+def leaves(df: DataFrame) -> int:
+    """Number of tables that the plan of ``df`` reads, the same table twice counting twice."""
+    return df._jdf.queryExecution().analyzed().collectLeaves().size()
+
+
 def row_index(df: DataFrame, ax: Axis, name: str = "idx") -> DataFrame:
     """Dense position 0, 1, 2 ... of every row in its series."""
     return scan(df, ax, **{name: running("sum", F.lit(1).cast("bigint"))}).withColumn(

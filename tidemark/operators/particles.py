@@ -2,84 +2,89 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.biology import INTENSITY_MAX, diameter_um, size_bin
 from tidemark.operators.clean import correct_counter_wraps
-from tidemark.operators.ordered import Axis, map_blocks, running, scan
+from tidemark.operators.ordered import Axis, following, latest, previous, running, scan, upcoming
 from tidemark.operators.timejoin import interp_join
+from tidemark.session import durable
 
 
-def _between(v: np.ndarray, i: int, reach: int, good: Callable[[float], bool]) -> int:
-    """Value at ``i`` on the line between the nearest good values at most ``reach`` - 1 away."""
-    back = range(i - 1, max(i - reach, -1), -1)
-    ahead = range(i, min(i + reach, len(v)))
-    s = next((k for k in back if good(v[k])), back[-1] if len(back) else i)
-    e = next((k for k in ahead if good(v[k])), ahead[-1])
-    return int(v[i]) if e == s else int((i - s) * (v[e] - v[s]) / (e - s)) + int(v[s])
-
-
-def _fill_zeros(v: np.ndarray) -> None:
-    for i in np.flatnonzero(v == 0):
-        if i > 0:
-            v[i] = _between(v, i, 5, lambda x: x != 0)
-
-
-def _unstick(v: np.ndarray) -> None:
-    for i in np.flatnonzero(np.diff(v) == 0) + 1:
-        v[i] = v[i - 1] + 1
-
-
-def _despike(v: np.ndarray, jump: int = 300, longest: int = 20) -> None:
-    spots = np.flatnonzero(np.abs(np.diff(v)) > jump) + 1
-    jumps = set(spots.tolist())
-    seen = closing = -1
-    for n, i in enumerate(spots):
-        if i + 1 in jumps:
-            spike = v[i]
-            v[i] = _between(v, i, 5, lambda x: x != spike)
-        elif i not in (seen + 1, closing) and n + 1 < len(spots):
-            end = spots[n + 1]
-            if end - i + 2 <= longest:
-                piece = v[i:end]
-                if v[i] > v[i - 1]:
-                    edge = piece.min()
-                    for k in range(i, end):
-                        v[k] = _between(v, k, end - i + 2, lambda x: x < edge)
-                else:
-                    edge = piece.max()
-                    for k in range(i, end):
-                        v[k] = _between(v, k, end - i + 2, lambda x: x > edge)
-            closing = end
-        seen = i
-
-
-def repair_counter(df: DataFrame, ax: Axis, counter: str, halo: int = 256, size: int = 50_000) -> DataFrame:
+#: Rows within which a zero or a spike is repaired from its neighbours, and the jump that opens a spike.
+ZERO_REACH, SPIKE_LENGTH, JUMP = 5, 20, 300
+
+
+def _on_line(at: Column, at0: Column, v0: Column, at1: Column, v1: Column) -> Column:
+    """Whole number at ``at`` on the line between two known rows."""
+    return (v0 + F.floor((at - at0) * (v1 - v0) / (at1 - at0))).cast("bigint")
+
+
+def fill_zeros(df: DataFrame, ax: Axis, counter: str, reach: int = ZERO_REACH) -> DataFrame:
+    """Zeros become the line between the nearest other values, if both are less than ``reach`` rows away."""
+    idx, v = F.col(ax.order[0]), F.col(counter)
+    good = v != 0
+    near = scan(
+        df,
+        ax,
+        _i0=latest(F.when(good, idx)),
+        _v0=latest(F.when(good, v)),
+        _i1=upcoming(F.when(good, idx)),
+        _v1=upcoming(F.when(good, v)),
+    )
+    line = _on_line(idx, F.col("_i0"), F.col("_v0"), F.col("_i1"), F.col("_v1"))
+    close = (idx - F.col("_i0") < reach) & (F.col("_i1") - idx < reach)
+    return near.withColumn(counter, F.when((v == 0) & close, line).otherwise(v)).select(df.columns)
+
+
+def unstick(df: DataFrame, ax: Axis, counter: str) -> DataFrame:
+    """A value that stays the same counts on from its first row, however long it stays."""
+    idx, v = F.col(ax.order[0]), F.col(counter)
+    stepped = scan(df, ax, _before=previous(v))
+    begins = F.when(F.col("_before").isNull() | v.isNull() | (F.col("_before") != v), idx)
+    runs = scan(stepped, ax, _begin=latest(begins))
+    return runs.withColumn(counter, v + idx - F.col("_begin")).select(df.columns)
+
+
+def despike(df: DataFrame, ax: Axis, counter: str, jump: int = JUMP, longest: int = SPIKE_LENGTH) -> DataFrame:
+    """Rows between a jump and the jump back become the line between the rows around them.
+
+    Jumps less than ``longest`` rows apart are a cluster; in a cluster the first and second jump are a
+    spike, the third and fourth the next, if they go in opposite directions. A jump without a partner
+    is a lasting step and stays.
+    """
+    by, at, v = list(ax.by), ax.order[0], F.col(counter)
+    stepped = scan(df, ax, _before=previous(v))
+    stepped = durable(stepped.withColumn("_jump", v - F.col("_before")))
+    jumps = stepped.where(F.abs("_jump") > jump).select(*by, at, "_before", "_jump", v.alias("_value"))
+    apart = F.col(at) - F.col("_last") > longest
+    placed = scan(jumps, ax, _last=previous(F.col(at)), _next=following(F.col(at)), _back=following(F.col("_jump")), _end=following(F.col("_value")))
+    numbered = scan(placed.withColumn("_opens", F.col("_last").isNull() | apart), ax, _n=running("sum", F.lit(1).cast("bigint")))
+    first = scan(numbered, ax, _first=latest(F.when(F.col("_opens"), F.col("_n"))))
+    returns = (F.col("_next") - F.col(at) <= longest) & (F.signum("_jump") == -F.signum("_back"))
+    spikes = first.where(((F.col("_n") - F.col("_first")) % 2 == 0) & returns)
+    rows = spikes.withColumn("_at", F.explode(F.sequence(F.col(at), F.col("_next") - 1)))
+    line = _on_line(F.col("_at"), F.col(at) - 1, F.col("_before"), F.col("_next"), F.col("_end"))
+    keys = {k: f"_k_{k}" for k in by}
+    mended = rows.select(*[F.col(k).alias(n) for k, n in keys.items()], "_at", line.alias("_line"))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(n)) for k, n in keys.items()], F.col(at) == F.col("_at"))
+    return stepped.join(mended, same, "left").withColumn(counter, F.coalesce("_line", counter)).select(df.columns)
+
+
+def repair_counter(df: DataFrame, ax: Axis, counter: str) -> DataFrame:
     """Repair a 16-bit sample counter: wraps, zeros, stuck values and spikes, in that order.
 
-    ``ax`` is ordered by a dense row index. Wraps are summed over the whole series; the other
-    faults are local (a spike is repaired from at most 20 rows around it), so blocks with a halo
-    repair them. A spike longer than that stays as it is.
+    ``ax`` is ordered by a dense row index. All steps look along the whole series, so the result does
+    not depend on its chunks. A NULL counter stays NULL and ends a run of equal values.
     """
-    idx = ax.order[0]
-
-    def repair(block: pd.DataFrame) -> pd.DataFrame:
-        v = block[counter].to_numpy(dtype="int64").copy()
-        for step in (_fill_zeros, _unstick, _despike):
-            step(v)
-        block[counter] = v
-        return block
-
-    unwrapped = correct_counter_wraps(df, ax, counter).withColumn(counter, F.col(counter).cast("bigint"))
-    fields = [T.StructField(f.name, T.LongType()) if f.name == counter else f for f in df.schema.fields]
-    return map_blocks(unwrapped, ax.by, idx, halo, halo, repair, T.StructType(fields), size)
+    whole = df.withColumn(counter, F.col(counter).cast("bigint"))
+    for step in (correct_counter_wraps, fill_zeros, unstick, despike):
+        whole = step(whole, ax, counter)
+    return whole
 
 
 def build_particles(df: DataFrame, ax: Axis, start: str = "n", out: str = "particle") -> DataFrame:

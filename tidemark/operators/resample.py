@@ -100,7 +100,11 @@ def median3(df: DataFrame, ax: Axis, cols: Sequence[str], fill_ends: bool = Fals
         full = x.isNotNull() & y.isNotNull() & z.isNotNull()
         middle[c] = F.when(full, F.greatest(F.least(x, y), F.least(F.greatest(x, y), z)))
     done = near.withColumns(middle).select(df.columns)
-    return fill(fill(done, ax, cols, forward=False), ax, cols, forward=True) if fill_ends else done
+    if not fill_ends:
+        return done
+    steps = {f"_n_{c}": upcoming(F.col(c)) for c in cols} | {f"_p_{c}": latest(F.col(c)) for c in cols}
+    seen = scan(done, ax, **steps)
+    return seen.withColumns({c: F.coalesce(f"_n_{c}", f"_p_{c}") for c in cols}).select(df.columns)
 
 
 def fill(df: DataFrame, ax: Axis, cols: Sequence[str], forward: bool = True) -> DataFrame:
@@ -136,19 +140,23 @@ def rolling(df: DataFrame, by: Sequence[str], idx: str, col: str, fn: str, width
 
     An even width covers ``-width/2 .. width/2 - 1``. Narrow windows run as window expressions.
     Those visit every row of every frame, so wide ones slide in pandas, block by block, at a cost
-    per row that does not grow with the width.
+    per row that does not grow with the width. Both give a double (the count a long) and take NaN as
+    missing.
     """
     before, after = width // 2, (width - 1) // 2
+    kind = T.LongType() if fn == "count" else T.DoubleType()
     if width <= 16 and fn != "median":
         make = {"min": F.min, "max": F.max, "mean": F.avg, "count": F.count, "sum": F.sum}[fn]
-        return frames(df, by, idx, before, after, {out: lambda w: make(col).over(w)}, size)
+        # As in pandas: NaN is missing, and every statistic but the count is a double.
+        value = F.col(col).cast("double")
+        known = F.when(~F.isnan(value), value)
+        return frames(df, by, idx, before, after, {out: lambda w: make(known).over(w).cast(kind)}, size)
 
     def slide(block: pd.DataFrame) -> pd.DataFrame:
         window = block[col].rolling(width, min_periods=0 if fn == "count" else 1, center=True)
         block[out] = getattr(window, fn)()
         return block
 
-    kind = T.LongType() if fn == "count" else T.DoubleType()
     return map_blocks(df, by, idx, before, after, slide, T.StructType([*df.schema.fields, T.StructField(out, kind)]), size)
 
 

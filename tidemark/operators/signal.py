@@ -17,6 +17,7 @@ from tidemark.operators.ordered import (
     axis,
     following,
     latest,
+    leaves,
     map_blocks,
     previous,
     quantiles,
@@ -86,31 +87,54 @@ def _drop_ripples(lo: np.ndarray, hi: np.ndarray, v: np.ndarray, least: float) -
     return lo[stack], hi[stack], v[stack]
 
 
+def _reach(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each element the nearest higher one to its left (-1 for none) and the least value between them.
+
+    One pass with a stack of falling values: what is popped is not higher, and its least value is
+    handed on, so each element is looked at once.
+    """
+    higher, least = np.empty(len(v), np.int64), np.array(v, dtype=float)
+    stack: list[int] = []
+    for i in range(len(v)):
+        low = v[i]
+        while stack and v[stack[-1]] <= v[i]:
+            low = min(low, least[stack.pop()])
+        higher[i], least[i] = (stack[-1] if stack else -1), low
+        stack.append(i)
+    return higher, least
+
+
+def _crossings(v: np.ndarray, spots: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """For each spot the nearest element to its left that is not above the spot's level, by halving.
+
+    ``floor[k][i]`` is the least of the ``2**k`` elements up to i.
+    """
+    floors = [np.array(v, dtype=float)]
+    while 2 ** len(floors) <= len(v):
+        last, step = floors[-1], 2 ** (len(floors) - 1)
+        floors.append(np.r_[np.minimum.accumulate(v[:step]), np.minimum(last[step:], last[:-step])])
+    at = spots.copy()
+    for k in range(len(floors) - 1, -1, -1):
+        over = (at >= 0) & (floors[k][np.maximum(at, 0)] > levels)
+        at = np.where(over & (at - 2**k >= -1), at - 2**k, at)
+    return at
+
+
 def _prominent(v: np.ndarray, least: float) -> list[tuple[int, float, int, int]]:
     """Peaks of an alternating list: position, prominence and the elements just inside whose outer
     neighbours the half-prominence level is crossed."""
-    out = []
-    for p in range(1, len(v) - 1):
-        if not (v[p] > v[p - 1] and v[p] > v[p + 1]):
-            continue
-        base = []
-        for side in (-1, 1):
-            low, k = v[p], p + side
-            while 0 <= k < len(v) and v[k] <= v[p]:
-                low = min(low, v[k])
-                k += side
-            base.append(low)
-        prominence = v[p] - max(base)
-        if prominence < least:
-            continue
-        level, ends = v[p] - 0.5 * prominence, []
-        for side in (-1, 1):
-            k = p
-            while v[k + side] > level:
-                k += side
-            ends.append(k)
-        out.append((p, prominence, ends[0], ends[1]))
-    return out
+    if len(v) < 3:
+        return []
+    v = np.array(v, dtype=float)
+    n = len(v)
+    left, right = _reach(v)[1], _reach(v[::-1])[1][::-1]
+    tops = 1 + np.flatnonzero((v[1:-1] > v[:-2]) & (v[1:-1] > v[2:]))
+    prominence = v[tops] - np.maximum(left[tops], right[tops])
+    tops, prominence = tops[prominence >= least], prominence[prominence >= least]
+    level = v[tops] - 0.5 * prominence
+    before = _crossings(v, tops, level)
+    after = n - 1 - _crossings(v[::-1], n - 1 - tops, level)
+    return [(int(p), float(q), int(a) + 1, int(b) - 1) for p, q, a, b in zip(tops, prominence, before, after)]
 
 
 def turning_points(
@@ -163,6 +187,7 @@ def turning_points(
 
     block = F.floor(F.col(idx) / F.lit(size))
     core = df.select(*by, idx, x).where(F.col(x).isNotNull()).withColumn("_block", block)
+    core = core if leaves(core) < 2 else durable(core)
     extremes = core.groupBy(*by, "_block").applyInPandas(shrink, runs)
     tops = durable(extremes.groupBy(*by).applyInPandas(rank, found))
 
@@ -199,6 +224,7 @@ def profile_number(
     """Number the dives: a turning point starts a new one when the depth changes by more than
     ``min_change`` metres up to the next turning point."""
     by = list(by)
+    df = df if leaves(df) < 2 else durable(df)
     turns = turning_points(df, by, idx, depth, prominence, width, size).select(*by, idx, F.col(depth).alias("_d"))
     ends = df.groupBy(*by).agg(F.max(idx).alias(idx), F.max_by(depth, idx).alias("_d"))
     ordered = Window.partitionBy(*by).orderBy(idx)
@@ -306,22 +332,24 @@ def night_spans(df: DataFrame, by: Sequence[str], us: str, altitude: str, km: st
 
 
 def background_envelope(
-    df: DataFrame, by: Sequence[str], idx: str, x: str, window: int = 300, least: float = ENVELOPE_MIN, size: int = 50_000
+    df: DataFrame, by: Sequence[str], idx: str, x: str, window: int = 300, least: float = ENVELOPE_MIN, size: int = 50_000, trailing: bool = False
 ) -> DataFrame:
     """Lower, middle and upper background level: smoothed rolling minimum and median.
 
-    Two stacked centred windows need a halo of twice the half width; both run in one pass.
+    Windows are centred, or end at their row with ``trailing``. Two stacked windows need a halo of
+    twice their reach; both run in one pass.
     """
     schema = T.StructType([*df.schema.fields, *(T.StructField(n, T.DoubleType()) for n in ("min_bg", "med_bg", "max_bg"))])
 
     def levels(block: pd.DataFrame) -> pd.DataFrame:
-        roll = block[x].rolling(window, min_periods=1, center=True)
-        low, mid = (s.rolling(window, min_periods=1, center=True).mean() for s in (roll.min(), roll.median()))
+        roll = block[x].rolling(window, min_periods=1, center=not trailing)
+        low, mid = (s.rolling(window, min_periods=1, center=not trailing).mean() for s in (roll.min(), roll.median()))
         block["min_bg"], block["med_bg"] = low, mid
         block["max_bg"] = np.maximum(2 * mid - low, mid + least)
         return block
 
-    return map_blocks(df, by, idx, window, window, levels, schema, size)
+    before, after = (2 * window, 0) if trailing else (window, window)
+    return map_blocks(df, by, idx, before, after, levels, schema, size)
 
 
 def flash_counts(
@@ -366,25 +394,69 @@ def butterworth(order: int, cutoff: float) -> tuple[np.ndarray, np.ndarray]:
     return b * (a.sum() / b.sum()), a
 
 
-def impulse_response(b: np.ndarray, a: np.ndarray, taps: int) -> np.ndarray:
-    """First ``taps`` outputs of the filter for a unit impulse."""
-    y = np.zeros(taps)
-    for n in range(taps):
-        y[n] = (b[n] if n < len(b) else 0.0) - sum(a[j] * y[n - j] for j in range(1, min(n, len(a) - 1) + 1))
-    return y
+def sections(order: int, cutoff: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The same filter as a chain of second-order sections (the last of first order if the order is odd).
+
+    Each has a gain of 1 at rest. The chain stays exact at low cutoffs, where the coefficients of the
+    whole polynomial lose their digits.
+    """
+    warped = 4 * math.tan(math.pi * cutoff / 2)
+    out = []
+    for k in range((order + 1) // 2):
+        pole = warped * np.exp(1j * math.pi * (2 * k + order + 1) / (2 * order))
+        z = (4 + pole) / (4 - pole)
+        single = order % 2 and k == order // 2
+        a = np.array([1.0, -z.real]) if single else np.array([1.0, -2 * z.real, abs(z) ** 2])
+        b = np.array([1.0, 1.0]) if single else np.array([1.0, 2.0, 1.0])
+        out.append((b * (a.sum() / b.sum()), a))
+    return out
+
+
+def impulse_response(chain: list[tuple[np.ndarray, np.ndarray]], taps: int) -> np.ndarray:
+    """First ``taps`` outputs of the chain for a unit impulse."""
+    signal = [1.0] + [0.0] * (taps - 1)
+    for b, a in chain:
+        b, a = np.r_[b, [0.0] * (3 - len(b))].tolist(), np.r_[a, [0.0] * (3 - len(a))].tolist()
+        x1 = x2 = y1 = y2 = 0.0
+        out = []
+        for x in signal:
+            y = b[0] * x + b[1] * x1 + b[2] * x2 - a[1] * y1 - a[2] * y2
+            out.append(y)
+            x1, x2, y1, y2 = x, x1, y, y1
+        signal = out
+    return np.array(signal)
+
+
+def fading_response(order: int, cutoff: float, tolerance: float, most: int = 1_000_000) -> np.ndarray:
+    """Impulse response up to where the rest of it sums to less than ``tolerance``.
+
+    The largest pole tells how fast it fades and so where to look first; a response that is still
+    above the tolerance after ``most`` rows is refused.
+    """
+    chain = sections(order, cutoff)
+    radius = max(math.sqrt(a[2]) if len(a) > 2 else abs(a[1]) for _, a in chain)
+    if not radius < 1:
+        raise ValueError("the filter does not fade")
+    taps = 64 + int(math.log(tolerance) / math.log(radius))
+    while taps <= most:
+        h = impulse_response(chain, taps)
+        if np.abs(h[-(taps // 8) :]).sum() < tolerance * (1 - radius ** (taps // 8)):
+            return h
+        taps *= 2
+    raise ValueError(f"the response is above {tolerance} after {most} rows; raise the cutoff or the tolerance")
 
 
 def lowpass(
-    df: DataFrame, by: Sequence[str], idx: str, x: str, out: str, cutoff_hz: float = 1.0, rate_hz: float = 10.0, order: int = 8, taps: int = 600, size: int = 50_000
+    df: DataFrame, by: Sequence[str], idx: str, x: str, out: str, cutoff_hz: float = 1.0, rate_hz: float = 10.0, order: int = 8, size: int = 50_000, tolerance: float = 1e-12
 ) -> DataFrame:
     """Zero-phase low-pass: Butterworth forward and backward, ends extended by odd reflection.
 
-    The response fades below 1e-12 within ``taps`` rows, so a halo of that length makes the blocks
-    of a long series agree with one pass over all of it. Series too short for the reflection are
-    NULL.
+    The response is cut where what is left of it is below ``tolerance``, so a halo of that length makes
+    the blocks of a long series agree with one pass over all of it. Series too short for the
+    reflection are NULL.
     """
-    b, a = butterworth(order, cutoff_hz / (rate_hz / 2))
-    h = impulse_response(b, a, taps)
+    h = fading_response(order, cutoff_hz / (rate_hz / 2), tolerance)
+    taps = len(h)
     pad = 3 * (order + 1)
     total = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])

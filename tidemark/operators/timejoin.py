@@ -8,11 +8,12 @@ one series must be unique within each side; ``keep_monotonic`` gives that.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import HOUR, axis, fits, latest, scan, upcoming
+from tidemark.operators.ordered import HOUR, axis, latest, scan, upcoming
 
 
 def _timeline(a: DataFrame, b: DataFrame, by: Sequence[str], ts: str, cols: Sequence[str], width: float) -> DataFrame:
@@ -119,40 +120,23 @@ def aligned(a: DataFrame, b: DataFrame, on: Sequence[str], how: str = "full") ->
 def effective(df: DataFrame, dim: DataFrame, at: str, valid_from: str, by: Sequence[str] = (), first_if_none: bool = True, width: float = 720 * HOUR) -> DataFrame:
     """Newest dimension row valid at a time, else the first one (or none).
 
-    A dimension of a few rows is broadcast after its size is checked; a long one is looked up
-    along the time line like any other series.
+    Looked up along the time line like any other series, whatever the size of the dimension. A
+    dimension row without ``valid_from`` is never valid; a fact without a time has no row before it,
+    so it gets the first one (or none).
     """
-    if not fits(dim, 2_000):
-        return _effective_timeline(df, dim, at, valid_from, by, first_if_none, width)
-    w = Window.partitionBy(*(by or [F.lit(1)])).orderBy(valid_from)
-    opened = F.col(valid_from)
-    if first_if_none:
-        opened = F.when(F.row_number().over(w) > 1, opened)
-    spans = dim.withColumns({"_open": opened, "_close": F.lead(valid_from).over(w)})
-    for k in by:
-        spans = spans.withColumnRenamed(k, f"_k_{k}")
-    since = F.col("_open") <= F.col(at)
-    inside = (since | F.col("_open").isNull()) if first_if_none else since
-    inside = inside & (F.col("_close").isNull() | (F.col(at) < F.col("_close")))
-    for k in by:
-        inside = inside & (F.col(k) == F.col(f"_k_{k}"))
-    joined = df.join(F.broadcast(spans), inside, "left")
-    return joined.drop("_open", "_close", *[f"_k_{k}" for k in by])
-
-
-def _effective_timeline(df: DataFrame, dim: DataFrame, at: str, valid_from: str, by: Sequence[str], first_if_none: bool, width: float) -> DataFrame:
     keys = list(by) or ["_all"]
     facts = df if by else df.withColumn("_all", F.lit(1))
     rows = dim if by else dim.withColumn("_all", F.lit(1))
     cols = [c for c in dim.columns if c not in by]
-    rows = rows.select(*keys, F.col(valid_from).alias(at), F.struct(*cols).alias("_row"))
-    near = _timeline(facts, rows, keys, at, ["_row"], width)
+    dated = rows.where(F.col(valid_from).isNotNull()).select(*keys, F.col(valid_from).alias(at), F.struct(*cols).alias("_row"))
+    near = _timeline(facts, dated, keys, at, ["_row"], width)
+    found = F.when(F.col(at).isNotNull(), F.col("_row_0"))
     if first_if_none:
-        first = rows.groupBy(*keys).agg(F.min_by("_row", at).alias("_first"))
-        near = near.join(first, keys, "left")
-        found = F.coalesce("_row_0", "_first")
-    else:
-        found = F.col("_row_0")
+        first = dated.groupBy(*keys).agg(F.min_by("_row", at).alias("_first"))
+        first = first.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+        near = near.join(first, same, "left")
+        found = F.coalesce(found, "_first")
     return near.withColumn("_found", found).select(*df.columns, "_found.*")
 
 

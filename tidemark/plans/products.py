@@ -45,7 +45,7 @@ def particle_frames(frames: DataFrame, ax: Axis, size: int = 50_000) -> DataFram
     by = list(ax.by)
     sound = drop_garbled(frames, "counts", "threshold", "buffer")
     dense = durable(row_index(sound, ax, "_i"))
-    repaired = pt.repair_counter(dense, axis(by, "_i", size), "counter", size=size)
+    repaired = pt.repair_counter(dense, axis(by, "_i", size), "counter")
     timed = pt.frame_times(durable(repaired), by, "_i", "counter", "start").drop("_i")
     return timed.withColumn("speed", flow_speed(F.col("flow_time"), F.col("flow_count")))
 

@@ -55,12 +55,11 @@ def agg2(spark, sf):
     return rs.fill(grid, axis("series", "us", 10 * DAY), ["value"]).select("series", "us", F.round("value", 6).alias("value"))
 
 
-EXTENT = """SELECT user_id % 10 AS mission, event_type AS instr, epoch_us(ts) AS us, value FROM events WHERE NOT (event_type = 'click' AND ts > TIMESTAMP '2024-01-29')"""
+EXTENT = """SELECT user_id % 10 AS mission, event_type AS instr, epoch_us(ts) AS us, value FROM events"""
 
 
 def instruments(spark, sf):
-    e = table(spark, sf, "events").where("NOT (event_type = 'click' AND ts > TIMESTAMP_NTZ '2024-01-29')")
-    return e.select(
+    return table(spark, sf, "events").select(
         (F.col("user_id") % 10).alias("mission"),
         F.col("event_type").alias("instr"),
         F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),

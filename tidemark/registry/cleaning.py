@@ -209,7 +209,7 @@ def optics(spark, sf):
 @query(
     "cln11_backscatter_qc",
     f"""WITH o AS ({OPTICS}) SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, CASE WHEN blue <= 0.1 THEN blue END AS blue,
-    CASE WHEN red <= 0.1 THEN red END AS red, CASE WHEN fluo <= 0.02 THEN fluo END AS fluo FROM o""",
+    CASE WHEN red <= 0.1 THEN red END AS red, fluo FROM o""",
 )
 def cln11(spark, sf):
     return clean.backscatter_qc(optics(spark, sf), ["l_suppkey"], "blue", "red", "fluo")

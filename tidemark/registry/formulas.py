@@ -187,27 +187,28 @@ BEAM_SQL = f"""h AS (SELECT {KEY}, CAST(l_extendedprice AS BIGINT) % 65536 AS ra
     CASE status WHEN 1 THEN 1.0 WHEN 2 THEN 9.8 WHEN 3 THEN 97.5 WHEN 4 THEN 985.0 WHEN 5 THEN 10050.0 ELSE status END AS gain FROM h)"""
 
 
+#: Counts that keep the formula finite: small where the gain is.
+WEAK = "CAST(floor(l_extendedprice) AS BIGINT) % (CASE WHEN l_linenumber BETWEEN 3 AND 5 THEN 65536 ELSE 60 END)"
+
+
 def hs2_rows(spark, sf):
     return lines(spark, sf).select(
-        *LINE, (F.col("l_extendedprice").cast("bigint") % 65536).alias("raw"), F.col("l_linenumber").alias("status"), (F.col("l_quantity") * 5).alias("tr")
+        *LINE, "l_extendedprice", (F.col("l_extendedprice").cast("bigint") % 65536).alias("raw"), F.col("l_linenumber").alias("status"), (F.col("l_quantity") * 5).alias("tr")
     )
 
 
 @query(
     "fn12_backscatter",
-    f"""WITH {BEAM_SQL.replace('CAST(l_extendedprice AS BIGINT)', 'CAST(floor(l_extendedprice) AS BIGINT)')}, b AS (SELECT *, sraw*4.3/(warm*(gain*4871.0)) AS beta FROM g),
+    f"""WITH {BEAM_SQL.replace('CAST(l_extendedprice AS BIGINT) % 65536', WEAK)}, b AS (SELECT *, sraw*4.3/(warm*(gain*4871.0)) AS beta FROM g),
     p AS (SELECT *, 2*pi()*1.08*(beta - 2.18e-4*pow(525/420.0, 4.32)) AS particles FROM b)
-    SELECT {KEY}, round(2*pi()*1.08*(exp(0.1486*({absorption_sql(420)} + 0.4*particles/0.015))*beta - 2.18e-4*pow(525/420.0, 4.32)), 6) AS bbp, round(sraw*50/(warm*gain*4871.0), 6) AS fl
-    FROM p WHERE particles < 0.5""",
+    SELECT {KEY}, round(2*pi()*1.08*(exp(0.1486*({absorption_sql(420)} + 0.4*particles/0.015))*beta - 2.18e-4*pow(525/420.0, 4.32)), 6) AS bbp, round(sraw*50/(warm*gain*4871.0), 6) AS fl FROM p""",
 )
 def fn12(spark, sf):
-    df = hs2_rows(spark, sf).withColumn("status", F.col("status").cast("int"))
+    df = hs2_rows(spark, sf).withColumns({"status": F.col("status").cast("int"), "raw": F.expr(WEAK)})
     args = (F.col("raw"), F.col("status"), F.col("tr"))
     _, bbp = optics.backscatter(*args, 420, sigma_exp=0.1486, **HS2)
     fl = optics.fluorescence(*args, temp_coeff=-1.2e-3, cal_temp=19.0, gains=GAINS, nominal=4871.0)
-    beta = optics.signed16(F.col("raw")) * 4.3 / ((1 - 1.2e-3 * ((F.col("tr") / 5 - 10) - 19.0)) * optics.gain(F.col("status"), GAINS) * 4871.0)
-    weak = 2 * F.pi() * 1.08 * (beta - optics.water_scatter(F.lit(420.0))[0]) < 0.5
-    return df.where(weak).select(*LINE, F.round(bbp, 6).alias("bbp"), F.round(fl, 6).alias("fl"))
+    return df.select(*LINE, F.round(bbp, 6).alias("bbp"), F.round(fl, 6).alias("fl"))
 
 
 @query(
@@ -466,7 +467,7 @@ def arr2_long(spark, sf):
 @query(
     "set1_concat_logs",
     """WITH u AS (SELECT user_id AS series, epoch_us(date_trunc('minute', ts)) AS us, event_id AS seq, value AS a, NULL::DOUBLE AS b FROM events WHERE event_id % 2 = 0
-    UNION ALL SELECT user_id, epoch_us(date_trunc('minute', ts)), event_id, NULL, value FROM events WHERE event_id % 3 = 0)
+    UNION ALL SELECT user_id, epoch_us(date_trunc('minute', ts)), event_id, NULL, value FROM events WHERE event_id % 2 = 1 OR event_id % 3 = 0)
     SELECT series, us, seq, a, b FROM (SELECT *, row_number() OVER (PARTITION BY series, us ORDER BY seq, b IS NOT NULL) AS rn FROM u) q WHERE rn = 1""",
 )
 def set1(spark, sf):
@@ -476,19 +477,19 @@ def set1(spark, sf):
         F.col("user_id").alias("series"), F.unix_micros(F.date_trunc("minute", F.col("ts").cast("timestamp"))).alias("us"), F.col("event_id").alias("seq"), "value"
     )
     first = e.where("seq % 2 = 0").withColumnRenamed("value", "a")
-    second = e.where("seq % 3 = 0").withColumnRenamed("value", "b")
+    second = e.where("seq % 2 = 1 OR seq % 3 = 0").withColumnRenamed("value", "b")
     return concat_logs([first, second], ["series"], "us", "seq", unique=True).select("series", "us", "seq", "a", "b")
 
 
 @query(
     "set1_concat_logs_all",
-    """SELECT user_id AS series, event_id AS seq, value AS a, NULL::DOUBLE AS b FROM events WHERE event_id % 2 = 0 UNION ALL SELECT user_id, event_id, NULL, value FROM events WHERE event_id % 3 = 0""",
+    """SELECT user_id AS series, event_id AS seq, value AS a, NULL::DOUBLE AS b FROM events WHERE event_id % 2 = 0 UNION ALL SELECT user_id, event_id, NULL, value FROM events WHERE event_id % 2 = 1 OR event_id % 3 = 0""",
 )
 def set1_all(spark, sf):
     from tidemark.operators.arrays import concat_logs
 
     e = table(spark, sf, "events").select(F.col("user_id").alias("series"), F.col("event_id").alias("seq"), "value")
-    parts = [e.where("seq % 2 = 0").withColumnRenamed("value", "a"), e.where("seq % 3 = 0").withColumnRenamed("value", "b")]
+    parts = [e.where("seq % 2 = 0").withColumnRenamed("value", "a"), e.where("seq % 2 = 1 OR seq % 3 = 0").withColumnRenamed("value", "b")]
     return concat_logs(parts, ["series"], "seq", "seq", unique=False).select("series", "seq", "a", "b")
 
 

@@ -150,11 +150,11 @@ def join9(spark, sf):
 
 @query(
     "join9_effective_keyed",
-    """WITH d AS (SELECT s_nationkey AS series, s_suppkey, TIMESTAMP '1995-01-01' + INTERVAL 1 DAY * (s_suppkey * 20) AS valid_from FROM supplier WHERE s_suppkey < 100)
+    """WITH d AS (SELECT s_nationkey AS series, s_suppkey, TIMESTAMP '1995-01-01' + INTERVAL 1 DAY * (s_suppkey * 20) AS valid_from FROM supplier)
     SELECT o_orderkey, s_suppkey AS setting FROM (SELECT o_orderkey, o_custkey % 25 AS series, o_orderdate FROM orders) o ASOF LEFT JOIN d ON o.series = d.series AND o.o_orderdate >= d.valid_from""",
 )
 def join9_keyed(spark, sf):
-    dim = table(spark, sf, "supplier").where("s_suppkey < 100").select(
+    dim = table(spark, sf, "supplier").select(
         F.col("s_nationkey").cast("bigint").alias("series"),
         F.col("s_suppkey").alias("setting"),
         (F.lit("1995-01-01").cast("timestamp") + F.make_dt_interval((F.col("s_suppkey") * 20).cast("int"))).alias("valid_from"),

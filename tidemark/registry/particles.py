@@ -114,16 +114,33 @@ def agg27_clock(spark, sf):
     return pt.frame_clock(r.where("idx % 3 = 0").select("series", "idx"), clock, ["series"], "idx", "sec", 700).withColumn("sec", F.round("sec", 6))
 
 
-@query("cln18_repair_counter")
-def cln18(spark, sf):
-    v = F.col("value")
-    true = F.col("idx") * 2 + 100
-    seen = F.when(v > 150, 0).when(v > 120, true + 5000).when(v > 110, F.lag(true).over(_by_idx())).otherwise(true)
-    df = fx.rate60(spark, sf).select("series", "idx", (seen % 65536).alias("counter"))
-    return pt.repair_counter(df, axis("series", "idx", 700), "counter", size=700)
-
+#: Zeros, single and long spikes, lasting steps and stuck values, with no regard to chunk borders.
+FAULTY = """CASE WHEN idx % 97 BETWEEN 40 AND 42 THEN 0 WHEN value > 150 THEN idx*2 + 5100 WHEN idx % 1500 BETWEEN 700 AND 711 THEN idx*2 - 4000
+    WHEN idx % 400 BETWEEN 90 AND 280 THEN (idx - (idx % 400 - 90))*2 + 100 ELSE idx*2 + 100 END"""
 
-def _by_idx():
-    from pyspark.sql import Window
 
-    return Window.partitionBy("series", F.floor(F.col("idx") / 700)).orderBy("idx")
+@query(
+    "cln18_repair_counter",
+    f"""WITH u AS (SELECT series, idx, CAST({FAULTY} AS BIGINT) AS c FROM rate60),
+    w AS (SELECT series, idx, c + 65537 * count(*) FILTER (WHERE d > -65540 AND d < -65530) OVER (PARTITION BY series ORDER BY idx) AS c
+      FROM (SELECT *, c - lag(c) OVER (PARTITION BY series ORDER BY idx) AS d FROM u)),
+    n AS (SELECT *, max(CASE WHEN c <> 0 THEN idx END) OVER (PARTITION BY series ORDER BY idx) AS i0,
+      min(CASE WHEN c <> 0 THEN idx END) OVER (PARTITION BY series ORDER BY idx DESC) AS i1 FROM w),
+    z AS (SELECT n.series, n.idx, CASE WHEN n.c = 0 AND n.idx - i0 < 5 AND i1 - n.idx < 5
+      THEN a.c + CAST(floor((n.idx - i0) * (b.c - a.c) / (i1 - i0)) AS BIGINT) ELSE n.c END AS c
+      FROM n LEFT JOIN w a ON a.series = n.series AND a.idx = i0 LEFT JOIN w b ON b.series = n.series AND b.idx = i1),
+    r AS (SELECT *, max(CASE WHEN p IS NULL OR p <> c THEN idx END) OVER (PARTITION BY series ORDER BY idx) AS i0
+      FROM (SELECT *, lag(c) OVER (PARTITION BY series ORDER BY idx) AS p FROM z)),
+    s AS (SELECT series, idx, c + idx - i0 AS c FROM r),
+    j AS (SELECT * FROM (SELECT series, idx, c, lag(c) OVER (PARTITION BY series ORDER BY idx) AS p FROM s) WHERE abs(c - p) > 300),
+    k AS (SELECT *, lead(idx) OVER o AS until, lead(c) OVER o AS c1, lead(c - p) OVER o AS back, idx - lag(idx) OVER o AS gap, row_number() OVER o AS n
+      FROM j WINDOW o AS (PARTITION BY series ORDER BY idx)),
+    m AS (SELECT *, max(CASE WHEN gap IS NULL OR gap > 20 THEN n END) OVER (PARTITION BY series ORDER BY idx) AS first FROM k),
+    x AS (SELECT series, idx, until, p, c1 FROM m WHERE (n - first) % 2 = 0 AND until - idx <= 20 AND sign(c - p) = -sign(back))
+    SELECT s.series, s.idx, CASE WHEN x.idx IS NULL THEN s.c ELSE p + CAST(floor((s.idx - x.idx + 1) * (c1 - p) / (until - x.idx + 1)) AS BIGINT) END AS counter
+    FROM s LEFT JOIN x ON s.series = x.series AND s.idx >= x.idx AND s.idx < until""",
+    ("rate60",),
+)
+def cln18(spark, sf):
+    df = fx.rate60(spark, sf).select("series", "idx", F.expr(FAULTY).cast("bigint").alias("counter"))
+    return pt.repair_counter(df, axis("series", "idx", 700), "counter")

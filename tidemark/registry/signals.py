@@ -245,7 +245,7 @@ def win17(spark, sf):
 
 @query("win18_lowpass")
 def win18(spark, sf):
-    out = sig.lowpass(fx.track(spark, sf), ["series"], "idx", "depth", "smooth", taps=300, size=5_000)
+    out = sig.lowpass(fx.track(spark, sf), ["series"], "idx", "depth", "smooth", size=5_000)
     return out.select("series", "idx", F.round("smooth", 6).alias("smooth"))
 
 
@@ -347,11 +347,12 @@ def agg24(spark, sf):
 
 @query(
     "agg25_cross_calibrate",
-    f"""WITH {SECTION}, a AS (SELECT xi, zi, log10(v) AS x FROM sect WHERE series = 0 AND v > 0), b AS (SELECT xi, zi, log10(v) AS y FROM sect WHERE series = 1 AND v > 0)
-    SELECT xi, round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept, round(regr_r2(y, x), 6) AS r2, count(*) AS n FROM a JOIN b USING (xi, zi) GROUP BY xi""",
+    f"""WITH {SECTION}, a AS (SELECT series AS pair, xi, zi, log10(v) AS x FROM sect WHERE v > 0), b AS (SELECT series - 1 AS pair, xi, zi, log10(v) AS y FROM sect WHERE v > 0)
+    SELECT pair, xi, round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept, round(regr_r2(y, x), 6) AS r2, count(*) AS n FROM a JOIN b USING (pair, xi, zi) GROUP BY pair, xi""",
 )
 def agg25(spark, sf):
     field = durable(section(spark, sf))
-    out = sec.cross_calibrate(field.where("series = 0"), field.where("series = 1"), ["xi", "zi"], ["xi"], "v", "v", log=True)
+    left, right = (field.withColumn("pair", F.col("series") - k).drop("series") for k in (0, 1))
+    out = sec.cross_calibrate(left, right, ["pair", "xi", "zi"], ["pair", "xi"], "v", "v", log=True)
     return out.withColumns({c: F.round(c, 6) for c in ("slope", "intercept", "r2")})
 

@@ -42,13 +42,24 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not sc.master.startswith("local"):
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="tidemark-", dir=os.environ.get("TMPDIR"))
         sc.setCheckpointDir(folder)
     return f"{sc.getCheckpointDir()}/{name}"
 
 
+_written: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables that ``durable`` wrote in this process; nothing may read them any more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    while _written:
+        path = hadoop(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to a table in the shared folder and go on from the table.
 
@@ -57,4 +68,5 @@ def durable(df: DataFrame) -> DataFrame:
     """
     path = shared_folder(df.sparkSession, f"durable-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
