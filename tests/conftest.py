@@ -5,11 +5,11 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tidemark.session import build_session  # noqa: E402
+from tidemark.session import build_session, release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "local[8]",
         "tests",
@@ -18,10 +18,12 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
 
 
 @pytest.fixture(scope="session")

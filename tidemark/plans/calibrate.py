@@ -37,10 +37,13 @@ def calibrate_ctd(
     salinity_range: tuple[float, float] = (30.0, 40.0),
     width: float = HOUR,
     seq_width: float = 100_000,
+    sbe43: dict[str, float] | None = None,
+    beam: str | None = None,
 ) -> DataFrame:
     """Temperature, conductivity, salinity, density and oxygen from frequencies and volts.
 
-    ``pressures`` has ``filtpres``. Salinities outside their range are NULL.
+    ``pressures`` has ``filtpres``. Salinities outside their range are NULL. ``sbe43`` are the
+    coefficients of a second oxygen sensor on ``volts2``, ``beam`` the volts of a transmissometer.
     """
     clock = clean.keep_monotonic(raw, axis(by, seq, seq_width), us)
     stepped = slope(durable(clock), axis(by, us, width), "volts", us, "_slope")
@@ -55,7 +58,14 @@ def calibrate_ctd(
     s, temp, p = F.col("salinity"), F.col("temperature"), F.col("filtpres")
     df = df.withColumn("oxygen_mll", sw.oxygen_owens_millard(F.col("volts"), temp, s, p, F.col("_slope"), **oxygen))
     rho = sw.density(s, temp, p)
-    return df.withColumns({"density": rho, "oxygen_umolkg": sw.oxygen_umol_per_kg(F.col("oxygen_mll"), rho)}).drop("_slope")
+    out = {"density": rho, "oxygen_umolkg": sw.oxygen_umol_per_kg(F.col("oxygen_mll"), rho)}
+    if sbe43:
+        out["oxygen2_mll"] = sw.oxygen_sbe43(F.col("volts2"), temp, s, p, **sbe43)
+        out["oxygen2_umolkg"] = sw.oxygen_umol_per_kg(out["oxygen2_mll"], rho)
+    if beam:
+        out["transmittance"] = optics.transmittance(F.col(beam))
+        out["attenuation"] = optics.attenuation(out["transmittance"])
+    return df.withColumns(out).drop("_slope")
 
 
 def calibrate_optics(
@@ -71,6 +81,31 @@ def calibrate_optics(
     return clean.backscatter_qc(named, by, "bbp_blue", "bbp_red", "fl", legacy)
 
 
+def calibrate_puck(
+    raw: DataFrame,
+    by: Sequence[str],
+    us: str,
+    seq: str,
+    scales: dict[str, tuple[float, float]],
+    wavelength: float,
+    depths: DataFrame,
+    pitches: DataFrame,
+    offset: tuple[float, float],
+    width: float = HOUR,
+    seq_width: float = 100_000,
+) -> DataFrame:
+    """Backscattering, chlorophyll and CDOM of a puck from counts, at the depth of the sensor.
+
+    ``scales`` has scale and dark counts of ``vol``, ``chl`` and ``cdom``; their counts are in
+    ``<name>_counts``, the salinity in ``salinity``.
+    """
+    df = clean.keep_monotonic(raw, axis(by, seq, seq_width), us)
+    df = df.withColumns({c: optics.scaled_counts(F.col(f"{c}_counts"), *scale) for c, scale in scales.items()})
+    bbw, bbp = optics.puck_backscatter(F.col("vol"), F.col("salinity"), wavelength)
+    df = df.withColumns({"bbw": bbw, "bbp": bbp}).drop(*[f"{c}_counts" for c in scales])
+    return sensor_depth(df, by, us, depths, pitches, *offset, width)
+
+
 def calibrate_navigation(
     raw: DataFrame, by: Sequence[str], us: str, seq: str, box: dict[str, tuple[float, float]], seq_width: float = 100_000
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import clean
 from tidemark.operators.arrays import to_wide
 from tidemark.operators.ordered import HOUR, axis, row_index
-from tidemark.operators.resample import bounds, dense_grid, interpolate, median3, on_grid, resample_mean, sample_rate
+from tidemark.operators.resample import bounds, dense_grid, extent, interpolate, median3, on_grid, pad_grid, resample_mean, sample_rate
 from tidemark.operators.signal import profile_number
 from tidemark.operators.timejoin import interp_join
 from tidemark.session import durable
@@ -47,6 +47,19 @@ def resample_variables(readings: DataFrame, by: Sequence[str], us: str, names: S
     return to_wide(means, [*by, us], "var", "value", names)
 
 
+def resample_padded(
+    readings: DataFrame, by: Sequence[str], instr: str, us: str, col: str, seconds: float = 1.0, width: int = HOUR
+) -> DataFrame:
+    """Median-filtered bin means of each instrument on the grid of its whole mission, with ``pad`` for
+    instruments that end early."""
+    keys = [*by, instr]
+    smooth = durable(median3(readings.select(*keys, us, col), axis(keys, us, width), [col]))
+    means = resample_mean(smooth, keys, us, [col], seconds)
+    extents = durable(extent(readings, by, instr, us))
+    padded = pad_grid(means, extents, by, instr, us, seconds, width)
+    return padded.join(extents.select(*keys, "pad"), keys)
+
+
 def resample(
     coordinates: DataFrame,
     readings: DataFrame,

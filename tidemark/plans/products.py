@@ -36,6 +36,12 @@ def particle_spectra(words: DataFrame, ax: Axis, frame: Column, interval: int =
     return stats, pt.size_histogram(binned, [*by, "bin"])
 
 
+def total_spectra(multi: DataFrame, frames: DataFrame, by: Sequence[str], frame: str, counts: str, interval: int = 20) -> DataFrame:
+    """Spectra of all particles: those of several elements with the single-element counts of the frames."""
+    single = pt.bin_counts(frames, by, frame, counts, interval)
+    return pt.add_counts([multi, single], [*by, "bin"])
+
+
 def particle_frames(frames: DataFrame, ax: Axis, size: int = 50_000) -> DataFrame:
     """Frames with their time and flow speed: garbled ones dropped, the counter repaired.
 

@@ -100,16 +100,69 @@ CTD_SQL = f"""raw AS (SELECT user_id AS series, event_id AS seq, epoch_us(ts) AS
     SELECT series, seq, round(temp, 6) AS temperature, round(cond, 6) AS conductivity, round(sal, 6) AS salinity, round(o2, 6) AS oxygen_mll, round(o2*1.4276*1e6/(rho*32), 5) AS oxygen_umolkg FROM o""",
 )
 def job2(spark, sf):
+    raw, pres = ctd_input(spark, sf)
+    out = calibrate.calibrate_ctd(raw, pres, ["series"], "us", "seq", fm.TEMP, fm.COND_G, fm.OWENS, width=10 * DAY, seq_width=2_000)
+    return out.select(
+        "series", "seq", *[F.round(c, 6).alias(c) for c in ("temperature", "conductivity", "salinity", "oxygen_mll")], F.round("oxygen_umolkg", 5).alias("oxygen_umolkg")
+    )
+
+
+def ctd_input(spark, sf):
     e = table(spark, sf, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp"))).withColumnRenamed("user_id", "series")
     raw = e.where("event_type <> 'view'").select(
         "series", F.col("event_id").alias("seq"), "us", (F.lit(3200) + F.col("value") * 2).alias("temp_frequency"),
         (F.lit(5900) + F.col("value")).alias("cond_frequency"), (F.lit(1) + F.col("value") / 200).alias("volts"),
     )
-    pres = e.where("event_type = 'view'").select("series", "us", F.col("value").alias("filtpres"))
-    out = calibrate.calibrate_ctd(raw, pres, ["series"], "us", "seq", fm.TEMP, fm.COND_G, fm.OWENS, width=10 * DAY, seq_width=2_000)
+    return raw, e.where("event_type = 'view'").select("series", "us", F.col("value").alias("filtpres"))
+
+
+SBE43 = dict(soc=0.42, offset=-0.49, a=-3.1e-3, b=1.6e-4, c=-2.4e-6, e=0.036)
+
+
+@query(
+    "job2_second_oxygen_and_beam",
+    f"""WITH {CTD_SQL}, o AS (SELECT *, 0.42*(volts + 0.1 - 0.49)*(1.0 - 3.1e-3*temp + 1.6e-4*temp*temp - 2.4e-6*temp*temp*temp)*{fm.OXSAT}*exp(0.036*pres/(273.15 + temp)) AS o2, (volts - 0.006)/(4.701 - 0.006) AS tr FROM rho)
+    SELECT series, seq, round(o2, 6) AS oxygen2_mll, round(o2*1.4276*1e6/(rho*32), 5) AS oxygen2_umolkg, round(tr, 6) AS transmittance, round(CASE WHEN tr > 0 THEN -1/0.25*ln(tr) END, 6) AS attenuation FROM o""",
+)
+def job2_more(spark, sf):
+    raw, pres = ctd_input(spark, sf)
+    raw = raw.withColumn("volts2", F.col("volts") + 0.1)
+    out = calibrate.calibrate_ctd(
+        raw, pres, ["series"], "us", "seq", fm.TEMP, fm.COND_G, fm.OWENS, width=10 * DAY, seq_width=2_000, sbe43=SBE43, beam="volts"
+    )
     return out.select(
-        "series", "seq", *[F.round(c, 6).alias(c) for c in ("temperature", "conductivity", "salinity", "oxygen_mll")], F.round("oxygen_umolkg", 5).alias("oxygen_umolkg")
+        "series", "seq", F.round("oxygen2_mll", 6).alias("oxygen2_mll"), F.round("oxygen2_umolkg", 5).alias("oxygen2_umolkg"),
+        F.round("transmittance", 6).alias("transmittance"), F.round("attenuation", 6).alias("attenuation"),
+    )
+
+
+@query(
+    "job3_calibrate_puck",
+    """WITH e AS (SELECT user_id AS series, event_id AS seq, epoch_us(ts) AS us, value, event_type FROM events), raw AS (SELECT * FROM e WHERE event_type NOT IN ('view', 'click')),
+    m AS (SELECT * FROM (SELECT *, max(us) OVER (PARTITION BY series ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM raw) q WHERE seen IS NULL OR us > seen),
+    d AS (SELECT series, us, value AS v FROM e WHERE event_type = 'view'), p AS (SELECT series, us, value/10 AS v FROM e WHERE event_type = 'click'),
+    a AS (SELECT m.*, d.us AS t0, d.v AS v0 FROM m ASOF LEFT JOIN d ON m.series = d.series AND m.us >= d.us),
+    b AS (SELECT a.*, d.us AS t1, d.v AS v1 FROM a ASOF LEFT JOIN d ON a.series = d.series AND a.us <= d.us),
+    c AS (SELECT b.*, p.us AS p0, p.v AS w0 FROM b ASOF LEFT JOIN p ON b.series = p.series AND b.us >= p.us),
+    f AS (SELECT c.*, p.us AS p1, p.v AS w1 FROM c ASOF LEFT JOIN p ON c.series = p.series AND c.us <= p.us),
+    g AS (SELECT *, CASE WHEN t0 IS NULL OR t1 IS NULL THEN coalesce(v0, v1) WHEN t0 = t1 THEN v0 ELSE v0 + (v1 - v0)*((us - t0)/nullif(t1 - t0, 0)::DOUBLE) END AS z,
+      CASE WHEN p0 IS NULL OR p1 IS NULL THEN coalesce(w0, w1) WHEN p0 = p1 THEN w0 ELSE w0 + (w1 - w0)*((us - p0)/nullif(p1 - p0, 0)::DOUBLE) END AS pitch, 3.2e-6*(value*9 - 48) AS vol, 33 + value/100 AS sal FROM f)
+    SELECT series, seq, round(vol, 9) AS vol, round(0.0121*(value - 50), 6) AS chl, round(0.09*(value/2 - 40), 6) AS cdom,
+      round(2*pi()*1.1*(vol - 1.38*pow(700/500.0, -4.32)*(1 + 0.3*sal/37)*1e-4*(1 + pow(cos(117.0/57.29578), 2)*(1 - 0.09)/(1 + 0.09))), 9) AS bbp,
+      round(z - (0.1397*sin(radians(pitch)) - 0.2794*cos(radians(pitch))), 6) AS depth FROM g""",
+)
+def job3_puck(spark, sf):
+    e = table(spark, sf, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp"))).withColumnRenamed("user_id", "series")
+    v = F.col("value")
+    raw = e.where("event_type NOT IN ('view', 'click')").select(
+        "series", F.col("event_id").alias("seq"), "us", (v * 9).alias("vol_counts"), v.alias("chl_counts"), (v / 2).alias("cdom_counts"), (33 + v / 100).alias("salinity")
     )
+    depths = e.where("event_type = 'view'").select("series", "us", v.alias("filtdepth"))
+    pitches = e.where("event_type = 'click'").select("series", "us", (v / 10).alias("pitch"))
+    scales = {"vol": (3.2e-6, 48), "chl": (0.0121, 50), "cdom": (0.09, 40)}
+    out = calibrate.calibrate_puck(raw, ["series"], "us", "seq", scales, 700, depths, pitches, (0.1397, -0.2794), 10 * DAY, 2_000)
+    digits = {"vol": 9, "chl": 6, "cdom": 6, "bbp": 9, "depth": 6}
+    return out.select("series", "seq", *[F.round(c, n).alias(c) for c, n in digits.items()])
 
 
 def channel_sql(n, wave, exponent):
@@ -179,6 +232,24 @@ def job5(spark, sf):
     return out.select("series", "seq", "us", "instr", F.round("flow", 9).alias("flow"))
 
 
+@query(
+    "job7_padded_variables",
+    """WITH e AS (SELECT user_id % 10 AS mission, event_type AS instr, epoch_us(ts) AS us, value, event_id FROM events),
+    o AS (SELECT *, lag(value) OVER w AS p, lead(value) OVER w AS n FROM e WINDOW w AS (PARTITION BY mission, instr ORDER BY us)),
+    f AS (SELECT mission, instr, us, CASE WHEN p IS NOT NULL AND n IS NOT NULL THEN greatest(least(p, value), least(greatest(p, value), n)) END AS v FROM o),
+    i AS (SELECT mission, instr, max(us) AS last FROM e GROUP BY ALL), x AS (SELECT mission, min(us) // 3600000000 AS s, max(us) // 3600000000 AS t, max(us) AS last FROM e GROUP BY mission),
+    g AS (SELECT i.mission, instr, unnest(range(s, t + 1)) AS h, x.last - i.last > 300000000 AS pad FROM i JOIN x USING (mission)),
+    m AS (SELECT mission, instr, (us + 1800000000) // 3600000000 AS h, avg(v) AS value FROM f GROUP BY ALL)
+    SELECT g.mission, g.instr, g.h * 3600000000 AS us, round(m.value + 2e-8, 6) AS value, pad FROM g LEFT JOIN m ON g.mission = m.mission AND g.instr = m.instr AND g.h = m.h""",
+)
+def job7_padded(spark, sf):
+    readings = table(spark, sf, "events").select(
+        (F.col("user_id") % 10).alias("mission"), F.col("event_type").alias("instr"), F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "value"
+    )
+    out = grid.resample_padded(readings, ["mission"], "instr", "us", "value", HOUR_S, 10 * DAY)
+    return out.select("mission", "instr", "us", F.round(F.col("value") + NUDGE, 6).alias("value"), "pad")
+
+
 # --- JOB6 and JOB7 --------------------------------------------------------------------------
 
 
@@ -463,6 +534,19 @@ def job12_spectra(spark, sf):
     return spectra(spark, sf)[1]
 
 
+@query(
+    "job12_total_spectra",
+    f"""WITH {WORDS}, s AS (SELECT CAST(label AS BIGINT) AS series, CAST(vec_id AS BIGINT) // 21 AS bin, unnest(range(64)) AS size_bin, unnest(embedding) AS v FROM embeddings),
+    u AS (SELECT series, frame//21 AS bin, CAST(greatest(0, least(993, ceil((esd - 108)/15.0::DOUBLE - 0.5))) AS INT) AS size_bin, 1 AS n FROM a UNION ALL SELECT series, bin, CAST(size_bin AS INT), floor(abs(v)*100) FROM s)
+    SELECT series, bin, size_bin, CAST(sum(n) AS BIGINT) AS n FROM u GROUP BY ALL""",
+)
+def job12_total(spark, sf):
+    frames = fx.samples(spark, sf).select(
+        F.col("label").cast("bigint").alias("series"), F.col("sec").cast("bigint").alias("sec"), F.transform("samples", lambda x: F.floor(F.abs(x) * 100)).alias("counts")
+    )
+    return products.total_spectra(spectra(spark, sf)[1], frames, ["series"], "sec", "counts")
+
+
 @query(
     "job13_deployment",
     f"""WITH {TRACK_SQL}, {utm_sql('sl', 'so')}, pr AS (SELECT series % 10 AS series, us, 1 + seq // 70 % 9 AS p FROM nav),
