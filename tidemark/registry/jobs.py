@@ -15,7 +15,7 @@ from tidemark.registry.core import query
 from tidemark.registry.inputs import DAY, table
 from tidemark.registry.joins import NEIGHBOURS
 from tidemark.registry.particles import MEPS
-from tidemark.registry.signals import ENVELOPE, FLEET, NIGHTS, PEAK_SQL, TRACK_SQL, TURNS, utm_sql
+from tidemark.registry.signals import ENVELOPE, FLEET, NIGHTS, PEAK_SQL, TAPS_SQL, TRACK_SQL, TURNS, lowpass_sql, utm_sql
 from tidemark.session import shared_folder
 from tidemark.streaming import means as streaming
 
@@ -208,7 +208,17 @@ def job4(spark, sf):
     return out.select("series", "seq", *[F.round(c, 6).alias(c) for c in ("lat", "lon", "yaw")])
 
 
-@query("job4_calibrate_depth")
+_C = "(1 - (5.92e-3 + pow(sin(radians(36.0)), 2) * 5.25e-3))"
+
+
+@query(
+    "job4_calibrate_depth",
+    f"""WITH {TAPS_SQL}, deep AS (SELECT series, idx, depth, ({_C} - sqrt({_C}*{_C} - 8.84e-6*depth))/4.42e-6 AS pressure FROM track),
+    {lowpass_sql("fd", "deep", "depth")}, {lowpass_sql("fp", "deep", "pressure")}
+    SELECT d.series, d.idx, round(pressure, 6) AS pressure, round(fd.v, 6) AS filtdepth, round(fp.v, 6) AS filtpres
+    FROM deep d JOIN fd ON fd.series = d.series AND fd.idx = d.idx JOIN fp ON fp.series = d.series AND fp.idx = d.idx""",
+    ("track",),
+)
 def job4_depth(spark, sf):
     raw = fx.track(spark, sf).withColumn("us", F.col("idx") * 100_000)
     out = calibrate.calibrate_depth(raw, ["series"], "us", "idx", size=5_000, seq_width=700)
@@ -454,17 +464,17 @@ def agg21(spark, sf):
 # --- JOB11 to JOB15 -------------------------------------------------------------------------
 
 
-@query(
-    "job11_message_grid",
-    """WITH t AS (SELECT series, name, us, v FROM (SELECT user_id % 10 AS series, event_type AS name, epoch_us(date_trunc('minute', ts)) AS us, CASE WHEN event_id % 9 > 0 THEN value END AS v, row_number() OVER (PARTITION BY user_id % 10, event_type, date_trunc('minute', ts) ORDER BY event_id) AS rn
+JOB11_SQL = """WITH t AS (SELECT series, name, us, v FROM (SELECT user_id % 10 AS series, event_type AS name, epoch_us(date_trunc('minute', ts)) AS us, CASE WHEN event_id % 9 > 0 THEN value END AS v, row_number() OVER (PARTITION BY user_id % 10, event_type, date_trunc('minute', ts) ORDER BY event_id) AS rn
     FROM events WHERE event_type IN ('click', 'view', 'error') AND event_id % 9 > 0 AND date_trunc('minute', ts) BETWEEN TIMESTAMP '2024-01-02' AND TIMESTAMP '2024-01-28') q WHERE rn = 1),
     sp AS (SELECT series, min(us)//3600000000 AS a, CAST(ceil(max(us)/3600000000) AS BIGINT) AS b FROM t GROUP BY series),
     g AS (SELECT n.series, name, unnest(range(a, b + 1))*3600000000 AS us FROM (SELECT DISTINCT series, name FROM t) n JOIN sp USING (series)),
     p AS (SELECT g.*, t.us AS t0, t.v AS v0 FROM g ASOF LEFT JOIN t ON g.series = t.series AND g.name = t.name AND g.us >= t.us),
     q AS (SELECT p.*, t.us AS t1, t.v AS v1 FROM p ASOF LEFT JOIN t ON p.series = t.series AND p.name = t.name AND p.us <= t.us),
     f AS (SELECT series, name, us, CASE WHEN t0 IS NULL OR t1 IS NULL THEN NULL WHEN t0 = t1 THEN v0 ELSE v0 + (v1 - v0)*((us - t0)/nullif(t1 - t0, 0)::DOUBLE) END AS v FROM q)
-    SELECT series, us, round(max(CASE WHEN name = 'click' THEN v END) + 2e-8, 6) AS click, round(max(CASE WHEN name = 'view' THEN v END) + 2e-8, 6) AS view, round(max(CASE WHEN name = 'error' THEN v END) + 2e-8, 6) AS error FROM f GROUP BY ALL""",
-)
+    SELECT series, us, round(max(CASE WHEN name = 'click' THEN v END) + 2e-8, 6) AS click, round(max(CASE WHEN name = 'view' THEN v END) + 2e-8, 6) AS view, round(max(CASE WHEN name = 'error' THEN v END) + 2e-8, 6) AS error FROM f GROUP BY ALL"""
+
+
+@query("job11_message_grid", JOB11_SQL)
 def job11(spark, sf):
     names = ["click", "view", "error"]
     minute = F.unix_micros(F.date_trunc("minute", F.col("ts").cast("timestamp")))
@@ -476,7 +486,14 @@ def job11(spark, sf):
     return out.select("series", "us", *[F.round(F.col(n) + NUDGE, 6).alias(n) for n in names])
 
 
-@query("job11_message_profiles")
+@query(
+    "job11_message_profiles",
+    f"""WITH wide AS ({JOB11_SQL}), track AS (SELECT series, row_number() OVER (PARTITION BY series ORDER BY us) - 1 AS idx, us, click AS depth FROM wide WHERE click IS NOT NULL),
+    {TURNS}, e AS (SELECT CAST(series AS VARCHAR) AS series, max(idx) AS idx, arg_max(depth, idx) AS depth FROM track GROUP BY series),
+    s AS (SELECT CAST(series AS BIGINT) AS series, idx, abs(lead(depth) OVER (PARTITION BY series ORDER BY idx) - depth) > 10 AS flag FROM (SELECT series, idx, depth FROM turns UNION ALL SELECT * FROM e) q),
+    n AS (SELECT t.series, t.us, CAST(1 + count(s.idx) AS INT) AS profile_number FROM track t LEFT JOIN s ON s.series = t.series AND s.idx < t.idx AND s.flag GROUP BY ALL)
+    SELECT w.series, w.us, w.click AS depth, w.view, w.error, n.profile_number FROM wide w LEFT JOIN n ON n.series = w.series AND n.us = w.us""",
+)
 def job11_profiles(spark, sf):
     wide = durable(job11(spark, sf)).withColumnRenamed("click", "depth")
     return grid.message_profiles(wide, ["series"], "us", width=10 * DAY, size=200)

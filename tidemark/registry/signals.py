@@ -243,7 +243,30 @@ def win17(spark, sf):
     return out.select("series", "us", F.round(F.col("intflash") / 1e6, 2).alias("intflash"))
 
 
-@query("win18_lowpass")
+_TAPS = sig.fading_response(8, 0.2, 1e-12).tolist()
+
+
+def _filter_sql(name, source):
+    """Each row with the rows before it, weighted by the response; before its start the signal rests."""
+    return f"""{name} AS (SELECT l.series, l.n, l.m, sum(t.h * coalesce(b.v, f.v)) AS v FROM {source} l CROSS JOIN taps t
+    JOIN {source} f ON f.series = l.series AND f.n = 0 LEFT JOIN {source} b ON b.series = l.series AND b.n = l.n - t.k GROUP BY l.series, l.n, l.m)"""
+
+
+TAPS_SQL = f"taps AS (SELECT unnest(range({len(_TAPS)})) AS k, unnest({_TAPS!r}::DOUBLE[]) AS h)"
+
+
+def lowpass_sql(out, source, value):
+    """``out`` with ``series, idx, v``: both ways through the filter, 27 rows reflected at the ends."""
+    return f"""{out}_s AS (SELECT series, idx, {value} AS x, count(*) OVER (PARTITION BY series) AS c, first_value({value}) OVER (PARTITION BY series ORDER BY idx) AS v0,
+      first_value({value}) OVER (PARTITION BY series ORDER BY idx DESC) AS v1 FROM {source}),
+    {out}_l AS (SELECT series, idx + 27 AS n, c + 54 AS m, x AS v FROM {out}_s WHERE c > 27
+      UNION ALL SELECT series, 27 - idx, c + 54, 2*v0 - x FROM {out}_s WHERE c > 27 AND idx BETWEEN 1 AND 27
+      UNION ALL SELECT series, c + 27 + (c - 2 - idx), c + 54, 2*v1 - x FROM {out}_s WHERE c > 27 AND idx BETWEEN c - 28 AND c - 2),
+    {_filter_sql(f"{out}_f", f"{out}_l")}, {out}_t AS (SELECT series, m - 1 - n AS n, m, v FROM {out}_f), {_filter_sql(f"{out}_b", f"{out}_t")},
+    {out} AS (SELECT s.series, s.idx, b.v FROM {out}_s s LEFT JOIN {out}_b b ON b.series = s.series AND b.m - 1 - b.n = s.idx + 27)"""
+
+
+@query("win18_lowpass", f"WITH {TAPS_SQL}, {lowpass_sql('flat', 'track', 'depth')} SELECT series, idx, round(v, 6) AS smooth FROM flat", ("track",))
 def win18(spark, sf):
     out = sig.lowpass(fx.track(spark, sf), ["series"], "idx", "depth", "smooth", size=5_000)
     return out.select("series", "idx", F.round("smooth", 6).alias("smooth"))
