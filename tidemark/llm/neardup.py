@@ -211,7 +211,8 @@ def around_pivots(star: DataFrame, sets_: DataFrame, percent: int) -> DataFrame:
     ``r = |dx| - c (|x| + |o|)`` is above 0, and as ``|y| <= |o| + |dy|`` they must share at least
     ``(r + (1 - c) |dy|) / 2`` elements of their differences. So with the elements in one order, the
     rarest first, the first ones of both must meet, up to that bound; edits of one copy alone meet
-    nobody. The join is on those elements, never on the pivot.
+    nobody. The join is on those elements, never on the pivot, and what follows a shared element in
+    both must be long enough for the pair's own bound: the first element they share always passes.
     """
     c = (100 - percent) / (100 + percent)
     both = star.join(sets_.toDF("cls", "x"), "cls").join(sets_.toDF("pivot", "o"), "pivot")
@@ -227,14 +228,17 @@ def around_pivots(star: DataFrame, sets_: DataFrame, percent: int) -> DataFrame:
             "as_y": n - F.greatest(F.lit(1), F.ceil((1 - c) * n / 2 - 1e-6)) + 1,
         }
     )
-    rows = durable(sized.select("pivot", "cls", "root", "far", "as_x", "as_y", F.explode("d").alias("e")))
+    rows = durable(sized.select("pivot", "cls", "root", "far", "as_x", "as_y", "nx", n.alias("n"), F.explode("d").alias("e")))
     often = rows.groupBy("pivot", "e").agg(F.count(F.lit(1)).alias("often"))
     order = Window.partitionBy("pivot", "cls").orderBy("often", "e")
     ranked = rows.join(often, ["pivot", "e"]).withColumn("nth", F.row_number().over(order)).where(F.col("often") > 1)
     ranked = durable(ranked.where((F.col("nth") <= F.col("as_y")) | F.col("far") & (F.col("nth") <= F.col("as_x"))))
-    x = ranked.where(F.col("far") & (F.col("nth") <= F.col("as_x"))).select("pivot", "e", F.col("cls").alias("a"), F.col("root").alias("ra"))
-    y = ranked.where(F.col("nth") <= F.col("as_y")).select("pivot", "e", F.col("cls").alias("b"), F.col("root").alias("rb"))
-    met = x.join(y, ["pivot", "e"]).where((F.col("a") != F.col("b")) & (F.col("ra") != F.col("rb")))
+    side = lambda k, name: [F.col(c).alias(f"{c}_{k}") for c in ("root", "n", "nx", "nth")] + [F.col("cls").alias(name)]
+    x = ranked.where(F.col("far") & (F.col("nth") <= F.col("as_x"))).select("pivot", "e", *side("x", "a"))
+    y = ranked.where(F.col("nth") <= F.col("as_y")).select("pivot", "e", *side("y", "b"))
+    most = 1 + F.least(F.col("n_x") - F.col("nth_x"), F.col("n_y") - F.col("nth_y"))
+    least = F.col("n_x") + F.col("n_y") - c * (F.col("nx_x") + F.col("nx_y"))
+    met = x.join(y, ["pivot", "e"]).where((F.col("a") != F.col("b")) & (F.col("root_x") != F.col("root_y")) & (2 * most >= least - 1e-6))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
