@@ -162,7 +162,9 @@ def test_archives_read_back(spark, tmp_path):
 
 def test_small_payloads_are_never_revisits(spark, tmp_path):
     df = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")], "page_id int, url string, html string")
-    warc.write(df, f"file://{tmp_path}/a", least=3)
+    warc.write(df, f"file://{tmp_path}/a", least=3, compression="none")
+    plain = b"".join(p.read_bytes() for p in sorted((tmp_path / "a").glob("part-*.txt")))
+    assert plain.count(b"WARC/1.1\r\n") == 4 and plain.endswith(b"\r\n\r\n")
     got = {r.record_id: r.record_type for r in warc.records(warc.read(spark, f"file://{tmp_path}/a")).collect()}
     assert got == {"1": "response", "2": "response", "3": "response", "4": "revisit"}
     warc.write(df.limit(0), f"file://{tmp_path}/b")

@@ -1,7 +1,8 @@
 """WARC archives: writing records from rows, and reading them back as a chunked record table.
 
-Writing is a text write whose line separator is the record separator, so the files are plain WARC/1.1
-and Spark's own committer makes retried tasks safe. Of records with equal payloads the one with the
+Writing is a text write whose line separator is the record separator, so the files are WARC/1.1, each
+compressed as a whole (offsets are those of the plain bytes), and Spark's own committer makes retried
+tasks safe. Of records with equal payloads the one with the
 smallest key is the response, the others are revisits that name it.
 
 Reading streams each archive in small reads and makes a row for each chunk: record identifier, chunk
@@ -84,13 +85,24 @@ def record(key: Column, url: Column, payload: Column, digest: Column, size: Colu
 
 
 def write(
-    df: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html", least: int = 0, date: str = "2024-01-01T00:00:00Z"
+    df: DataFrame,
+    path: str,
+    key: str = "page_id",
+    url: str = "url",
+    payload: str = "html",
+    least: int = 0,
+    date: str = "2024-01-01T00:00:00Z",
+    compression: str = "gzip",
 ) -> None:
-    """Write a record for each row to archives below ``path``; payloads under ``least`` bytes are never revisits."""
+    """Write a record for each row to archives below ``path``; payloads under ``least`` bytes are never revisits.
+
+    ``compression`` is that of the text writer; ``none`` gives plain files.
+    """
     rows = df.select(F.col(key).alias("k"), F.col(url).alias("u"), F.col(payload).alias("p"))
     placed = roles(rows, "k", "p", least)
     text = record(F.col("k"), F.col("u"), F.col("p"), F.col("digest"), F.col("size"), F.col("first"), date)
-    placed.select(text.alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    out = placed.select(text.alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", FILE_RECORDS)
+    out.text(path, compression=compression)
 
 
 class Stream:
@@ -193,7 +205,7 @@ def read(spark: SparkSession, path: str, size: int = CHUNK, with_data: bool = Tr
         for batch in batches:
             for uri in batch.column("path").to_pylist():
                 store, name = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
-                with store.open_input_stream(name, buffer_size=0, compression=None) as file:
+                with store.open_input_stream(name, compression="detect") as file:
                     rows, held = [], 0
                     for row in chunks(uri, file, size, with_data):
                         rows.append(row)
