@@ -64,6 +64,20 @@ def deployment(logs: Sequence[DataFrame], by: Sequence[str], us: str, seq: str,
     return sig.cumulative_profile(durable(track), by, [us], "profile_number", width)
 
 
+def deployment_products(
+    track: DataFrame, logs: DataFrame, by: Sequence[str], us: str, depth: str, value: str, used: str, width: int, size: float = 100_000
+) -> dict[str, DataFrame]:
+    """Products of a deployment's track: the bottom of its profiles, a section along the distance, the
+    kilometres of each log, and the use per kilometre."""
+    rows = durable(row_index(track, axis(by, us, width), "idx"))
+    return {
+        "bottom": sec.profile_bottom(rows.select(*by, us, "idx", depth), by, "idx", depth, size=size),
+        "section": sec.grid_section(rows, by, "km", depth, "cumulative", value, size=size),
+        "ranges": sec.log_ranges(rows, logs, by, us, "km", width),
+        "rate": sec.rate_per_km(rows, by, us, "km", used, size),
+    }
+
+
 def compare_instruments(
     a: DataFrame, b: DataFrame, by: Sequence[str], us: str, x: str, y: str, limits: dict[str, tuple[float, float]], seconds: float = 2.0
 ) -> DataFrame:

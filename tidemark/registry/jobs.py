@@ -572,12 +572,65 @@ def job12_total(spark, sf):
     ("nav",),
 )
 def job13(spark, sf):
+    return deployed(spark, sf).select("series", "us", F.round("km", 6).alias("km"), "cumulative")
+
+
+def deployed(spark, sf):
+    seq = F.col("seq")
     rows = fx.nav(spark, sf).select(
-        (F.col("series") % 10).alias("series"), "seq", F.unix_micros("ts").alias("us"), "lat", "lon", (1 + F.floor(F.col("seq") / 70) % 9).alias("profile_number")
-    )
+        (F.col("series") % 10).alias("series"), "seq", F.unix_micros("ts").alias("us"), "lat", "lon", (1 + F.floor(seq / 70) % 9).alias("profile_number"),
+        (F.unix_micros("ts") / 1e12).alias("used"), (seq % 90).cast("double").alias("depth"), (seq % 7).cast("double").alias("v"),
+    )
     logs = [rows.where("seq % 2 = 0"), rows.where("seq % 2 = 1")]
-    out = products.deployment(logs, ["series"], "us", "seq", 10 * DAY, 300)
-    return out.select("series", "us", F.round("km", 6).alias("km"), "cumulative")
+    return products.deployment(logs, ["series"], "us", "seq", 10 * DAY, 300)
+
+
+def deployment_products(spark, sf):
+    e = table(spark, sf, "events").where("event_type = 'signup'").select(
+        (F.col("user_id") % 10).alias("series"), F.concat(F.lit("log"), F.floor(F.col("event_id") / 500).cast("string")).alias("label"), F.unix_micros(F.col("ts").cast("timestamp")).alias("us")
+    )
+    logs = e.groupBy("series", "label").agg(F.min("us").alias("start"), F.max("us").alias("end"), F.min("us").alias("position"))
+    return products.deployment_products(durable(deployed(spark, sf)), logs, ["series"], "us", "depth", "v", "used", 10 * DAY, 300)
+
+
+ALONG = f"""{TRACK_SQL}, {utm_sql('sl', 'so')}, t AS (SELECT series, us, distance/1000 AS km, us/1e12 AS used FROM track)"""
+
+
+@query(
+    "job13_deployment_rate",
+    f"""WITH {ALONG}, sp AS (SELECT series, min(km) AS a, max(km) AS b FROM t GROUP BY series), g1 AS (SELECT series, a, unnest(range(CAST(ceil(b - a) AS BIGINT))) AS k FROM sp),
+    gx AS (SELECT series, k, a + k AS x FROM g1), c1 AS (SELECT series, km, arg_max(used, us) AS used FROM t GROUP BY ALL),
+    q0 AS (SELECT gx.*, c1.km AS x0, c1.used AS v0 FROM gx ASOF LEFT JOIN c1 ON gx.series = c1.series AND gx.x >= c1.km),
+    q1 AS (SELECT q0.*, c1.km AS x1, c1.used AS v1 FROM q0 ASOF LEFT JOIN c1 ON q0.series = c1.series AND q0.x <= c1.km),
+    v AS (SELECT series, k, CASE WHEN x0 = x1 THEN v0 ELSE v0 + (v1 - v0)*((x - x0)/nullif(x1 - x0, 0)) END AS v FROM q1),
+    r1 AS (SELECT series, k, coalesce((lead(v) OVER w - lag(v) OVER w)/2, lead(v) OVER w - v, v - lag(v) OVER w) AS rate FROM v WINDOW w AS (PARTITION BY series ORDER BY k))
+    SELECT series, round(avg(rate), 9) AS mean_rate, round(arg_max(rate, k), 9) AS last_rate FROM r1 WHERE rate IS NOT NULL GROUP BY series""",
+    ("nav",),
+)
+def job13_rate(spark, sf):
+    out = deployment_products(spark, sf)["rate"]
+    return out.select("series", F.round("mean_rate", 9).alias("mean_rate"), F.round("last_rate", 9).alias("last_rate"))
+
+
+@query(
+    "job13_deployment_ranges",
+    f"""WITH {ALONG}, l1 AS (SELECT user_id % 10 AS series, concat('log', event_id // 500) AS label, min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b FROM events WHERE event_type = 'signup' GROUP BY ALL)
+    SELECT t.series, label, round(arg_min(km, us), 6) AS start_km, round(arg_max(km, us), 6) AS end_km FROM t JOIN l1 ON t.series = l1.series AND us >= a AND us < b GROUP BY ALL""",
+    ("nav",),
+)
+def job13_ranges(spark, sf):
+    out = deployment_products(spark, sf)["ranges"]
+    return out.select("series", "label", F.round("start_km", 6).alias("start_km"), F.round("end_km", 6).alias("end_km"))
+
+
+@query(
+    "job13_deployment_bottom",
+    """WITH n AS (SELECT series % 10 AS series, us, CAST(seq % 90 AS DOUBLE) AS depth, row_number() OVER o - 1 AS idx, greatest(1, CAST(floor(count(*) OVER (PARTITION BY series % 10)*0.01) AS BIGINT)) AS w FROM nav WINDOW o AS (PARTITION BY series % 10 ORDER BY us))
+    SELECT series, us, depth, CASE WHEN idx >= w - 1 THEN max(depth) OVER (PARTITION BY series ORDER BY idx ROWS BETWEEN w - 1 PRECEDING AND CURRENT ROW) END AS bottom FROM n""",
+    ("nav",),
+)
+def job13_bottom(spark, sf):
+    return deployment_products(spark, sf)["bottom"].select("series", "us", "depth", "bottom")
 
 
 @query(
