@@ -15,9 +15,11 @@ from tidemark.operators.arrays import concat_logs
 from tidemark.operators.clean import clip_null, drop_garbled
 from tidemark.operators.ordered import Axis, axis, row_index
 from tidemark.operators.resample import resample_mean
+from tidemark.operators.samples import sample_means
 from tidemark.operators.stats import ols
 from tidemark.operators.timejoin import time_join
 from tidemark.session import durable
+from tidemark.sources.logs import cartridge_events
 
 
 def particle_spectra(words: DataFrame, ax: Axis, frame: Column, interval: int = 20) -> tuple[DataFrame, DataFrame]:
@@ -78,6 +80,23 @@ def deployment_products(
     }
 
 
+def cartridge_samples(
+    lines: DataFrame,
+    grid: DataFrame,
+    by: Sequence[str],
+    line_no: str,
+    line: str,
+    candidates: dict[str, Sequence[str]],
+    ts: str = "ts",
+    seconds: float = 1.0,
+    size: float = 100_000,
+) -> DataFrame:
+    """Measurements at the start of each sample of the cartridge sampler, from its log lines."""
+    events = cartridge_events(lines, by, line_no, line, size)
+    timed = events.withColumn(ts, F.timestamp_micros(F.round(F.col("seconds") * 1_000_000).cast("bigint"))).drop("seconds")
+    return sample_means(timed, grid, by, "sample", candidates, ts, seconds)
+
+
 def compare_instruments(
     a: DataFrame, b: DataFrame, by: Sequence[str], us: str, x: str, y: str, limits: dict[str, tuple[float, float]], seconds: float = 2.0
 ) -> DataFrame:

@@ -575,6 +575,25 @@ def job13(spark, sf):
     return deployed(spark, sf).select("series", "us", F.round("km", 6).alias("km"), "cumulative")
 
 
+@query(
+    "job10_cartridge_samples",
+    """WITH s AS (SELECT CAST(regexp_extract(line, 'Z,(\\d+\\.\\d+) ', 1) AS DOUBLE) AS sec, row_number() OVER (ORDER BY line_no) AS nth FROM syslog WHERE contains(line, 'ELMO will go to position')),
+    n AS (SELECT CAST(regexp_extract(line, 'Sample (\\d+)', 1) AS INT) AS sample, row_number() OVER (ORDER BY line_no) AS nth FROM syslog WHERE contains(line, 'err_code')),
+    e AS (SELECT sample, CAST(round(arg_max(sec, s.nth)*1000000) AS BIGINT) AS us FROM s JOIN n USING (nth) GROUP BY sample),
+    g AS (SELECT 1565985091500000 + event_id*1000000 AS us, CASE WHEN event_id % 5 > 2 THEN value END AS a, value*2 AS b FROM events)
+    SELECT sample, count(*) AS rows, round(coalesce(avg(a), avg(b)) + 2e-8, 6) AS temperature, min(g.us) AS us FROM e JOIN g ON g.us BETWEEN e.us - 1000000 AND e.us + 1000000 GROUP BY sample""",
+    ("syslog",),
+)
+def job10_cartridge(spark, sf):
+    us = 1565985091500000 + F.col("event_id") * 1_000_000
+    grid_rows = table(spark, sf, "events").select(
+        F.lit(1).alias("mission"), F.timestamp_micros(us).alias("ts"), F.when(F.col("event_id") % 5 > 2, F.col("value")).alias("a"), (F.col("value") * 2).alias("b")
+    )
+    lines = fx.syslog(spark, sf).withColumn("mission", F.lit(1))
+    out = products.cartridge_samples(lines, grid_rows, ["mission"], "line_no", "line", {"temperature": ("a", "b")}, size=2_000)
+    return out.select("sample", "rows", F.round(F.col("temperature") + NUDGE, 6).alias("temperature"), F.unix_micros("ts").alias("us"))
+
+
 def deployed(spark, sf):
     seq = F.col("seq")
     rows = fx.nav(spark, sf).select(
