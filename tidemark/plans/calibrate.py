@@ -107,15 +107,34 @@ def calibrate_puck(
 
 
 def calibrate_navigation(
-    raw: DataFrame, by: Sequence[str], us: str, seq: str, box: dict[str, tuple[float, float]], seq_width: float = 100_000
+    raw: DataFrame,
+    by: Sequence[str],
+    us: str,
+    seq: str,
+    box: dict[str, tuple[float, float]],
+    seq_width: float = 100_000,
+    metres: tuple[str, str, int] | None = None,
+    relative: Sequence[str] = (),
+    rules: tuple[DataFrame, str, dict[str, tuple[str, str]]] | None = None,
 ) -> DataFrame:
-    """Positions in degrees from radians, longitudes west, inside the box; attitude in degrees."""
+    """Positions in degrees from radians, longitudes west, inside the box; attitude in degrees.
+
+    ``metres`` names easting, northing and UTM zone of positions that come in metres instead;
+    ``relative`` columns count from the first sample of their series. ``rules`` are a table, its
+    mission column and the limits by mission, as in ``apply_rules``.
+    """
     df = clean.keep_monotonic(raw, axis(by, seq, seq_width), us)
+    if metres:
+        east, north, zone = metres
+        lat, lon = geo.utm_inverse(F.col(east), F.col(north), F.lit(zone))
+        df = df.withColumns({"lat": F.radians(lat), "lon": F.radians(lon)})
     df = clean.to_degrees(df, ["lat", "lon", "roll", "pitch", "platform_orientation"])
     df = clean.fix_lon_sign(df, by, "lon", [us])
+    if relative:
+        df = clean.relative(durable(df), by, relative, [us])
     for col, (lo, hi) in box.items():
         df = df.where(~clean.out_of_range(col, lo, hi))
-    return df
+    return clean.apply_rules(df, *rules) if rules else df
 
 
 def calibrate_depth(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions import geo
 from tidemark.operators.clean import keep_monotonic
 from tidemark.operators.ordered import axis, durable
 from tidemark.operators.resample import interpolate, median3, on_grid, resample_mean
@@ -208,6 +209,29 @@ def job4(spark, sf):
     return out.select("series", "seq", *[F.round(c, 6).alias(c) for c in ("lat", "lon", "yaw")])
 
 
+@query(
+    "job4_navigation_metres",
+    f"""WITH {MONOTONIC.format(src='clock')}, d AS (SELECT series, seq, us, 36 + value % 1000/500 AS lat, -121 - value % 100/50 AS lon, value % 1000 - first_value(value % 1000) OVER (PARTITION BY series ORDER BY us) AS x FROM m)
+    SELECT series, seq, round(lat, 6) AS lat, round(lon, 6) AS lon, round(x, 6) AS x FROM d LEFT JOIN supplier ON s_suppkey = series
+    WHERE lat BETWEEN 36.2 AND 37.5 AND lon BETWEEN -122.8 AND -121.3 AND (s_suppkey IS NULL OR lat BETWEEN 36 + s_nationkey/50.0 AND 37 + s_nationkey/50.0)""",
+    ("clock",),
+)
+def job4_metres(spark, sf):
+    v = F.col("value")
+    east, north = geo.utm_forward(36 + v % 1000 / 500, -121 - v % 100 / 50, F.lit(10))
+    raw = fx.clock(spark, sf).select(
+        "series", "seq", F.unix_micros("ts").alias("us"), east.alias("east"), north.alias("north"), (v % 1000).alias("x"),
+        *[F.lit(0.1).alias(c) for c in ("roll", "pitch", "platform_orientation")],
+    )
+    low = F.col("s_nationkey") / 50.0
+    rules = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("series"), (36 + low).alias("low"), (37 + low).alias("high"))
+    box = {"lat": (36.2, 37.5), "lon": (-122.8, -121.3)}
+    out = calibrate.calibrate_navigation(
+        raw, ["series"], "us", "seq", box, 50_000, ("east", "north", 10), ["x"], (rules, "series", {"lat": ("low", "high")})
+    )
+    return out.select("series", "seq", *[F.round(c, 6).alias(c) for c in ("lat", "lon", "x")])
+
+
 _C = "(1 - (5.92e-3 + pow(sin(radians(36.0)), 2) * 5.25e-3))"
 
 
