@@ -215,7 +215,8 @@ def around_pivots(star: DataFrame, sets_: DataFrame, percent: int) -> DataFrame:
     both must be long enough for the pair's own bound: the first element they share always passes.
     """
     c = (100 - percent) / (100 + percent)
-    both = star.join(sets_.toDF("cls", "x"), "cls").join(sets_.toDF("pivot", "o"), "pivot")
+    # The join by member comes last, so that the members of one pivot are spread when they are exploded.
+    both = star.join(sets_.toDF("pivot", "o"), "pivot").join(sets_.toDF("cls", "x"), "cls")
     apart = F.concat(F.array_except("x", "o"), F.array_except("o", "x"))
     sized = both.select("pivot", "cls", "root", apart.alias("d"), F.size("x").alias("nx"), F.size("o").alias("no"))
     n = F.size("d")
