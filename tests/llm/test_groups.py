@@ -144,6 +144,17 @@ def test_mix_comes_near_its_targets(spark):
     assert mixing.mix(spark.createDataFrame([], df.schema)).count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 150, 300, 500, 1600, 2600])
+def test_a_tiny_source_reaches_its_target_beside_large_ones(spark, size):
+    large = spark.range(7 * 500).select("id", F.concat(F.lit("s"), F.col("id") % 7).alias("source"), F.repeat(F.lit("w "), 10_000).alias("text"))
+    tiny = spark.createDataFrame([(10**6 + i, "tiny", "w " * min(50, size - i)) for i in range(0, size, 50)], "id bigint, source string, text string")
+    mixed = mixing.mix(large.union(tiny), doc="id")
+    per_source = {r.source: r for r in mixed.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect()}
+    assert len(per_source) == 8 and per_source["tiny"].target == 3 * size
+    for r in per_source.values():
+        assert abs(r.taken - r.target) <= 0.005 * r.target + 1, r
+
+
 def sketch_of(text, k=fingerprints.K):
     w = [xxhash.xxh64_intdigest(x.encode(), 42) for x in brute.words(text)]
     signed = lambda x: x - 2**64 if x >= 2**63 else x

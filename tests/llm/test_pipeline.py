@@ -9,6 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -70,6 +71,13 @@ def test_mixing_stage(staged):
     assert counted(staged[3]) == Counter({k: n * times[k[0]] for k, n in counted(staged[2]).items() if times[k[0]]})
 
 
+def test_mixing_stage_keeps_a_tiny_source(spark):
+    large = spark.range(7 * 500).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 7).alias("source"), F.repeat(F.lit("w "), 10_000).alias("text"))
+    tiny = spark.createDataFrame([(10**6 + i, "tiny", "w " * 50) for i in range(3)], "doc_id bigint, source string, text string")
+    out = corpus_pipeline.mix_sources(spark, large.union(tiny), "").where("source = 'tiny'")
+    assert Counter(r.doc_id for r in out.collect()) == {10**6 + i: 3 for i in range(3)}
+
+
 def test_codec_stage(staged):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     want = Counter()
