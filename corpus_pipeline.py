@@ -49,7 +49,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of ten documents or more go from all texts; a null text stays null."""
     own, names = _apart(docs)
-    out = lines.drop_lines(own, names["text"], names["doc_id"])
+    out = lines.drop_lines(_keyed(own, names), names["text"], "_key")
     text = F.when(F.col(names["text"]).isNotNull(), F.col("kept_text"))
     replaced = {"text": text}
     if "n_chars" in names:

@@ -51,6 +51,13 @@ def test_line_stage(staged):
     assert any(texts[r["doc_id"]] != r["text"] for r in staged[0])
 
 
+def test_line_stage_counts_rows_that_share_an_id(spark):
+    for doc_id in (None, 7):
+        rows = [(doc_id, f"same line\nown {i}", "s") for i in range(10)]
+        out = corpus_pipeline.drop_common_lines(spark, spark.createDataFrame(rows, "doc_id int, text string, source string"), "")
+        assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter((doc_id, f"own {i}") for i in range(10))
+
+
 def test_near_stage(staged):
     component = {i: c if n else i for i, n, c in brute.components([(r["doc_id"], r["text"]) for r in staged[1]], 80)}
     assert counted(staged[2]) == counted(r for r in staged[1] if component[r["doc_id"]] == r["doc_id"])

@@ -97,5 +97,13 @@ def test_repeated_rows_are_one_document(spark):
     assert lines.drop_lines(more, documents=10).agg(F.sum("n_dropped")).first()[0] == len(rows) + 1
 
 
+def test_texts_without_an_id_are_documents_of_their_own(spark):
+    rows = [(None, f"same line\nown {i}") for i in range(9)] + [(None, "same line\nown 0"), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    assert lines.drop_lines(df, documents=10).agg(F.sum("n_dropped")).first()[0] == 0  # nine texts hold the line
+    more = lines.drop_lines(df.unionByName(spark.createDataFrame([(1, "SAME line")], df.schema)), documents=10).collect()
+    assert sorted(r.kept_text for r in more) == sorted(["", "", "", "own 0", *(f"own {i}" for i in range(9))])
+
+
 def test_lines_of_no_rows(spark):
     assert lines.drop_lines(spark.createDataFrame([], "doc_id int, text string")).count() == 0

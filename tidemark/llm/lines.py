@@ -8,7 +8,7 @@ Only the positions to drop go back to their document, where the other lines are
 
 Defined results: a null or empty text is one empty line, and its kept text is empty. An empty key is
 shorter than ``least`` and stays. Rows with one id are one document: their keys count once, each
-keeps its own lines. Other columns pass through; those named like a result are replaced.
+keeps its own lines. Rows without an id are one document for each text. Other columns pass through; those named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -54,7 +54,8 @@ def _sum(text: str) -> Column:
 
 def frequent(held: DataFrame, documents: int) -> DataFrame:
     """Hashes ``a, b`` of the keys that at least ``documents`` documents hold."""
-    once = held.select("a", "b", "_doc").distinct()
+    own = F.when(F.col("_doc").isNull(), F.col("_sum")).alias("_own")
+    once = held.select("a", "b", "_doc", own).distinct()
     return once.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= documents).select("a", "b")
 
 
