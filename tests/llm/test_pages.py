@@ -79,6 +79,24 @@ def test_held_out_layouts(pages, model):
     assert right / total > 0.97
 
 
+def test_places_among_many_siblings(model):
+    page = dom.Page("<article>" + "".join(f"<p>Paragraph {i} says something.</p>" for i in range(200)) + "</article>")
+    at = page.tags.index("article")
+    places = [row[-5] for row, parent in zip(page.features(), page.parents) if parent == at]
+    assert places == [i / 200 for i in range(200)]
+
+
+def test_long_layouts(pages, model):
+    main, other = html_text.paragraphs([dom.Page(p["html"]) for p in pages[html_text.TRAIN_PAGES :]])
+    right = total = 0
+    for k in range(6000, 6040):
+        page = dom.Page(html_text.layout(main, other, random.Random(k), (65, 150)))
+        kept = dom.decode(page.parents, model.scores(np.array(page.features())).tolist())
+        right += sum(a == bool(b) for a, b in zip(kept[1:], html_text.by_marks(page)[1:]))
+        total += len(kept) - 1
+    assert right / total > 0.97
+
+
 def test_boilerplate_by_names(model):
     body = "<p>The first paragraph says something, and more.</p><p>A second one &amp; its end&nbsp;here.<br>New line</p>"
     for start, end in (("<article>", "</article>"), ('<div class="post-content">', "</div>"), ("<main>", "</main>")):

@@ -66,6 +66,7 @@ class Page:
 
     def __init__(self, source: str):
         self.tags, self.parents, self.groups, self.kids = ["html"], [-1], [0], [[]]
+        self.places = [0]
         self.flow: list[tuple[int, str, bool] | None] = []
         self.blocks = [False]
         self._parse(source)
@@ -76,6 +77,7 @@ class Page:
         self.parents.append(parent)
         self.groups.append(groups)
         self.kids.append([])
+        self.places.append(len(self.kids[parent]))
         self.blocks.append(False)
         n = len(self.tags) - 1
         self.kids[parent].append(n)
@@ -212,8 +214,7 @@ class Page:
                 # A header or footer of an article belongs to it, so only the first landmark counts.
                 inside = above[p] | (0 if kind in (6, 7) and above[p] >> 4 & 1 else inside)
                 around[i] = around[p] | self.groups[i]
-                siblings = self.kids[p]
-                place, count = siblings.index(i) if len(siblings) < 64 else 32, len(siblings)
+                place, count = self.places[i], len(self.kids[p])
                 beside = (chars[p] - chars[i]) / max(1, count - 1)
             else:
                 around[i], place, count, beside = self.groups[i], 0, 1, 0.0

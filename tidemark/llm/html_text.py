@@ -8,7 +8,7 @@ descendants never contradict each other.
 The model is trained in each run on a bounded sample: at most ``TRAIN_PAGES`` pages of at most
 ``TRAIN_BYTES`` bytes, drawn by the hash of their key and labelled by their own landmarks (article,
 main, nav, ...), and ``LAYOUTS`` layouts made from the sample's paragraphs, in which the same roles are
-told by other elements and by names alone. Extraction covers every page whole.
+told by other elements and by names alone; ``LONG`` more have many blocks side by side. Extraction covers every page whole.
 
 Defined results: a null or empty page has no text. Pages of one content have one text. White space is
 what ``str.split`` splits at, after references are decoded; a line break element is white space. A page
@@ -32,7 +32,7 @@ from tidemark.llm import vocab as V
 from tidemark.llm import words as W
 from tidemark.llm.dom import GROUPS, KIND, Page, decode
 
-TRAIN_PAGES, TRAIN_BYTES, LAYOUTS = 100, 50_000, 300
+TRAIN_PAGES, TRAIN_BYTES, LAYOUTS, LONG = 100, 50_000, 300, 20
 #: Bytes of pages whose nodes are scored at once.
 AT_ONCE = 1 << 20
 _MARK = "\x01"
@@ -70,8 +70,11 @@ def by_marks(page: Page) -> list[int]:
     return _upward(page, out)
 
 
-def layout(main: list[str], other: list[str], draw: Random) -> str:
-    """A page that tells the roles of its parts by elements or by names; text to keep is marked."""
+def layout(main: list[str], other: list[str], draw: Random, blocks: tuple[int, int] = (1, 9)) -> str:
+    """A page that tells the roles of its parts by elements or by names; text to keep is marked.
+
+    ``blocks`` are the least and most paragraphs, for a page that has much to say.
+    """
     pick = draw.choice
     if draw.random() < 0.2:  # a page with little to say
         main = [" ".join(pick(main).split()[: draw.randint(1, 4)]) for _ in range(8)]
@@ -119,7 +122,7 @@ def layout(main: list[str], other: list[str], draw: Random) -> str:
             return f"<blockquote>{text}</blockquote>"
         return wrap(text, "div", "pre", "section", "table><tr><td")
 
-    body = [paragraph() for _ in range(draw.randint(1, 9) if len(main) > 8 else 1)]
+    body = [paragraph() for _ in range(draw.randint(*blocks) if len(main) > 8 else 1)]
     if draw.random() < 0.4:
         body.insert(draw.randint(0, len(body)), parts[pick(("ad", "side", "form", "notice", "menu"))]())
     if draw.random() < 0.25:
@@ -163,8 +166,8 @@ def train(sources: list[str]) -> trees.Boosted:
             rows += page.features()[1:]
             labels += marked[1:]
     main, other = paragraphs(pages)
-    for k in range(LAYOUTS):
-        page = Page(layout(main, other, Random(k)))
+    for k in range(LAYOUTS + LONG):
+        page = Page(layout(main, other, Random(k), (1, 9) if k < LAYOUTS else (65, 150)))
         rows += page.features()[1:]
         labels += by_marks(page)[1:]
     return trees.fit(np.array(rows, np.float64), np.array(labels, np.float64))
