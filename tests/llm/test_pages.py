@@ -97,6 +97,18 @@ def test_long_layouts(pages, model):
     assert right / total > 0.97
 
 
+def test_formulas_and_drawings_keep_their_text(model):
+    formula = '<math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi></mrow><annotation encoding="tex">E=m</annotation></semantics></math>'
+    drawing = (
+        '<svg viewBox="0 0 1 1"><title>t</title><style>p{}</style><defs><text>no</text></defs><desc>no</desc><path d="M0"/><mask id="m"/>'
+        "no<g><text x=1>North</text><text><tspan>South</tspan></text></g></svg>"
+    )
+    body = f"<p>The energy is {formula} for a body at rest, as this sentence says.</p><p>The map shows {drawing}and what lies between them.</p>"
+    hidden = "<noscript><svg><text>no</text></svg></noscript><template><math>no</math><svg><text>no</text></svg></template>"
+    want = "The energy is E=m for a body at rest, as this sentence says.\nThe map shows North South and what lies between them."
+    assert html_text.extract_all([f"<html><body><article>{body}{hidden}</article></body></html>"], model) == [want]
+
+
 def test_boilerplate_by_names(model):
     body = "<p>The first paragraph says something, and more.</p><p>A second one &amp; its end&nbsp;here.<br>New line</p>"
     for start, end in (("<article>", "</article>"), ('<div class="post-content">', "</div>"), ("<main>", "</main>")):

@@ -13,7 +13,11 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head iframe math noscript object script select style svg template textarea title video audio canvas".split())
+HIDDEN = frozenset("head iframe noscript object script select style template textarea title video audio canvas annotation annotation-xml".split())
+#: Drawings show the text of these, unless they stand in the others.
+DRAWN, UNDRAWN = frozenset("text foreignobject".split()), frozenset("defs symbol clippath mask pattern marker metadata desc".split())
+#: Whether text is shown: yes, only that of DRAWN, no.
+SHOWN, DRAWING, NEVER = 0, 1, 2
 RAW = frozenset("script style title textarea noscript iframe".split())
 #: An end tag of a text element doesn't reach past these.
 BARRIER = frozenset("article aside body div footer form header html main nav section table td th ul ol".split())
@@ -84,7 +88,7 @@ class Page:
         return n
 
     def _parse(self, source: str) -> None:
-        stack: list[tuple[str, int, bool]] = [("html", 0, False)]  # tag, node, hidden
+        stack: list[tuple[str, int, int]] = [("html", 0, SHOWN)]  # tag, node, hidden
         links, at, flow = 0, 0, self.flow
         search = _TAG.search
         while True:
@@ -132,7 +136,17 @@ class Page:
                 stack.pop()
             self.flow.append(None)
         groups = token_groups(attrs) if attrs and "=" in attrs else 0
-        node, hidden = stack[-1][1], stack[-1][2] or name in HIDDEN
+        node, hidden = stack[-1][1], stack[-1][2]
+        if hidden == DRAWING:
+            if attrs.endswith("/"):
+                return links
+            hidden = NEVER if name in UNDRAWN or name in HIDDEN else SHOWN if name in DRAWN else DRAWING
+            if hidden == SHOWN:
+                self.flow.append((node, " ", links > 0))
+        elif name in HIDDEN:
+            hidden = NEVER
+        elif name == "svg":
+            hidden = max(hidden, DRAWING)
         if not hidden and (name in BLOCKS or groups):
             if name in BLOCKS:
                 self.blocks[node] = True
@@ -150,8 +164,10 @@ class Page:
         return links
 
     def _pop(self, k: int, stack: list, links: int) -> int:
-        for tag, _, _ in stack[k:]:
+        for tag, node, hidden in stack[k:]:
             links -= tag == "a"
+            if tag in DRAWN and hidden == SHOWN:
+                self.flow.append((node, " ", links > 0))
             if tag in BLOCKS and (not self.flow or self.flow[-1] is not None):
                 self.flow.append(None)
         del stack[k:]

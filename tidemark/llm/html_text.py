@@ -11,7 +11,8 @@ main, nav, ...), and ``LAYOUTS`` layouts made from the sample's paragraphs, in w
 told by other elements and by names alone; ``LONG`` more have many blocks side by side. Extraction covers every page whole.
 
 Defined results: a null or empty page has no text. Pages of one content have one text. White space is
-what ``str.split`` splits at, after references are decoded; a line break element is white space. A page
+what ``str.split`` splits at, after references are decoded; a line break element is white space. Formulas
+and the text elements of drawings are text like other, annotations of formulas are not shown. A page
 without a kept node has the empty text. Other columns pass through; those named like a result are
 replaced.
 """
