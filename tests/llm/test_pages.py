@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
-from tidemark.llm import dom, html_text, trees, urls, warc
+from tidemark.llm import dom, html_text, queries, trees, urls, warc
 
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("allow", "com", "/fr/"))
 
@@ -190,6 +190,16 @@ def test_archives_read_back(spark, tmp_path):
     assert all(" " not in r.url and "\n" not in r.url for r in parts)
 
 
+def test_the_query_reads_chunks_with_their_bytes(spark, sf, monkeypatch):
+    read, tables = warc.records, []
+    monkeypatch.setattr(warc, "records", lambda table: tables.append(table) or read(table))
+    found = {str(r.page_id): (r.payload_bytes, r.payload_digest) for r in queries.QUERIES["op7_warc_archives"](spark, sf).collect()}
+    data = {}
+    for r in tables[0].where("record_type = 'response'").orderBy("chunk_no").collect():
+        data[r.record_id] = data.get(r.record_id, b"") + r.data
+    assert data and all(found[i] == (len(d), digest(d)) for i, d in data.items())
+
+
 def test_small_payloads_are_never_revisits(spark, tmp_path):
     df = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")], "page_id int, url string, html string")
     warc.write(df, f"file://{tmp_path}/a", least=3, compression="none")

@@ -241,7 +241,7 @@ SELECT page_id, payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id =
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_folder(spark, f"warc-{uuid.uuid4().hex}")
     warc.write(read(spark, sf, "pages", "page_id", "url", "html"), path)
-    found = warc.records(warc.read(spark, path, with_data=False))
+    found = warc.records(warc.read(spark, path))
     page = F.expr("try_cast(record_id AS bigint)").alias("page_id")
     refers = F.col("refers_to").cast("bigint").alias("refers_to")
     return found.select(page, "payload_bytes", "payload_digest", "record_type", refers)
