@@ -190,6 +190,31 @@ def test_archives_read_back(spark, tmp_path):
     assert all(" " not in r.url and "\n" not in r.url for r in parts)
 
 
+def test_very_long_urls_read_back(spark, tmp_path):
+    urls_ = ["http://h/" + "a" * (2 << 20), "http://h/" + "é" * (1 << 20), "http://h/" + "b" * (1 << 20), "http://h/"]
+    df = spark.createDataFrame([(i, u, f"<p>{i // 2}</p>") for i, u in enumerate(urls_)], "page_id int, url string, html string")
+    warc.write(df.coalesce(1), f"file://{tmp_path}/a")
+    got = {r.record_id: (r.url, r.payload_bytes) for r in warc.records(warc.read(spark, f"file://{tmp_path}/a")).collect()}
+    assert got == {str(i): (u, 8) for i, u in enumerate(urls_)}
+
+
+def test_headers_without_end_are_refused():
+    class Endless(io.RawIOBase):
+        def __init__(self, start, block):
+            self.start, self.block, self.given = start, block, 0
+
+        def read(self, n=-1):
+            out, self.start = self.start or self.block, b""
+            self.given += len(out)
+            assert self.given < 8 * warc.HEADER
+            return out
+
+    long = b"WARC/1.1\r\nWARC-Target-URI: " + b"u" * (2 << 20)
+    for start, block in ((b"WARC/1.1\r\n", b"x" * 65_536), (b"WARC/1.1\r\n", b"A: b\r\n" * 8192), (long, b"\r\nA: b" * 8192)):
+        with pytest.raises(ValueError):
+            list(warc.chunks("a", Endless(start, block), 65_536, True))
+
+
 def test_the_query_reads_chunks_with_their_bytes(spark, sf, monkeypatch):
     read, tables = warc.records, []
     monkeypatch.setattr(warc, "records", lambda table: tables.append(table) or read(table))

@@ -11,7 +11,7 @@ the last one. No record is held whole, neither as a value nor in a batch.
 
 Defined results: a null payload counts as empty. Every row is written; rows that repeat the response's
 key and payload are responses as well. Rows without a key are responses if no row with a key has their
-payload. White space and control characters in a URL are written as %20. An empty table gives archives
+payload. White space and control characters in a URL are written as %20; it has any length. An empty table gives archives
 without records.
 """
 
@@ -33,8 +33,9 @@ HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 SAME = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Payload bytes of a chunk, bytes of one read, and records of a file.
 CHUNK, READ, FILE_RECORDS = 1 << 20, 1 << 16, 20_000
-#: A header block longer than this is not a header.
+#: A header block longer than this, its target's line apart, is not a header.
 HEADER = 1 << 20
+TARGET = re.compile(rb"\r\nwarc-target-uri:", re.IGNORECASE)
 
 CHUNKS = (
     "archive string, offset bigint, record_id string, record_type string, url string, refers_to string, "
@@ -109,7 +110,7 @@ class Stream:
     """Reads lines and counted bytes from a file in reads of bounded size."""
 
     def __init__(self, file: BinaryIO):
-        self.file, self.held, self.at = file, b"", 0
+        self.file, self.held, self.at = file, bytearray(), 0
 
     def _more(self) -> bool:
         got = self.file.read(READ)
@@ -117,10 +118,18 @@ class Stream:
         return bool(got)
 
     def header(self) -> list[str] | None:
-        """Lines up to an empty one; none at the end of the file."""
-        while (end := self.held.find(b"\r\n\r\n")) < 0:
+        """Lines up to an empty one; none at the end of the file. The target's line has any length."""
+        seen, target, stop = 0, -1, -1
+        while (end := self.held.find(b"\r\n\r\n", seen)) < 0:
             if len(self.held) > HEADER:
-                raise ValueError(f"no header at byte {self.at}")
+                if target < 0 and (found := TARGET.search(self.held, 0, HEADER)):
+                    target = found.start()
+                if target >= 0 and stop < 0:
+                    stop = self.held.find(b"\r\n", max(seen, target + 2))
+                long = 0 if target < 0 else (len(self.held) if stop < 0 else stop) - target
+                if len(self.held) - long > HEADER:
+                    raise ValueError(f"no header at byte {self.at}")
+            seen = max(0, len(self.held) - 3)
             if not self._more():
                 if self.held.strip():
                     raise ValueError(f"the archive ends inside a header at byte {self.at}")
@@ -130,13 +139,14 @@ class Stream:
         return lines
 
     def _drop(self, n: int) -> None:
-        self.held, self.at = self.held[n:], self.at + n
+        del self.held[:n]
+        self.at += n
 
     def part(self, n: int) -> bytes:
         """At most ``n`` bytes, at least one."""
         if not self.held and not self._more():
             raise ValueError(f"the archive ends inside a record at byte {self.at}")
-        out = self.held[:n]
+        out = bytes(self.held[:n])
         self._drop(len(out))
         return out
 
@@ -209,7 +219,7 @@ def read(spark: SparkSession, path: str, size: int = CHUNK, with_data: bool = Tr
                     rows, held = [], 0
                     for row in chunks(uri, file, size, with_data):
                         rows.append(row)
-                        held += len(row[7] or b"") + 200
+                        held += len(row[7] or b"") + len(row[4] or "") + 200
                         if held >= 4 * CHUNK:
                             yield _batch(rows)
                             rows, held = [], 0
