@@ -197,6 +197,14 @@ def test_parts_merge_to_the_whole(spark):
     assert {r.g: r.sketch for r in merged.collect()} == {"g": sketch_of(" ".join(words[:2704])), "h": sketch_of("a b")}
 
 
+def test_near_copies_are_made_one_before_they_are_ranked(spark):
+    parts = spark.range(2000).select(F.lit("g").alias("g"), F.sequence(F.lit(0), F.lit(199)).cast("array<bigint>").alias("sketch"))
+    merged = fingerprints.merge_parts(parts.unionByName(parts.limit(3).withColumn("g", F.lit(None).cast("string"))), ["g"])
+    assert {r.g: r.sketch for r in merged.collect()} == dict.fromkeys(["g", None], list(range(fingerprints.K)))
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [" in plan and plan.rindex("Aggregate [") > plan.rindex("Window [")
+
+
 def test_next_rows(spark):
     def of(rows):
         df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id int, text string, next_x int").repartition(3)

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K, WORDS = 128, 5
+#: Shares of a group that are merged apart.
+SALTS = 64
 WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -42,11 +44,17 @@ def merge(a: Column, b: Column, k: int = K) -> Column:
 
 
 def merge_parts(df: DataFrame, by: list[str], sketches: str = "sketch", k: int = K) -> DataFrame:
-    """One sketch for each group of parts; only the k smallest of each task are shuffled and kept."""
-    hashes = df.select(*by, F.explode(sketches).alias("_h"))
-    rank = Window.partitionBy(*by).orderBy("_h")
-    least = hashes.withColumn("_n", F.dense_rank().over(rank)).where(F.col("_n") <= k).groupBy(*by, "_h").agg(F.lit(1).alias("_1"))
-    return least.groupBy(*by).agg(F.sort_array(F.collect_list("_h")).alias(sketches))
+    """One sketch for each group of parts.
+
+    A hash that parts share is made one before it is shuffled by its value, so a group of near copies
+    meets nowhere as a whole. The k smallest of each of ``SALTS`` shares of a group, dealt by hash, are
+    found first, then the k smallest of those.
+    """
+    once = df.select(*by, F.explode(sketches).alias("_h")).distinct().withColumn("_salt", F.pmod(F.xxhash64("_h"), F.lit(SALTS)))
+    for part in ([*by, "_salt"], by):
+        nth = F.row_number().over(Window.partitionBy(*part).orderBy("_h"))
+        once = once.withColumn("_n", nth).where(F.col("_n") <= k).drop("_n")
+    return once.groupBy(*by).agg(F.sort_array(F.collect_list("_h")).alias(sketches))
 
 
 def resemblance(a: Column, b: Column, k: int = K) -> Column:
