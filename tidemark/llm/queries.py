@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprints, html_text, lines, mixing, neardup, quality, token_counts, urls, warc
+from tidemark.llm import audit, bpe, centroids, fingerprints, html_text, language, lines, mixing, neardup, quality, token_counts, urls, warc
 from tidemark.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -301,3 +301,82 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
         fingerprints.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
         fingerprints.distinct_shingles(F.col("sketch")).alias("est_shingles"),
     )
+
+
+_A = r"'[^\x20\x09-\x0D]+'"
+OP11_SQL = rf"""
+WITH texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+worded AS (SELECT *, regexp_extract_all(text, {_A}) AS w FROM texts),
+said AS (SELECT doc_id, max((quality IS NOT DISTINCT FROM 1)::INT) AS good, max((toxic IS NOT DISTINCT FROM 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT part, [(len(w) < 50)::INT, (100 * len(list_distinct(w)) < 65 * len(w))::INT,
+    (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text))::INT, regexp_matches(text, '[#$%&*|]')::INT,
+    coalesce(min(worded.doc_id) OVER (PARTITION BY text) < worded.doc_id, false)::INT] AS bits,
+    coalesce(good, 0) AS good, coalesce(said.toxic, 0) AS toxic FROM worded LEFT JOIN said USING (doc_id)),
+cells AS (SELECT part, bits, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY ALL),
+orders AS (
+  SELECT [a, b, c, d, e] AS axes, chr((65 + a)::INT) || chr((65 + b)::INT) || chr((65 + c)::INT) || chr((65 + d)::INT) || chr((65 + e)::INT) AS filter_order
+  FROM range(5) x(a), range(5) y(b), range(5) z(c), range(5) u(d), range(5) v(e) WHERE len(list_distinct([a, b, c, d, e])) = 5),
+walked AS (
+  SELECT part, filter_order, step::INT AS step, axes[step] AS f, n, good, toxic, bits[axes[step] + 1] AS fails, list_sum(bits) AS all_fails,
+    coalesce(list_sum([bits[x + 1] FOR x IN axes[1:step - 1]]), 0) AS before
+  FROM cells, orders, range(1, 6) s(step)),
+steps AS (
+  SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (before + fails = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (before = 0 AND fails = 1), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (before > 0 AND fails = 1), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (all_fails = 1 AND fails = 1), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (before = 0 AND fails = 1), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (before = 0 AND fails = 1), 0)::BIGINT AS toxic_lost
+  FROM walked GROUP BY ALL)
+SELECT * EXCLUDE (f), sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley FROM steps
+"""
+
+
+@query("op11_filter_audit", OP11_SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read(spark, sf, "documents", "doc_id", "source", "text")
+    return audit.audit(docs, read(spark, sf, "labels", "doc_id", "quality", "toxic"))
+
+
+def _rounds_sql() -> str:
+    near = """
+  SELECT vec_id, v, arg_min(num, d * 64 + num) AS num, min(d) AS d FROM (
+    SELECT vec_id, v, num, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+    FROM kept, centroids_{r}) GROUP BY vec_id, v"""
+    out = ""
+    for r in range(centroids.ROUNDS):
+        out += f""",
+near_{r} AS MATERIALIZED ({near.format(r=r)}),
+centroids_{r + 1} AS MATERIALIZED (
+  SELECT c.num, coalesce(m.c, c.c) AS c FROM centroids_{r} c LEFT JOIN (
+    SELECT num, list(x ORDER BY i) AS c FROM (
+      SELECT num, i, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS x
+      FROM (SELECT num, unnest(v) AS x, unnest(range({centroids.SIZE})) AS i FROM near_{r}) GROUP BY num, i) GROUP BY num) m USING (num))"""
+    return out + f",\nfound AS MATERIALIZED ({near.format(r=centroids.ROUNDS)})"
+
+
+OP12_SQL = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({centroids.SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = {centroids.SIZE} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {centroids.SIZE}),
+centroids_0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY draw) - 1 AS num, v AS c FROM (
+    SELECT v, sha256('{centroids.SEED}:' || vec_id) AS draw FROM kept ORDER BY draw LIMIT {centroids.CLUSTERS})){_rounds_sql()}
+SELECT vec_id, num::INT AS cluster, d AS distance, sum(d) OVER (PARTITION BY num)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM found JOIN centroids_{centroids.ROUNDS} USING (num)
+"""
+
+
+@query("op12_centroid_clusters", OP12_SQL)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return centroids.cluster(read(spark, sf, "embeddings", "vec_id", "embedding"))
+
+
+@query("op13_language_id")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL can't express it; tests measure the accuracy on the rows that are held out."""
+    docs = read(spark, sf, "documents", "doc_id", "text", "lang").withColumn("held_out", language.held_out())
+    model = language.fit(docs.where(~F.col("held_out")))
+    return language.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
