@@ -117,28 +117,32 @@ class Machines:
 FINE = 1 << 16
 
 
-def separate(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 40) -> np.ndarray:
-    """Weights of a linear support vector machine with squared hinge loss, by dual coordinate descent.
+def separate(x: np.ndarray, rows: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 40) -> tuple[np.ndarray, float]:
+    """Weights and offset of a linear support vector machine with squared hinge loss, by dual coordinate descent.
 
-    ``y`` is 1 or -1. Both sides weigh the same, however many rows they have.
+    It sees the given rows of ``x``; ``y`` is 1 or -1 for each. Both sides weigh the same, however many
+    rows they have. The offset is the weight of a constant feature.
     """
     n, up = len(y), (y > 0).sum()
     room = np.where(y > 0, n / (2 * max(1, up)), n / (2 * max(1, n - up))) * c
-    w, dual = np.zeros(x.shape[1]), np.zeros(n)
-    norm = (x * x).sum(1) + 1 / (2 * room)
+    w, offset, dual = np.zeros(x.shape[1]), 0.0, np.zeros(n)
+    norm = np.array([float(x[r] @ x[r]) for r in rows]) + 1 + 1 / (2 * room)
     draw = np.random.Generator(np.random.PCG64(13))
     for _ in range(rounds):
         most = 0.0
         for i in draw.permutation(n):
-            slope = y[i] * (x[i] @ w) - 1 + dual[i] / (2 * room[i])
+            own = x[rows[i]].astype(np.float64)
+            slope = y[i] * (own @ w + offset) - 1 + dual[i] / (2 * room[i])
             step = max(-dual[i], -slope / norm[i])
             if step:
                 dual[i] += step
-                w += step * y[i] * x[i]
+                own *= step * y[i]
+                w += own
+                offset += step * y[i]
                 most = max(most, abs(step) * norm[i])
         if most < 1e-3:
             break
-    return w
+    return w, offset
 
 
 @dataclass(frozen=True)
@@ -195,21 +199,19 @@ def _machines(x: np.ndarray, tasks: list[np.ndarray], scale: np.ndarray) -> Mach
     weights, offsets = [], []
     for y in tasks:
         seen = np.flatnonzero(y)
-        w = separate(x[seen], y[seen].astype(np.float64))
-        weights.append(np.round(w[:-1] * scale * FINE))
-        offsets.append(w[-1])
+        w, offset = separate(x, seen, y[seen].astype(np.float64))
+        weights.append(np.round(w * scale * FINE))
+        offsets.append(offset)
     return Machines(np.stack(weights, 1), np.array(offsets))
 
 
 def train(x: np.ndarray, languages: list[str]) -> Model:
-    """A model from counts and the languages of their texts."""
+    """A model from counts and the languages of their texts; the matrix is scaled in place."""
     names = sorted(set(languages))
     label = np.array(languages, object)
-    share = x / np.maximum(1, x.sum(1, keepdims=True))
-    mean = share.mean(0)
-    scale = 1 / np.sqrt(mean + 1 / (len(GRAMS) << BITS))
-    # The last column is a constant, whose weight is the offset.
-    scaled = np.concatenate([share * scale, np.ones((len(x), 1))], 1)
+    x /= np.maximum(1, x.sum(1, keepdims=True))
+    scale = 1 / np.sqrt(x.mean(0, dtype=np.float64) + 1 / (len(GRAMS) << BITS))
+    x *= scale.astype(x.dtype)
     families = sorted({family_of(n) for n in names})
     own = np.array([family_of(n) for n in languages], object)
     first = [np.where(own == f, 1, -1) for f in families] if len(families) > 1 else []
@@ -218,8 +220,8 @@ def train(x: np.ndarray, languages: list[str]) -> Model:
         inside = tuple(n for n in names if family_of(n) == f)
         met = tuple((i, j) for i in range(len(inside)) for j in range(i + 1, len(inside)))
         tasks = [np.where(label == inside[i], 1, np.where(label == inside[j], -1, 0)) for i, j in met]
-        pairs[f] = inside, met, _machines(scaled, tasks, scale)
-    return Model(tuple(names), tuple(families), _machines(scaled, first, scale), pairs)
+        pairs[f] = inside, met, _machines(x, tasks, scale)
+    return Model(tuple(names), tuple(families), _machines(x, first, scale), pairs)
 
 
 def _folded(text: str) -> Column:
@@ -241,7 +243,7 @@ def sample(df: DataFrame, text: str, language: str, key: str, rows: int = TRAIN_
     held = known.groupBy(F.col(language).alias("l")).agg(F.count(F.lit(1)).alias("n"))
     often = [(r.l, r.n) for r in held.orderBy(F.col("n").desc(), "l").limit(languages).collect()]
     if not often:
-        return np.zeros((0, 1 << BITS), np.int64), []
+        return np.zeros((0, 1 << BITS), np.float32), []
     each = max(1, rows // len(often))
     share = F.create_map(*[F.lit(v) for name, n in often for v in (name, min(1.0, 2 * (each + 20) / n))])
     draw = F.xxhash64(F.col(key).cast("string"), text, F.lit(13))
@@ -263,7 +265,7 @@ def sample(df: DataFrame, text: str, language: str, key: str, rows: int = TRAIN_
 
     W.narrow(df.sparkSession)
     found = sorted(drawn.mapInArrow(run, "l string, d bigint, at binary, n binary").collect(), key=lambda r: (r.l, r.d))
-    x = np.zeros((len(found), 1 << BITS), np.int64)
+    x = np.zeros((len(found), 1 << BITS), np.float32)
     for i, r in enumerate(found):
         x[i, np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["n"], "<i8")
     return x, [r.l for r in found]
