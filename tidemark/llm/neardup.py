@@ -9,8 +9,8 @@ confirmed on their full sets.
 
 A large bucket never emits all its pairs. First every member meets the bucket's pivot, the member with
 the most neighbours, which joins most of a group of copies. Members still apart meet in a bucket of at
-most ``FEW``; in a larger one only those that share enough of what sets them apart from the pivot, by
-a bound that loses no link (``around_pivots``).
+most ``FEW``; in a larger one only those that share enough of what sets them apart from the center of a
+component, by a bound that loses no link (``around_pivots``).
 
 Defined results: null texts and texts without words have the empty set, size 0, and are linked with
 nothing. A text with fewer words than a shingle is one shingle. Rows that share an id are separate
@@ -192,27 +192,38 @@ def linked(i: Column, sizes: Column, percent: int) -> Column:
     return 100 * i >= percent * (sizes - i)
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, df: DataFrame, text: str, doc: str, percent: int) -> DataFrame:
+def confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets reach the threshold."""
-    pairs = durable(pairs)
-    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    full = durable(full_sets(wanted, classes, df, text, doc))
     both = pairs.join(full.toDF("a", "x"), "a").join(full.toDF("b", "y"), "b")
     sized = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("i"), (F.size("x") + F.size("y")).alias("s"))
     return sized.where(linked(F.col("i"), F.col("s"), percent)).select("a", "b")
 
 
+def centers_of(buckets: DataFrame) -> DataFrame:
+    """``key, pivot``: of the components in a bucket, the center of the one with the most neighbours.
+
+    A component has one center, wherever its members are, so a member is told from few pivots.
+    """
+    known = buckets.groupBy("cls", "root").agg(F.sum("size").alias("near"))
+    centers = known.groupBy("root").agg(F.max(F.struct("near", "cls")).alias("top"))
+    held = buckets.select("key", "root").distinct().join(centers, "root")
+    return held.groupBy("key").agg(F.max("top").alias("top")).select("key", F.col("top.cls").alias("pivot"))
+
+
 def around_pivots(star: DataFrame, sets_: DataFrame, percent: int) -> DataFrame:
     """Pairs of members that can be linked though one of them isn't linked with their pivot.
 
     ``star`` has ``pivot, cls, root``. Let d be a member's difference from its pivot o, in both
-    directions. x and y are linked if their difference, ``|dx| + |dy| - 2 |dx & dy|``, is at most
-    ``c (|x| + |y|)`` with ``c = (100 - percent) / (100 + percent)``. If x isn't linked with o, then
-    ``r = |dx| - c (|x| + |o|)`` is above 0, and as ``|y| <= |o| + |dy|`` they must share at least
-    ``(r + (1 - c) |dy|) / 2`` elements of their differences. So with the elements in one order, the
-    rarest first, the first ones of both must meet, up to that bound; edits of one copy alone meet
-    nobody. The join is on those elements, never on the pivot, and what follows a shared element in
-    both must be long enough for the pair's own bound: the first element they share always passes.
+    directions. x and y are linked only if their difference, ``|dx| + |dy| - 2 |dx & dy|``, is at most
+    ``c (|x| + |y|)`` with ``c = (100 - percent) / (100 + percent)``. As ``|y| <= |o| + |dy|``, they then share
+    ``t >= (r + (1 - c) |dy|) / 2`` elements of their differences, with ``r = |dx| - c (|x| + |o|)``. If x isn't
+    linked with o, r is above 0. So a member that is far from o shares ``r / (1 + c)`` with any other (as
+    ``|dy| >= t``), and one that is near shares ``(1 - c) |dy| / 2`` with one that is far. With the elements in
+    one order, the rarest first, the first ones of both must meet, up to these bounds; edits of one copy
+    alone meet nobody. The join is on those elements, never on the pivot, and what follows a shared
+    element in both must be long enough for the pair's own bound: the first element they share always
+    passes. Its work, not its rows, can grow with the square of the members that are far from their
+    pivot, apart from each other, and lack or add the same.
     """
     c = (100 - percent) / (100 + percent)
     # The join by member comes last, so that the members of one pivot are spread when they are exploded.
@@ -220,23 +231,17 @@ def around_pivots(star: DataFrame, sets_: DataFrame, percent: int) -> DataFrame:
     apart = F.concat(F.array_except("x", "o"), F.array_except("o", "x"))
     sized = both.select("pivot", "cls", "root", apart.alias("d"), F.size("x").alias("nx"), F.size("o").alias("no"))
     n = F.size("d")
-    over = n - c * (F.col("nx") + F.col("no"))
+    far = (100 + percent) * n > (100 - percent) * (F.col("nx") + F.col("no"))
+    shared = F.when(far, (n - c * (F.col("nx") + F.col("no"))) / (1 + c)).otherwise((1 - c) * n / 2)
     # The small amount keeps rounding from raising a bound.
-    sized = sized.withColumns(
-        {
-            "far": (100 + percent) * n > (100 - percent) * (F.col("nx") + F.col("no")),
-            "as_x": n - F.greatest(F.lit(1), F.ceil(over / 2 - 1e-6)) + 1,
-            "as_y": n - F.greatest(F.lit(1), F.ceil((1 - c) * n / 2 - 1e-6)) + 1,
-        }
-    )
-    rows = durable(sized.select("pivot", "cls", "root", "far", "as_x", "as_y", "nx", n.alias("n"), F.explode("d").alias("e")))
+    first = n - F.greatest(F.lit(1), F.ceil(shared - 1e-6)) + 1
+    rows = durable(sized.select("pivot", "cls", "root", far.alias("far"), first.alias("first"), "nx", n.alias("n"), F.explode("d").alias("e")))
     often = rows.groupBy("pivot", "e").agg(F.count(F.lit(1)).alias("often"))
     order = Window.partitionBy("pivot", "cls").orderBy("often", "e")
-    ranked = rows.join(often, ["pivot", "e"]).withColumn("nth", F.row_number().over(order)).where(F.col("often") > 1)
-    ranked = durable(ranked.where((F.col("nth") <= F.col("as_y")) | F.col("far") & (F.col("nth") <= F.col("as_x"))))
+    ranked = rows.join(often, ["pivot", "e"]).withColumn("nth", F.row_number().over(order))
+    ranked = durable(ranked.where((F.col("often") > 1) & (F.col("nth") <= F.col("first"))))
     side = lambda k, name: [F.col(c).alias(f"{c}_{k}") for c in ("root", "n", "nx", "nth")] + [F.col("cls").alias(name)]
-    x = ranked.where(F.col("far") & (F.col("nth") <= F.col("as_x"))).select("pivot", "e", *side("x", "a"))
-    y = ranked.where(F.col("nth") <= F.col("as_y")).select("pivot", "e", *side("y", "b"))
+    x, y = ranked.where("far").select("pivot", "e", *side("x", "a")), ranked.select("pivot", "e", *side("y", "b"))
     most = 1 + F.least(F.col("n_x") - F.col("nth_x"), F.col("n_y") - F.col("nth_y"))
     least = F.col("n_x") + F.col("n_y") - c * (F.col("nx_x") + F.col("nx_y"))
     met = x.join(y, ["pivot", "e"]).where((F.col("a") != F.col("b")) & (F.col("root_x") != F.col("root_y")) & (2 * most >= least - 1e-6))
@@ -248,29 +253,28 @@ def links(classes: DataFrame, df: DataFrame, text: str, doc: str, percent: int)
     rows = bands(classes, banding(percent))
     several = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
     buckets = durable(rows.join(several, "key"))
+    # All sets that can be compared, from one pass over the texts.
+    full = durable(full_sets(buckets.select("cls").distinct(), classes, df, text, doc))
     # The pivot is the member with the most neighbours over all its buckets: a group's origin.
     central = buckets.groupBy("cls").agg(F.sum("size").alias("near"))
-    weighed = buckets.join(central, "cls")
-    pivots = weighed.groupBy("key").agg(F.max(F.struct("near", "cls")).alias("top")).select("key", F.col("top.cls").alias("pivot"))
-    members = durable(buckets.join(pivots, "key").where(F.col("cls") != F.col("pivot")))
+    pivots = buckets.join(central, "cls").groupBy("key").agg(F.max(F.struct("near", "cls")).alias("top")).select("key", F.col("top.cls").alias("pivot"))
+    members = buckets.join(pivots, "key").where(F.col("cls") != F.col("pivot"))
     star = members.select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct()
-    first = durable(confirm(likely(star, classes, percent), classes, df, text, doc, percent))
+    first = durable(confirm(likely(star, classes, percent), full, percent))
 
-    roots = durable(components(first))
-    rooted = buckets.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    rooted = durable(rooted)
+    roots = components(first)
+    rooted = durable(buckets.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls")))
     open_ = rooted.groupBy("key").agg((F.min("root") != F.max("root")).alias("open")).where("open").select("key")
     apart = durable(rooted.join(open_, "key", "left_semi"))
     small = apart.where(F.col("size") <= FEW)
     left, right = small.select("key", F.col("cls").alias("a"), F.col("root").alias("ra")), small.select("key", F.col("cls").alias("b"), F.col("root").alias("rb"))
-    pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))).select("a", "b").distinct()
-
-    large = apart.where(F.col("size") > FEW).join(pivots, "key").where(F.col("cls") != F.col("pivot"))
-    spokes = durable(large.select("pivot", "cls", "root").distinct())
-    wanted = spokes.select("cls").unionByName(spokes.select(F.col("pivot").alias("cls"))).distinct()
-    full = durable(full_sets(wanted, classes, df, text, doc))
-    pairs = pairs.unionByName(around_pivots(spokes, full, percent)).distinct()
-    second = confirm(likely(pairs, classes, percent), classes, df, text, doc, percent)
+    pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))).select("a", "b")
+
+    large = apart.where(F.col("size") > FEW)
+    spokes = large.join(centers_of(large), "key").where(F.col("cls") != F.col("pivot")).select("pivot", "cls", "root").distinct()
+    # A pivot may stand outside of a bucket; its own set is there, as it has a bucket.
+    pairs = durable(pairs.unionByName(around_pivots(durable(spokes), full, percent)).distinct())
+    second = confirm(likely(pairs, classes, percent), full, percent)
     return first.unionByName(second)
 
 
