@@ -1,7 +1,7 @@
 """Mixing sources to target weights by Sainte-Lague apportionment, in DataFrame functions only.
 
 The corpus is dealt in blocks of equally many words, short enough that the smallest target is made of
-many of them: what a source takes depends little on what else is there. Sources get whole numbers of blocks by the
+``FINE`` of them. Sources get whole numbers of blocks by the
 highest quotients weight / (2k + 1), and inside a source its shards do the same by size. A shard is
 a seeded part of a source's documents in seeded order; its words are one stream, cut into equal
 blocks, and a run of blocks from a seeded start is taken, whole rounds first. A document's share is
@@ -12,7 +12,7 @@ task is one row a source, or at most ``SHARDS`` rows of one source.
 
 Defined results: a null text has size 0 and takes 0; a null source is a source of its own and comes
 last; sources of size 0 have target 0. Equal rows are separate documents with separate intervals. An
-empty table gives an empty result. Other columns pass through; those named like a result are
+empty table gives an empty result. Texts of any length are counted whole. Other columns pass through; those named like a result are
 replaced.
 """
 
@@ -26,10 +26,8 @@ from tidemark.session import durable
 WORD = r"[^\x20\x09-\x0D]+"
 #: Shards of a source at most; larger sources have larger shards.
 SHARDS = 65_536
-#: Words of a block at most, blocks of a source to aim at, and blocks of a shard.
+#: Words of a block at most, blocks of the smallest target, and blocks of the longest kind in a shard.
 BLOCK, FINE, LONG = 1024, 400, 256
-#: Where the smallest target has fewer blocks than the first, blocks are so short that it has the second.
-FEWEST, FINER = 100, 1000
 ROUNDS = 3
 RESULT = ("size", "source_size", "target", "taken")
 
@@ -115,17 +113,15 @@ def mix(
     sized = durable(df.select(F.col(doc).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size")))
     sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), cycle, rounds)
     one = Window.partitionBy()
-    total, count = F.sum("source_size").over(one), F.count(F.lit(1)).over(one)
-    usual = F.greatest(F.lit(1), F.least(F.lit(block), F.floor(total / (FINE * count)))).cast("bigint")
-    smallest = F.min(F.when(F.col("target") > 0, F.col("target"))).over(one)
-    sources = sources.withColumns({"usual": usual, "smallest": smallest, "all": F.lit(1)})
-    finer = F.greatest(F.lit(1), F.floor(F.col("smallest") / FINER)).cast("bigint")
-    per_block = F.when(F.col("smallest") < FEWEST * F.col("usual"), F.least("usual", finer)).otherwise(F.col("usual"))
-    sources = sources.withColumn("per_block", per_block).withColumn("blocks", F.floor(total / F.col("per_block")).cast("bigint"))
+    total, smallest = F.sum("source_size").over(one), F.min(F.when(F.col("target") > 0, F.col("target"))).over(one)
+    # One length for all sources, from the smallest target.
+    per_block = F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.coalesce(smallest, F.lit(0.0)) / FINE))).cast("bigint")
+    sources = sources.withColumns({"total": total, "per_block": per_block, "all": F.lit(1)})
+    sources = sources.withColumn("blocks", F.floor(F.col("total") / F.col("per_block")).cast("bigint"))
     sources = apportion(sources, ["all"], "blocks", "target", ["place"])
-    # By the usual block: shorter ones make no more shards, whose documents would all be taken in like parts.
-    shards = F.least(F.lit(SHARDS), F.greatest(F.lit(1), F.floor(F.col("source_size") / (LONG * F.col("usual"))))).cast("bigint")
-    sources = durable(sources.withColumn("shards", shards).drop("all", "blocks", "usual", "smallest"))
+    # Shards have many blocks of any length, and don't multiply with shorter ones.
+    shards = F.least(F.lit(SHARDS), F.greatest(F.lit(1), F.floor(F.col("source_size") / (LONG * block)))).cast("bigint")
+    sources = durable(sources.withColumn("shards", shards).drop("all", "blocks", "total"))
 
     named = sources.withColumnRenamed("source", "_source")
     placed = sized.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")

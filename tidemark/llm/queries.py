@@ -122,11 +122,13 @@ level AS (
     (SELECT min(most / weight) FROM filling WHERE level <= most / weight) AND level <= most / weight),
 targeted AS (
   SELECT source, place, source_size, 1 AS everything, least(most, coalesce((SELECT level FROM level) * weight, most)) AS target,
-    greatest(1, least({mixing.BLOCK}, floor(total / ({mixing.FINE} * n))))::BIGINT AS per_block, total FROM sources),
-blocked AS (SELECT *, floor(total / per_block)::BIGINT AS blocks FROM targeted),
+    total FROM sources),
+blocked AS (
+  SELECT *, floor(total / per_block)::BIGINT AS blocks FROM (
+    SELECT *, greatest(1, least({mixing.BLOCK}, floor(coalesce(min(target) FILTER (target > 0) OVER (), 0) / {mixing.FINE})))::BIGINT AS per_block FROM targeted)),
 {_apportion_sql("granted", "blocked", "everything", "blocks", "target", "place")},
 sharded AS (
-  SELECT *, least({mixing.SHARDS}, greatest(1, floor(source_size / ({mixing.LONG} * per_block))))::BIGINT AS shards FROM granted),
+  SELECT *, least({mixing.SHARDS}, greatest(1, floor(source_size / {mixing.LONG * mixing.BLOCK})))::BIGINT AS shards FROM granted),
 placed AS (
   SELECT d.*, place, source_size, target, quota, per_block,
     {_draw_sql("'7:' || doc_id")} % shards AS shard, md5('7+:' || doc_id) AS draw
