@@ -5,6 +5,7 @@ import html
 import io
 import random
 import re
+import time
 from base64 import b32encode
 from collections import Counter
 
@@ -253,3 +254,52 @@ def test_reader_is_strict_and_bounded():
     for bad in (good[:-50], good.replace(b"z\r\n", b"y\r\n"), good[:-4] + b"oops", b"nonsense\r\n\r\n"):
         with pytest.raises(ValueError):
             list(warc.chunks("a", io.BytesIO(bad), 65_536, True))
+
+
+@pytest.mark.parametrize(
+    "inner, want",
+    [
+        ('<p title="a < b">Third of the paragraphs here.</p>', "Third of the paragraphs here."),
+        ('<p><img data-caption="<b>caption</b> text" src=x>Words after a picture.</p>', "Words after a picture."),
+        ("<p data-x='1 > 0 \" <i>'>Quoted > marks.</p>", "Quoted > marks."),
+        ("<p>Before <![CDATA[ a > b <p> ]]>and after it.</p>", "Before and after it."),
+        ('<p class=a" id=b>A stray quote in a tag.</p><p>Next "one".</p>', 'A stray quote in a tag.\nNext "one".'),
+        ("<p>Less < than and <b>bold</b>.</p>", "Less < than and bold."),
+        ('<p a="unclosed>Lost and found.</p>', "Lost and found."),
+    ],
+)
+def test_attribute_values_and_sections(model, inner, want):
+    page = dom.Page(f"<article>{inner}</article>")
+    assert page.text([True] * len(page.tags)) == want
+
+
+def test_small_articles_and_lists_of_links(model):
+    some = "A paragraph of the article that says what it is about, in more than a few words."
+    links = "".join(f'<li><a href="/{k}">Chapter {k} of the story</a></li>' for k in range(6))
+    pages = ["<article><p>Hi</p></article>", f"<html><body><article><h1>Contents of it</h1><p>{some}</p><ul>{links}</ul><p>{some}</p></article></body></html>"]
+    short, listed = html_text.extract_all(pages, model)
+    assert short == "Hi"
+    assert listed.split("\n") == ["Contents of it", some, *[f"Chapter {k} of the story" for k in range(6)], some]
+
+
+def test_unclosed_elements_take_linear_time():
+    began = time.process_time()
+    for page in ("<b>word <div>x</div>" * 50_000, "<ul><li><ul>" + "<b>word</li>" * 80_000, "<head><i>" + "<i><body>" * 100_000, "<p " * 300_000, '<p a="' * 150_000):
+        dom.Page(page)
+    assert time.process_time() - began < 20
+
+
+def test_query_equals_articles(spark, sf, pages):
+    """The registered query on every page whose article is known."""
+    got = {r.page_id: (r.url, r.text, r.n_chars) for r in queries.op6(spark, sf).collect()}
+    source = {r.page_id: (r.url, r.html) for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    assert got.keys() == source.keys()
+    right = known = 0
+    for i, (url, text, n) in got.items():
+        assert url == source[i][0] and n == len(text)
+        page = dom.Page(source[i][1] or "")
+        labels = html_text.by_landmarks(page)
+        if labels is not None:
+            known += 1
+            right += text == page.text([bool(x) or k == 0 for k, x in enumerate(labels)])
+    assert known and right >= 0.97 * known

@@ -48,9 +48,12 @@ GROUPS = tuple(TOKENS)
 _GROUP = {word: 1 << k for k, words in enumerate(TOKENS.values()) for word in words.split()}
 _MAIN, _COMMENT, _AD = 1, 1 << GROUPS.index("comment"), 1 << GROUPS.index("ad")
 
+# A quoted value ends at its quote, whatever it holds; outside of values a "<" begins the next tag.
 _TAG = re.compile(
-    r"""<(?:!--|(?P<end>/?)(?P<name>[a-zA-Z][^\s/><]*)(?P<attrs>(?:[^>"'<]++|"[^"<]*+"|'[^'<]*+'|["'])*+)/?>|[!?][^>]*>|[a-zA-Z/!?][^<>]*\Z)"""
+    r"""<(?:!--|!\[CDATA\[|(?P<end>/?)(?P<name>[a-zA-Z][^\s/><]*)(?P<attrs>(?:[^>"'<=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+|["'])*+)>|[!?][^>]*>|[a-zA-Z/!?][^<>]*\Z)"""
 )
+#: What ends the sections that are no elements.
+SECTIONS = {"<!--": "-->", "<![CDATA[": "]]>"}
 _NAMES = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -88,61 +91,76 @@ class Page:
         return n
 
     def _parse(self, source: str) -> None:
-        stack: list[tuple[str, int, int]] = [("html", 0, SHOWN)]  # tag, node, hidden
-        links, at, flow = 0, 0, self.flow
+        self._stack: list[tuple[str, int, int]] = []  # tag, node, hidden
+        #: Where the open elements of a name, and all barriers, stand on the stack.
+        self._open_at: dict[str, list[int]] = {}
+        self._barriers: list[int] = []
+        self._links = 0
+        self._push("html", 0, SHOWN)
+        stack, at, flow = self._stack, 0, self.flow
         search = _TAG.search
         while True:
             m = search(source, at)
             text = source[at : m.start() if m else len(source)]
             if text and not text.isspace() and not stack[-1][2]:
-                flow.append((stack[-1][1], html.unescape(text) if "&" in text else text, links > 0))
+                flow.append((stack[-1][1], html.unescape(text) if "&" in text else text, self._links > 0))
             elif text and not stack[-1][2]:
-                flow.append((stack[-1][1], " ", links > 0))
+                flow.append((stack[-1][1], " ", self._links > 0))
             if not m:
                 return
             at = m.end()
             name = m["name"]
             if name is None:
-                if m.group().startswith("<!--"):
-                    end = source.find("-->", m.start() + 4)
+                if m.group() in SECTIONS:
+                    closing = SECTIONS[m.group()]
+                    end = source.find(closing, at)
                     at = len(source) if end < 0 else end + 3
                 continue
             name = name.lower()
             if m["end"]:
-                links = self._close(name, stack, links)
+                self._close(name)
                 continue
-            links = self._open(name, m["attrs"], stack, links)
+            self._open(name, m["attrs"])
             if name in RAW:
                 end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(source, at)
                 at = end.end() if end else len(source)
 
-    def _open(self, name: str, attrs: str, stack: list, links: int) -> int:
+    def _push(self, name: str, node: int, hidden: int) -> None:
+        at = len(self._stack)
+        self._open_at.setdefault(name, []).append(at)
+        if name in BARRIER:
+            self._barriers.append(at)
+        self._stack.append((name, node, hidden))
+        self._links += name == "a"
+
+    def _open(self, name: str, attrs: str) -> None:
+        stack = self._stack
         if name in RAW:
-            return links
+            return
         if name in VOID:
-            self.flow.append(None if name == "hr" else (stack[-1][1], " ", links > 0))
-            return links
+            self.flow.append(None if name == "hr" else (stack[-1][1], " ", self._links > 0))
+            return
         if name in ("html", "body"):
             groups = token_groups(attrs) if attrs else 0
             self.groups[0] |= groups & _MAIN
-            while any(t == "head" for t, _, _ in stack):
-                stack.pop()
-            return links
+            if self._open_at.get("head"):
+                self._pop(self._open_at["head"][0], silent=True)
+            return
         if name in BLOCKS:
-            links = self._end(("p",), stack, links)
+            self._end(("p",))
             if name in SELF_ENDING:
-                links = self._end(SELF_ENDING[name], stack, links)
+                self._end(SELF_ENDING[name])
             if stack[-1][0] == "head":
-                stack.pop()
+                self._pop(len(stack) - 1, silent=True)
             self.flow.append(None)
         groups = token_groups(attrs) if attrs and "=" in attrs else 0
         node, hidden = stack[-1][1], stack[-1][2]
         if hidden == DRAWING:
             if attrs.endswith("/"):
-                return links
+                return
             hidden = NEVER if name in UNDRAWN or name in HIDDEN else SHOWN if name in DRAWN else DRAWING
             if hidden == SHOWN:
-                self.flow.append((node, " ", links > 0))
+                self.flow.append((node, " ", self._links > 0))
         elif name in HIDDEN:
             hidden = NEVER
         elif name == "svg":
@@ -151,37 +169,37 @@ class Page:
             if name in BLOCKS:
                 self.blocks[node] = True
             node = self._node(name, node, groups)
-        stack.append((name, node, hidden))
-        return links + (name == "a")
+        self._push(name, node, hidden)
 
-    def _end(self, names: tuple[str, ...], stack: list, links: int) -> int:
-        """Ends the nearest open element of ``names`` that no barrier hides."""
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in names:
-                return self._pop(k, stack, links)
-            if stack[k][0] in BARRIER:
-                break
-        return links
+    def _end(self, names: tuple[str, ...]) -> None:
+        """Ends the nearest open element of ``names`` that no barrier hides; looked up, not searched for."""
+        at = max((held[-1] for n in names if (held := self._open_at.get(n))), default=0)
+        if at > 0 and at >= (self._barriers[-1] if self._barriers else 0):
+            self._pop(at)
 
-    def _pop(self, k: int, stack: list, links: int) -> int:
+    def _pop(self, k: int, silent: bool = False) -> None:
+        stack = self._stack
         for tag, node, hidden in stack[k:]:
-            links -= tag == "a"
+            self._links -= tag == "a"
+            if silent:
+                continue
             if tag in DRAWN and hidden == SHOWN:
-                self.flow.append((node, " ", links > 0))
+                self.flow.append((node, " ", self._links > 0))
             if tag in BLOCKS and (not self.flow or self.flow[-1] is not None):
                 self.flow.append(None)
+        for tag, _, _ in reversed(stack[k:]):
+            self._open_at[tag].pop()
+            if tag in BARRIER:
+                self._barriers.pop()
         del stack[k:]
-        return links
 
-    def _close(self, name: str, stack: list, links: int) -> int:
+    def _close(self, name: str) -> None:
         if name in ("html", "body") or name in VOID:
-            return links
+            return
         if name not in BARRIER:
-            return self._end((name,), stack, links)
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] == name:
-                return self._pop(k, stack, links)
-        return links
+            self._end((name,))
+        elif self._open_at.get(name):
+            self._pop(self._open_at[name][-1])
 
     def _own_runs(self) -> None:
         """Text that stands beside blocks in its element becomes a node of its own."""

@@ -11,7 +11,8 @@ main, nav, ...), and ``LAYOUTS`` layouts made from the sample's paragraphs, in w
 told by other elements and by names alone; ``LONG`` more have many blocks side by side. Extraction covers every page whole.
 
 Defined results: a null or empty page has no text. Pages of one content have one text. White space is
-what ``str.split`` splits at, after references are decoded; a line break element is white space. Formulas
+what ``str.split`` splits at, after references are decoded; a line break element is white space. Attribute
+values end at their quotes, whatever they hold; CDATA sections are not shown. Formulas
 and the text elements of drawings are text like other, annotations of formulas are not shown. A page
 without a kept node has the empty text. Other columns pass through; those named like a result are
 replaced.
@@ -118,7 +119,10 @@ def layout(main: list[str], other: list[str], draw: Random, blocks: tuple[int, i
         if kind < 0.86:
             return f"<h2>{_MARK}{title()}</h2>"
         if kind < 0.9:
-            return "<ul>" + "".join(f"<li>{_MARK}{pick(main)}</li>" for _ in range(draw.randint(1, 4))) + "</ul>"
+            items = [_MARK + (pick(main) if draw.random() < 0.5 else title()) for _ in range(draw.randint(1, 6))]
+            if draw.random() < 0.5:  # a list of links that belongs to the text
+                items = [f'<a href="/">{i}</a>' for i in items]
+            return "<ul>" + "".join(f"<li>{i}</li>" for i in items) + "</ul>"
         if kind < 0.94:
             return f"<blockquote>{text}</blockquote>"
         return wrap(text, "div", "pre", "section", "table><tr><td")
@@ -138,6 +142,8 @@ def layout(main: list[str], other: list[str], draw: Random, blocks: tuple[int, i
     before = [parts[k]() for k in ("header", "menu", "notice", "ad", "form") if draw.random() < 0.5]
     after = [parts[k]() for k in ("side", "ad", "comments", "form", "notice", "footer", "footer") if draw.random() < 0.4]
     draw.shuffle(before)
+    if draw.random() < 0.08:  # nothing but the article
+        return inner
     return f"<html><head><title>{title()}</title></head><body>{''.join(before)}{inner}{''.join(after)}</body></html>"
 
 
