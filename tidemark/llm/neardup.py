@@ -253,8 +253,10 @@ def links(classes: DataFrame, df: DataFrame, text: str, doc: str, percent: int)
     rows = bands(classes, banding(percent))
     several = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
     buckets = durable(rows.join(several, "key"))
-    # All sets that can be compared, from one pass over the texts.
-    full = durable(full_sets(buckets.select("cls").distinct(), classes, df, text, doc))
+    # Signatures and sets of all that can be compared; the rest are not shuffled again.
+    wanted = buckets.select("cls").distinct()
+    classes = durable(classes.join(wanted, "cls", "left_semi"))
+    full = durable(full_sets(wanted, classes, df, text, doc))
     # The pivot is the member with the most neighbours over all its buckets: a group's origin.
     central = buckets.groupBy("cls").agg(F.sum("size").alias("near"))
     pivots = buckets.join(central, "cls").groupBy("key").agg(F.max(F.struct("near", "cls")).alias("top")).select("key", F.col("top.cls").alias("pivot"))
