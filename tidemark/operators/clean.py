@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.ordered import (
     Axis,
     following,
+    join_back,
     order_value,
     previous,
     quantiles,
@@ -38,14 +39,14 @@ def in_window(df: DataFrame, windows: DataFrame, by: Sequence[str], ts: str, pad
         (F.col("start") - F.expr(f"INTERVAL {pad}")).alias("_from"),
         (F.col("end") + F.expr(f"INTERVAL {pad}")).alias("_to"),
     )
-    return df.join(span, list(by)).where(F.col(ts).between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
+    return join_back(df, span, by).where(F.col(ts).between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
 
 
 def window_counts(df: DataFrame, windows: DataFrame, by: Sequence[str], t: str, pad_s: float = 600.0) -> DataFrame:
     """Rows, missing times and times outside the padded window of each series (epoch seconds)."""
     span = windows.select(*by, (F.unix_seconds("start") - pad_s).alias("_from"), (F.unix_seconds("end") + pad_s).alias("_to"))
     finite = F.col(t).isNotNull() & ~F.isnan(t) & (F.abs(t) < float("inf"))
-    return df.join(span, list(by)).groupBy(*by).agg(
+    return join_back(df, span, by).groupBy(*by).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(~finite).alias("missing"),
         F.count_if(finite & ~F.col(t).between(F.col("_from"), F.col("_to"))).alias("outside"),
@@ -64,10 +65,10 @@ def drop_time_spikes(df: DataFrame, ax: Axis, t: str, threshold: float = 10.0) -
     steps = durable(steps)
     by = list(ax.by)
     middle = durable(quantiles(steps, by, "_in", {"_med": 0.5}))
-    spread = steps.select(*by, "_in").join(middle, by).withColumn("_dev", F.abs(F.col("_in") - F.col("_med")))
+    spread = join_back(steps.select(*by, "_in"), middle, by).withColumn("_dev", F.abs(F.col("_in") - F.col("_med")))
     mad = quantiles(spread, by, "_dev", {"_mad": 0.5})
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    scored = steps.join(middle.join(mad, by).join(counts, by), by, "left")
+    scored = join_back(steps, join_back(join_back(middle, mad, by), counts, by), by, "left")
 
     def z(step: str) -> Column:
         return F.lit(0.6745) * F.abs(F.col(step) - F.col("_med")) / F.col("_mad")
@@ -86,8 +87,8 @@ def intersect_indices(df: DataFrame, by: Sequence[str], seq: str, var: str) -> D
     """Keep the samples present for every variable of their series; leave single-variable series."""
     present = df.groupBy(*by).agg(F.count_distinct(var).alias("_vars"))
     have = df.groupBy(*by, seq).agg(F.count_distinct(var).alias("_have"))
-    whole = have.join(present, list(by)).where((F.col("_vars") < 2) | (F.col("_have") == F.col("_vars")))
-    return df.join(whole.select(*by, seq), [*by, seq], "left_semi")
+    whole = join_back(have, present, by).where((F.col("_vars") < 2) | (F.col("_have") == F.col("_vars")))
+    return join_back(df, whole.select(*by, seq), [*by, seq], "left_semi")
 
 
 def align_indices(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -107,7 +108,7 @@ def range_qc_drop(df: DataFrame, rules: DataFrame, key: Sequence[str], var: str,
     """
     checked = df.join(small(rules), var)
     bad = checked.where((F.col(value) < F.col("lo")) | (F.col(value) > F.col("hi"))).select(*key).distinct()
-    return df.join(bad, list(key), "left_anti")
+    return join_back(df, bad, key, "left_anti")
 
 
 def out_of_range(col: str, lo: float, hi: float) -> Column:
@@ -168,7 +169,7 @@ def backscatter_qc(df: DataFrame, by: Sequence[str], blue: str, red: str, fluo:
         return df.withColumns({blue: F.when(~bad_blue, F.col(blue)), red: F.when(~bad_red, F.col(red))})
     armed = df.groupBy(*by).agg((F.bool_or(bad_blue) & F.bool_or(bad_red) & F.bool_or(bad_fluo)).alias("_armed"))
     return (
-        df.join(armed, list(by))
+        join_back(df, armed, by)
         .withColumns(
             {
                 blue: F.when(~(F.col("_armed") & bad_blue), F.col(blue)),
@@ -268,7 +269,7 @@ def fix_lon_sign(df: DataFrame, by: Sequence[str], lon: str, order: Sequence[str
     """Negate a series' longitudes when its first one is positive."""
     first = df.groupBy(*by).agg(F.min_by(lon, order_value(order)).alias("_first"))
     signed = F.when(F.col("_first") > 0, -F.col(lon)).otherwise(F.col(lon))
-    return df.join(first, list(by)).withColumn(lon, signed).drop("_first")
+    return join_back(df, first, by).withColumn(lon, signed).drop("_first")
 
 
 def relative(df: DataFrame, by: Sequence[str], cols: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -276,7 +277,7 @@ def relative(df: DataFrame, by: Sequence[str], cols: Sequence[str], order: Seque
     pos = order_value(order)
     first = df.groupBy(*by).agg(*[F.min_by(c, pos).alias(f"_{c}") for c in cols])
     moved = {c: F.col(c) - F.col(f"_{c}") for c in cols}
-    return df.join(first, list(by)).withColumns(moved).select(df.columns)
+    return join_back(df, first, by).withColumns(moved).select(df.columns)
 
 
 def apply_lag(df: DataFrame, settings: DataFrame, instr: str, ts: str) -> DataFrame:

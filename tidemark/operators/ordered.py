@@ -168,6 +168,15 @@ def _join(step: Step, local: Column, carry: Column, edge: Column) -> Column:
     return {"max": F.greatest, "min": F.least}[step.kind](local, carry)
 
 
+def join_back(df: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """``df`` with what ``other`` holds for its keys; NULL is a key like any other. Keys come first."""
+    own = {k: f"_on_{i}" for i, k in enumerate(on)}
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(o)) for k, o in own.items()))
+    joined = df.join(other.withColumnsRenamed(own), same, how)
+    more = [] if how in ("left_semi", "left_anti") else [c for c in other.columns if c not in own]
+    return joined.select(*own, *[c for c in df.columns if c not in own], *more)
+
+
 def scan(df: DataFrame, ax: Axis, **steps: Step) -> DataFrame:
     """Add one column per step, exact over the whole series.
 
@@ -271,9 +280,9 @@ def _value_ranges(df: DataFrame, by: Sequence[str], col: str, splits: int, limit
     else:
         marks = F.array(*[F.lit(i / splits) for i in range(1, splits)])
         sketch = F.percentile_approx(col, marks, F.lit(4 * splits))
-        cuts = known.join(long, list(by), "left_semi").groupBy(*by).agg(F.array_distinct(sketch).alias("_cuts"))
+        cuts = join_back(known, long, by, "left_semi").groupBy(*by).agg(F.array_distinct(sketch).alias("_cuts"))
         smaller = F.size(F.filter("_cuts", lambda c: c < F.col("value")))
-        joined = counted.join(durable(cuts), list(by), "left")
+        joined = join_back(counted, durable(cuts), by, "left")
         ranged = joined.withColumn(CHUNK, F.when(F.col("_cuts").isNull(), 0).otherwise(smaller)).drop("_cuts")
     sizes = ranged.groupBy(*by, CHUNK).agg(F.sum("n").alias("_n"))
     order = Window.partitionBy(*by).orderBy(CHUNK)
@@ -287,7 +296,7 @@ def _value_ranges(df: DataFrame, by: Sequence[str], col: str, splits: int, limit
 def _place(ranged: DataFrame, ranges: DataFrame, by: Sequence[str]) -> DataFrame:
     w = Window.partitionBy(*by, CHUNK).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     rows = ranged.withColumn("_below", F.coalesce(F.sum("n").over(w), F.lit(0)))
-    return rows.join(ranges, [*by, CHUNK]).select(
+    return join_back(rows, ranges, [*by, CHUNK]).select(
         *by, "value", "n", (F.col("_below") + F.col("_c")).alias("below"), "total"
     )
 
@@ -321,7 +330,7 @@ def quantiles(
 
     ranks = [f(spot(p)) for p in probs.values() for f in (F.floor, F.ceil)]
     wanted = ranges.where(reduce(Column.__or__, [holds(r, "_c", "_n") for r in ranks]))
-    placed = _place(ranged.join(wanted.select(*by, CHUNK), [*by, CHUNK], "left_semi"), wanted, by)
+    placed = _place(join_back(ranged, wanted.select(*by, CHUNK), [*by, CHUNK], "left_semi"), wanted, by)
     aggs = []
     for name, p in probs.items():
         at = spot(p)

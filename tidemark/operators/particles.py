@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.biology import INTENSITY_MAX, diameter_um, size_bin
 from tidemark.operators.clean import correct_counter_wraps
-from tidemark.operators.ordered import Axis, following, latest, previous, running, scan, upcoming
+from tidemark.operators.ordered import Axis, following, join_back, latest, previous, running, scan, upcoming
 from tidemark.operators.timejoin import interp_join
 from tidemark.session import durable
 
@@ -146,7 +146,7 @@ def frame_times(df: DataFrame, by: Sequence[str], order: str, counter: str, star
     """Time of each frame from the repaired counter: ``start + step * (counter - first)``."""
     first = df.groupBy(*by).agg(F.min_by(counter, order).alias("_first"))
     seconds = F.col(start) + step * (F.col(counter) - F.col("_first"))
-    return df.join(first, list(by)).withColumn("frame_time", seconds).drop("_first")
+    return join_back(df, first, by).withColumn("frame_time", seconds).drop("_first")
 
 
 def frame_clock(frames: DataFrame, clock: DataFrame, by: Sequence[str], frame: str, seconds: str, width: float = 100_000) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.ordered import HOUR, Axis, axis, following, frames, latest, map_blocks, previous, scan, upcoming
+from tidemark.operators.ordered import HOUR, Axis, axis, following, frames, join_back, latest, map_blocks, previous, scan, upcoming
 
 SECOND = 1_000_000
 
@@ -48,7 +48,7 @@ def on_grid(means: DataFrame, by: Sequence[str], us: str, seconds: float = 1.0,
     """Resampled means on their dense grid, NULL in empty bins."""
     spans = means.groupBy(*by).agg(F.min(us).alias("_start"), F.max(us).alias("_end"))
     grid = dense_grid(spans, by, "_start", "_end", us, seconds, width)
-    return grid.join(means, [*by, us], "left")
+    return join_back(grid, means, [*by, us], "left")
 
 
 def extent(df: DataFrame, by: Sequence[str], instr: str, ts: str, minutes: float = 5.0) -> DataFrame:
@@ -56,7 +56,7 @@ def extent(df: DataFrame, by: Sequence[str], instr: str, ts: str, minutes: float
     each = df.groupBy(*by, instr).agg(F.min(ts).alias("instr_start"), F.max(ts).alias("instr_end"))
     whole = each.groupBy(*by).agg(F.min("instr_start").alias("start"), F.max("instr_end").alias("end"))
     early = (F.col("end") - F.col("instr_end")) > minutes * 60 * SECOND
-    return each.join(whole, list(by)).withColumn("pad", early)
+    return join_back(each, whole, by).withColumn("pad", early)
 
 
 def pad_grid(means: DataFrame, extents: DataFrame, by: Sequence[str], instr: str, us: str, seconds: float = 1.0, width: int = HOUR) -> DataFrame:
@@ -66,7 +66,7 @@ def pad_grid(means: DataFrame, extents: DataFrame, by: Sequence[str], instr: str
         *by, instr, (F.floor(F.col("start") / step) * step).alias("_s"), (F.floor(F.col("end") / step) * step).alias("_e")
     )
     grid = dense_grid(spans, [*by, instr], "_s", "_e", us, seconds, width)
-    return grid.join(means, [*by, instr, us], "left")
+    return join_back(grid, means, [*by, instr, us], "left")
 
 
 def sample_rate(df: DataFrame, by: Sequence[str], us: str) -> DataFrame:

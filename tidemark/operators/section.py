@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.geo import utm_forward, utm_zone
-from tidemark.operators.ordered import HOUR, axis, latest, previous, quantiles, running, scan, upcoming
+from tidemark.operators.ordered import HOUR, axis, join_back, latest, previous, quantiles, running, scan, upcoming
 from tidemark.operators.resample import gradient
 from tidemark.operators.stats import ols
 from tidemark.operators.timejoin import interp_join
@@ -45,7 +45,7 @@ def track_distance(
     filled = fill_by_position(df, by, idx, [lat, lon], size)
     info = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), utm_zone(F.avg(lon)).alias("_zone"))
     step = F.when(F.col("_n") > long_track, every).otherwise(1)
-    known = durable(filled.join(info, by))
+    known = durable(join_back(filled, info, by))
     knots = known.where(F.col(idx) % step == 0).select(*by, us, F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
     smooth = interp_join(known, knots, by, us, ["_lat", "_lon"], width=24 * HOUR)
     east, north = utm_forward(F.col("_lat"), F.col("_lon"), F.col("_zone"))
@@ -65,12 +65,12 @@ def profile_bottom(df: DataFrame, by: Sequence[str], idx: str, depth: str, fract
     """
     by = list(by)
     span = F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) * fraction)).alias("_w")
-    blocks = df.select(*by, idx, depth).join(df.groupBy(*by).agg(span), by).withColumn("_block", F.floor(F.col(idx) / F.col("_w")))
+    blocks = join_back(df.select(*by, idx, depth), df.groupBy(*by).agg(span), by).withColumn("_block", F.floor(F.col(idx) / F.col("_w")))
     ax = axis([*by, "_block"], idx, size)
     parts = scan(blocks, ax, _head=running("max", F.col(depth)), _tail=running("max", F.col(depth), forward=False))
     tails = parts.select(*by, (F.col(idx) + F.col("_w") - 1).alias(idx), "_tail")
-    whole = parts.drop("_tail").join(tails, [*by, idx], "left").select(*by, idx, F.when(F.col("_tail").isNotNull(), F.greatest("_head", "_tail")).alias(out))
-    return df.join(whole, [*by, idx], "left")
+    whole = join_back(parts.drop("_tail"), tails, [*by, idx], "left").select(*by, idx, F.when(F.col("_tail").isNotNull(), F.greatest("_head", "_tail")).alias(out))
+    return join_back(df, whole, [*by, idx], "left")
 
 
 def midnights(track: DataFrame, by: Sequence[str], us: str, lon: str, km: str, width: float = 24 * HOUR) -> DataFrame:

@@ -16,6 +16,7 @@ from tidemark.operators.ordered import (
     HOUR,
     axis,
     following,
+    join_back,
     latest,
     leaves,
     map_blocks,
@@ -253,9 +254,9 @@ def sun_events(df: DataFrame, by: Sequence[str], us: str, lat: str, lon: str, st
     The altitude is taken at the median position of the mission, every ``stride`` rows.
     """
     ax = axis(by, us, width)
-    place = quantiles(df, by, lat, {"_lat": 0.5}).join(quantiles(df, by, lon, {"_lon": 0.5}), list(by))
+    place = join_back(quantiles(df, by, lat, {"_lat": 0.5}), quantiles(df, by, lon, {"_lon": 0.5}), by)
     sampled = row_index(df.select(*by, us), ax, "_pos").where(F.col("_pos") % stride == 0)
-    lit = sampled.join(place, list(by)).withColumn("altitude", sun_altitude(F.col("_lat"), F.col("_lon"), F.col(us)))
+    lit = join_back(sampled, place, by).withColumn("altitude", sun_altitude(F.col("_lat"), F.col("_lon"), F.col(us)))
     near = scan(lit.select(*by, us, "altitude"), axis(by, us, width * 24), _next=following(F.col("altitude")))
     return near.select(
         *by, us, "altitude", (F.signum("altitude") != F.signum("_next")).alias("changes"), ((F.col("altitude") > 0) & (F.col("_next") < 0)).alias("is_sunset")
@@ -359,7 +360,7 @@ def flash_counts(
     top = peaks_above(env, by, idx, x, "max_bg", size).select(
         *by, idx, F.when(F.col(x) > F.col("med_bg") + threshold, 1).alias("_high"), F.when(F.col(x) <= F.col("med_bg") + threshold, 1).alias("_low")
     )
-    marked = env.select(*by, idx, "us").join(top, [*by, idx], "left")
+    marked = join_back(env.select(*by, idx, "us"), top, [*by, idx], "left")
     high = rolling(marked, by, idx, "_high", "count", window, "high", size)
     return rolling(high, by, idx, "_low", "count", window, "low", size).drop("_high", "_low")
 
@@ -367,7 +368,7 @@ def flash_counts(
 def flash_rates(counts: DataFrame, flow: DataFrame, by: Sequence[str], seconds: int = 15, per_litre: float = 1000.0, grid: float = 1.0) -> DataFrame:
     """Flashes per litre on the one-second grid: mean count, per second, per flow (mL/s)."""
     means = resample_mean(counts, by, "us", ["high", "low"], grid, centred=False)
-    both = means.join(flow, [*by, "us"], "left")
+    both = join_back(means, flow, [*by, "us"], "left")
     rate = {f"nbflash_{c}": F.col(c) / seconds / F.col("flow") * per_litre for c in ("high", "low")}
     return both.withColumns(rate).drop("high", "low", "flow")
 
@@ -475,11 +476,11 @@ def lowpass(
         block[out] = backward[len(head) : len(head) + len(v)]
         return block
 
-    return map_blocks(df.join(total, list(by)), by, idx, 2 * taps, 2 * taps, smooth, schema, size)
+    return map_blocks(join_back(df, total, by), by, idx, 2 * taps, 2 * taps, smooth, schema, size)
 
 
 def fill_coefficient(df: DataFrame, by: Sequence[str], despiked: str, default: float = 14_700_000.0) -> DataFrame:
     """NULL coefficients become the mean of the despiked series, or the default if it is empty."""
     mean = df.groupBy(*by).agg(F.avg(despiked).alias("_mean"))
-    return df.join(mean, list(by)).withColumn(despiked, F.coalesce(despiked, "_mean", F.lit(default))).drop("_mean")
+    return join_back(df, mean, by).withColumn(despiked, F.coalesce(despiked, "_mean", F.lit(default))).drop("_mean")
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import quantiles, value_counts
+from tidemark.operators.ordered import join_back, quantiles, value_counts
 
 
 def no_nan(col: Column) -> Column:
@@ -25,7 +25,7 @@ def mean_ranks(df: DataFrame, by: Sequence[str], col: str, out: str) -> DataFram
     ranks = value_counts(df, by, col).select(
         *by, F.col("value").alias(col), (F.col("below") + (F.col("n") + 1) / 2).alias(out)
     )
-    return df.join(ranks, [*by, col])
+    return join_back(df, ranks, [*by, col])
 
 
 def profile_corr(df: DataFrame, by: Sequence[str], x: str, y: str, kind: str = "pearson") -> DataFrame:
@@ -63,7 +63,7 @@ def calibration_factor(df: DataFrame, by: Sequence[str], col: str, prob: float =
 def activity_percentiles(df: DataFrame, by: Sequence[str], ts: str, col: str, probs: dict[str, float]) -> DataFrame:
     """Percentile bands of a parameter per activity with the activity's start."""
     starts = df.groupBy(*by).agg(F.min(ts).alias("start"))
-    return starts.join(quantiles(df, by, col, probs), list(by), "left")
+    return join_back(starts, quantiles(df, by, col, probs), by, "left")
 
 
 def log_hist(df: DataFrame, by: Sequence[str], num: str, den: str, lo: float, hi: float, bins: int) -> DataFrame:
@@ -85,11 +85,11 @@ def describe(df: DataFrame, by: Sequence[str], col: str) -> DataFrame:
         F.min(col).alias("min"),
         F.max(col).alias("max"),
     )
-    return plain.join(quantiles(df, by, col, {"p25": 0.25, "p50": 0.5, "p75": 0.75}), list(by), "left")
+    return join_back(plain, quantiles(df, by, col, {"p25": 0.25, "p50": 0.5, "p75": 0.75}), by, "left")
 
 
 def median_position(df: DataFrame, by: Sequence[str], lat: str, lon: str) -> DataFrame:
-    return quantiles(df, by, lat, {lat: 0.5}).join(quantiles(df, by, lon, {lon: 0.5}), list(by))
+    return join_back(quantiles(df, by, lat, {lat: 0.5}), quantiles(df, by, lon, {lon: 0.5}), by)
 
 
 def mean_of(df: DataFrame, by: Sequence[str], candidates: Sequence[str], out: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import clean
 from tidemark.operators.arrays import to_wide
-from tidemark.operators.ordered import HOUR, axis, row_index
+from tidemark.operators.ordered import HOUR, axis, join_back, row_index
 from tidemark.operators.resample import bounds, dense_grid, extent, interpolate, median3, on_grid, pad_grid, resample_mean, sample_rate
 from tidemark.operators.signal import profile_number
 from tidemark.operators.timejoin import interp_join
@@ -25,7 +25,7 @@ def align(readings: DataFrame, depths: DataFrame, nav: DataFrame, by: Sequence[s
 def summary(readings: DataFrame, by: Sequence[str], us: str, cols: Sequence[str], per_s: float = 1.0) -> DataFrame:
     """Bounds, duration and sampling rate of each instrument; the rate per ``per_s`` seconds."""
     scaled = readings.select(*by, (F.col(us) / per_s).alias(us))
-    return bounds(readings, by, us, cols).join(sample_rate(scaled, by, us), list(by))
+    return join_back(bounds(readings, by, us, cols), sample_rate(scaled, by, us), by)
 
 
 def resample_coordinates(
@@ -57,7 +57,7 @@ def resample_padded(
     means = resample_mean(smooth, keys, us, [col], seconds)
     extents = durable(extent(readings, by, instr, us))
     padded = pad_grid(means, extents, by, instr, us, seconds, width)
-    return padded.join(extents.select(*keys, "pad"), keys)
+    return join_back(padded, extents.select(*keys, "pad"), keys)
 
 
 def resample(
@@ -76,7 +76,7 @@ def resample(
     grid = durable(resample_coordinates(coordinates, by, us, [depth, *position], seconds, width=width))
     indexed = durable(row_index(grid, axis(by, us, width), "_i"))
     profiled = profile_number(indexed, by, "_i", depth, size=size).drop("_i")
-    return profiled.join(resample_variables(readings, by, us, names, seconds, width), [*by, us], "left")
+    return join_back(profiled, resample_variables(readings, by, us, names, seconds, width), [*by, us], "left")
 
 
 def message_grid(
@@ -89,7 +89,7 @@ def message_grid(
     spans = tidy.groupBy(*by).agg(
         (F.floor(F.min(us) / step) * step).alias("_a"), (F.ceil(F.max(us) / step) * step).alias("_b")
     )
-    per_name = tidy.select(*by, "name").distinct().join(spans, by)
+    per_name = join_back(tidy.select(*by, "name").distinct(), spans, by)
     grid = dense_grid(per_name, [*by, "name"], "_a", "_b", us, seconds, width)
     filled = interp_join(grid, tidy.select(*by, "name", us, "value"), [*by, "name"], us, ["value"], clamp=False, width=width)
     return to_wide(filled, [*by, us], "name", "value", names)
@@ -99,7 +99,7 @@ def message_profiles(grid: DataFrame, by: Sequence[str], us: str, depth: str = "
     """Profile numbers of the message grid, for the rows with a depth."""
     known = durable(row_index(grid.where(F.col(depth).isNotNull()), axis(by, us, width), "_i"))
     numbers = profile_number(known, by, "_i", depth, size=size).select(*by, us, "profile_number")
-    return grid.join(numbers, [*by, us], "left")
+    return join_back(grid, numbers, [*by, us], "left")
 
 
 def clean_times(
