@@ -123,11 +123,11 @@ LONG_LINES = """SELECT l_orderkey, l_linenumber, l_partkey, var, value FROM (
 
 @query(
     "cln7_range_qc_drop",
-    f"""WITH l AS ({LONG_LINES}),
+    f"""WITH l AS MATERIALIZED ({LONG_LINES}),
     rules(var, lo, hi) AS (VALUES ('quantity', 5.0, 45.0), ('price', 2000.0, 80000.0)),
-    bad AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM l JOIN rules USING (var) WHERE value < lo OR value > hi)
-    SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.var, round(l.value, 6) AS value FROM l ANTI JOIN bad
-    ON l.l_orderkey = bad.l_orderkey AND l.l_linenumber = bad.l_linenumber AND l.l_partkey = bad.l_partkey""",
+    bad AS MATERIALIZED (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM l JOIN rules ON rules.var = l.var WHERE value < lo OR value > hi)
+    SELECT l_orderkey, l_linenumber, l_partkey, var, round(value, 6) AS value FROM l WHERE NOT EXISTS (
+      SELECT 1 FROM bad WHERE bad.l_orderkey = l.l_orderkey AND bad.l_linenumber = l.l_linenumber AND bad.l_partkey = l.l_partkey)""",
 )
 def cln7(spark, sf):
     key = ["l_orderkey", "l_linenumber", "l_partkey"]
