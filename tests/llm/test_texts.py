@@ -107,3 +107,11 @@ def test_texts_without_an_id_are_documents_of_their_own(spark):
 
 def test_lines_of_no_rows(spark):
     assert lines.drop_lines(spark.createDataFrame([], "doc_id int, text string")).count() == 0
+
+
+def test_columns_that_clash_with_the_line_operator(spark):
+    rows = [(i, "shared\nown %d" % i, 1, 2, 3, 4, 5, 6) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, _doc int, _gone int, _sum int, _mark int, _text int, n_lines int")
+    out = lines.drop_lines(df)
+    assert out.columns == ["doc_id", "text", "_doc", "_gone", "_sum", "_mark", "_text", "n_lines", "n_dropped", "kept_text"]
+    assert sorted((r.doc_id, r["_doc"], r["_gone"], r.n_lines, r.kept_text) for r in out.collect()) == [(i, 1, 2, 2, "own %d" % i) for i in range(12)]

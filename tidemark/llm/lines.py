@@ -61,14 +61,17 @@ def frequent(held: DataFrame, documents: int) -> DataFrame:
 
 def drop_lines(df: DataFrame, text: str = "text", doc: str = "doc_id", least: int = 1, documents: int = 10) -> DataFrame:
     """Add ``n_lines``, ``n_dropped`` and ``kept_text``; one row for each input row."""
-    rows = df.drop(*RESULT)
+    given = df.drop(*RESULT)
+    # Under names of its own no input column can clash with what is made here.
+    names = {c: f"_c{i}" for i, c in enumerate(given.columns)}
+    rows, text, doc = given.toDF(*names.values()), names[text], names[doc]
     held = durable(places(rows, text, doc, least))
     gone = held.join(frequent(held, documents), ["a", "b"], "left_semi")
     per_row = gone.groupBy("_doc", "_sum").agg(F.sort_array(F.collect_set("_pos")).alias("_gone"))
     marked = rows.withColumns({"_mark": F.col(doc), "_check": _sum(text), "_text": F.col(text)})
     same = F.col("_mark").eqNullSafe(F.col("_doc")) & (F.col("_check") == F.col("_sum"))
     made = marked.join(per_row, same, "left").withColumns(_rebuilt(lines_of(F.col("_text"))))
-    return made.drop("_mark", "_check", "_doc", "_sum", "_gone", "_text")
+    return made.select(*[F.col(own).alias(c) for c, own in names.items()], *RESULT)
 
 
 def _rebuilt(lines: Column) -> dict[str, Column]:
