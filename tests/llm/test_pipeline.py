@@ -134,7 +134,7 @@ def test_near_stage_takes_rows_that_no_stage_before_would_give(spark):
 
 def test_sql_of_the_queries_names_their_columns(sf, spark):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "labels", "embeddings"):
         con.register(table, pa.table(pq.read_table(f"{sf}/{table}.parquet")))
     for name, sql in queries.ORACLE.items():
         assert sorted(d[0] for d in con.execute(sql).description) == sorted(queries.QUERIES[name](spark, sf).columns)
