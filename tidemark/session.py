@@ -50,6 +50,8 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 _written: list[str] = []
+#: Spark's own setting: shuffle files go at the end of the execution that wrote them.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def release(spark: SparkSession) -> None:
@@ -65,8 +67,15 @@ def durable(df: DataFrame) -> DataFrame:
 
     Cuts lineage, so a result that feeds several branches is computed once and stays the same in
     all of them, also when an executor is lost. Reading back keeps column pruning and known sizes.
+    The shuffle files of the write go with its end: nothing reads them once the table is whole.
     """
-    path = shared_folder(df.sparkSession, f"durable-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    spark = df.sparkSession
+    path = shared_folder(spark, f"durable-{uuid.uuid4().hex}")
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     _written.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
