@@ -174,6 +174,33 @@ def test_turning_points(spark, size):
         assert got == brute_turns(x, 4.0, 8.0)
 
 
+@pytest.mark.parametrize("size, fan", [(16, 4), (100, 8), (5_000, 256)])
+def test_turning_points_beyond_their_block(spark, size, fan):
+    """Swings that all pass the prominence, bases far away, and plateaus over several blocks."""
+    k = np.arange(320)
+    wave = np.abs((k % 16) - 8.0) * 3
+    plateau = np.repeat([0.0, 30.0, 5.0, 30.0, 2.0, 40.0, 0.0], 46)
+    # The widest swing holds all others.
+    nested = np.interp(k, [0, 8, 312, 319], [0, 90, 100, 0]) - wave
+    groups = {1: (wave + k / 20), 2: (wave - k / 20), 3: wave, 4: plateau, 5: (wave * k / 40), 6: nested, 7: np.full(50, 3.0)}
+    groups = {s: np.round(x, 6).tolist() for s, x in groups.items()}
+    df = series(spark, groups, "x").withColumn("s", F.when(F.col("s") != 3, F.col("s")))
+    out = signal.turning_points(df, ["s"], "idx", "x", 4.0, 6.0, size, fan).toPandas()
+    for s, x in groups.items():
+        mine = out[out.s.isna()] if s == 3 else out[out.s == s]
+        got = sorted((int(r.idx), int(r.kind), round(r.prominence, 6), round(r.width, 6)) for r in mine.itertuples())
+        assert got == brute_turns(x, 4.0, 6.0), s
+
+
+def test_turning_points_of_rows_with_gaps(spark):
+    x = np.random.default_rng(2).normal(size=400).cumsum().tolist()
+    df = series(spark, {1: x}, "x").withColumn("idx", F.col("idx") * 3)
+    nulls = df.withColumns({"idx": F.col("idx") + 1, "x": F.lit(None).cast("double")})
+    out = signal.turning_points(df.union(nulls), ["s"], "idx", "x", 4.0, 6.0, 50, 8).toPandas()
+    got = sorted((int(r.idx), int(r.kind), round(r.prominence, 6), round(r.width / 3, 6)) for r in out.itertuples())
+    assert got == [(3 * p, *rest) for p, *rest in brute_turns(x, 4.0, 2.0)]
+
+
 def test_profile_number(spark):
     x = (25 - 25 * np.cos(2 * np.pi * np.arange(1_000) / 200)).tolist()
     df = series(spark, {1: x}, "depth")

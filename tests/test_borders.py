@@ -146,11 +146,19 @@ def plain_prominent(v, least):
     return out
 
 
+def summits(v, least):
+    """Peaks of one block that is a whole series: what is open at its ends is known."""
+    at = np.arange(len(v))
+    lo, _, w = signal._collapse(at, at, np.array(v, dtype=float))
+    found = signal._summits(lo, lo, w, least) if len(w) else []
+    return [(row[0], row[2] - max(row[3], row[4])) for row in found if row[2] - max(row[3], row[4]) >= least]
+
+
 def test_prominence_equals_plain_search():
     draw = random.Random(3)
     for _ in range(300):
-        v = np.array([float(draw.randint(0, 30)) for _ in range(draw.randint(0, 40))])
-        assert signal._prominent(v, 2.0) == plain_prominent(v.tolist(), 2.0)
+        v = [float(x) for x in draw.sample(range(90), draw.randint(1, 40))]
+        assert summits(v, 2.0) == [row[:2] for row in plain_prominent(v, 2.0)]
 
 
 def test_prominence_grows_in_proportion():
@@ -158,13 +166,21 @@ def test_prominence_grows_in_proportion():
         rising = np.empty(2 * n)
         rising[::2], rising[1::2] = np.arange(n), np.arange(n) + 20.0
         began = time.process_time()
-        assert len(signal._prominent(rising, 5.0)) >= n - 1
+        assert len(summits(rising, 5.0)) >= n - 1
         return time.process_time() - began
 
     seconds(500)
     assert seconds(40_000) < 40 * max(seconds(4_000), 0.01)
 
 
+def test_few_bases_stay_open():
+    """Peaks that rise, fall or repeat within a block are settled there, but for its records."""
+    k = np.arange(2_000)
+    for v in (20.0 * (k % 2) + k / 10, 20.0 * (k % 2) - k / 10, np.random.default_rng(5).normal(size=2_000) * 20):
+        found = signal._summits(k, k, v, 5.0)
+        assert sum(row[5] or row[6] for row in found) < 60
+
+
 def test_stacked_scans_read_once(spark, tmp_path):
     spark.range(1000).select(F.lit(1).alias("s"), "id", (F.col("id") % 7).alias("x")).write.parquet(f"{tmp_path}/t")
     df = spark.read.parquet(f"{tmp_path}/t")

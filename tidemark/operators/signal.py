@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,25 +70,6 @@ def _collapse(lo: np.ndarray, hi: np.ndarray, v: np.ndarray) -> tuple[np.ndarray
     return lo, hi, v
 
 
-def _drop_ripples(lo: np.ndarray, hi: np.ndarray, v: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Remove swings smaller than ``least`` that lie strictly inside the swings on both sides.
-
-    Such a pair of extremes has a prominence below ``least`` and is no base of any other one, so
-    every remaining prominence stays exact.
-    """
-    stack: list[int] = []
-    for i in range(len(v)):
-        stack.append(i)
-        while len(stack) >= 4:
-            a, b, c, d = (v[k] for k in stack[-4:])
-            inner = abs(b - c)
-            if inner < least and inner < abs(a - b) and inner < abs(c - d):
-                del stack[-3:-1]
-            else:
-                break
-    return lo[stack], hi[stack], v[stack]
-
-
 def _reach(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each element the nearest higher one to its left (-1 for none) and the least value between them.
 
@@ -105,118 +87,158 @@ def _reach(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return higher, least
 
 
-def _crossings(v: np.ndarray, spots: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """For each spot the nearest element to its left that is not above the spot's level, by halving.
+def _summits(lo: np.ndarray, hi: np.ndarray, w: np.ndarray, least: float) -> list[tuple]:
+    """Runs of a block that can be peaks with a prominence of ``least``: run, height, the least value on each
+    side up to a higher one, and whether that one is still to be found outside the block.
 
-    ``floor[k][i]`` is the least of the ``2**k`` elements up to i.
+    Beyond the block a base can only get lower, so a base known on one side bounds the prominence, and
+    decides it if it is not below the other one.
     """
-    floors = [np.array(v, dtype=float)]
-    while 2 ** len(floors) <= len(v):
-        last, step = floors[-1], 2 ** (len(floors) - 1)
-        floors.append(np.r_[np.minimum.accumulate(v[:step]), np.minimum(last[step:], last[:-step])])
-    at = spots.copy()
-    for k in range(len(floors) - 1, -1, -1):
-        over = (at >= 0) & (floors[k][np.maximum(at, 0)] > levels)
-        at = np.where(over & (at - 2**k >= -1), at - 2**k, at)
-    return at
-
-
-def _prominent(v: np.ndarray, least: float) -> list[tuple[int, float, int, int]]:
-    """Peaks of an alternating list: position, prominence and the elements just inside whose outer
-    neighbours the half-prominence level is crossed."""
-    if len(v) < 3:
-        return []
-    v = np.array(v, dtype=float)
-    n = len(v)
-    left, right = _reach(v)[1], _reach(v[::-1])[1][::-1]
-    tops = 1 + np.flatnonzero((v[1:-1] > v[:-2]) & (v[1:-1] > v[2:]))
-    prominence = v[tops] - np.maximum(left[tops], right[tops])
-    tops, prominence = tops[prominence >= least], prominence[prominence >= least]
-    level = v[tops] - 0.5 * prominence
-    before = _crossings(v, tops, level)
-    after = n - 1 - _crossings(v[::-1], n - 1 - tops, level)
-    return [(int(p), float(q), int(a) + 1, int(b) - 1) for p, q, a, b in zip(tops, prominence, before, after)]
+    n = len(w)
+    higher, left = _reach(w)
+    further, right = (a[::-1] for a in _reach(w[::-1]))
+    opens, closes = higher < 0, further < 0
+    peak = np.r_[True, w[1:] > w[:-1]] & np.r_[w[:-1] > w[1:], True]
+    bases = np.maximum(np.where(opens, -np.inf, left), np.where(closes, -np.inf, right))
+    done = (bases >= np.where(opens, left, -np.inf)) & (bases >= np.where(closes, right, -np.inf))
+    return [
+        (int(lo[i]), int(hi[i]), float(w[i]), float(left[i]), float(right[i]), bool(opens[i] & ~done[i]), bool(closes[i] & ~done[i]), i == 0, i == n - 1)
+        for i in np.flatnonzero(peak & (w - bases >= least))
+    ]
+
+
+def _levels(core: DataFrame, by: Sequence[str], idx: str, x: str, fan: int) -> list[DataFrame]:
+    """A tree over the rows of each series: ``fan`` neighbours in one row, and so on up to one row a series.
+
+    An item of a node has its place ``p`` among the items of its level, the ``top`` and ``bottom`` below it, and
+    the first and last row.
+    """
+    rows = core.select(*by, F.col(idx).cast("bigint").alias("_p"), F.col(x).alias("_top"), F.col(x).alias("_bottom"))
+    rows = rows.withColumns({"_first": F.struct(F.col("_p").alias("p"), F.col("_top").alias("v")), "_last": F.struct(F.col("_p").alias("p"), F.col("_top").alias("v"))})
+    levels, most = [], core.agg(F.max(idx)).first()[0] or 0
+    while not levels or most > 0:
+        most //= fan
+        item = F.struct(*[F.col(f"_{c}").alias(c) for c in ("p", "top", "bottom", "first", "last")])
+        nodes = rows.groupBy(*by, F.floor(F.col("_p") / fan).alias("_node")).agg(
+            F.collect_list(item).alias("_items"), F.max("_top").alias("_top"), F.min("_bottom").alias("_bottom"), F.min("_first").alias("_first"), F.max("_last").alias("_last")
+        )
+        levels.append(durable(nodes))
+        rows = levels[-1].drop("_items").withColumnRenamed("_node", "_p")
+    return levels
+
+
+def _seek(asked: DataFrame, levels: list[DataFrame], by: Sequence[str], fan: int, hit: Callable[[Column, Column], Column]) -> DataFrame:
+    """For each question the nearest row on ``side`` (-1 or 1) of ``pos`` that is a ``hit``.
+
+    ``hit`` is told the signed top and bottom of an item. Values are signed by ``kind``. Columns added: ``hit_p`` and
+    ``hit_v`` (NULL if there is none), ``least``, the least value passed, and ``edge``, the last row passed; the last two
+    start from the columns of that name. A question climbs the tree until an item of its node is a hit, then goes down
+    into that item: an equi-join a level with a bounded row, so no two questions have to meet.
+    """
+    side, kind = F.col("side"), F.col("kind")
+    state = asked.withColumns({"_at": F.lit(None).cast("int"), "_place": F.col("pos").cast("bigint"), "hit_p": F.lit(None).cast("bigint"), "hit_v": F.lit(None).cast("double")})
+    plan = [(n, True) for n in range(len(levels))] + [(n, False) for n in range(len(levels) - 2, -1, -1)]
+    for level, up in plan:
+        wanted = F.col("_at").isNull() if up else F.col("_at") == level + 1
+        # Going down, all items of the node are on the way.
+        start = F.col("_place") if up else F.when(side < 0, (F.col("hit_p") + 1) * fan).otherwise(F.col("hit_p") * fan - 1)
+        node = F.floor(F.col("_place") / fan) if up else F.col("hit_p")
+        # Questions with nothing to look up here get one of many keys that no node has, so they stay spread.
+        idle = -1 - F.pmod(F.xxhash64("pos", "side"), F.lit(4096))
+        keyed = state.withColumns({"_wanted": F.coalesce(wanted, F.lit(False)), "_start": start, "_node": F.when(wanted, node).otherwise(idle)})
+        met = join_back(keyed, levels[level].select(*by, "_node", "_items"), [*by, "_node"], "left")
+        ahead = F.filter("_items", lambda e: side * e.p > side * F.col("_start"))
+        top = lambda e: F.when(kind > 0, e.top).otherwise(-e.bottom)
+        bottom = lambda e: F.when(kind > 0, e.bottom).otherwise(-e.top)
+        hits = F.filter("_ahead", lambda e: hit(top(e), bottom(e)))
+        nearest = F.array_min(F.transform(hits, lambda e: F.struct((side * e.p).alias("k"), bottom(e).alias("v"))))
+        met = met.withColumn("_ahead", ahead).withColumn("_hit", nearest)
+        passed = F.filter("_ahead", lambda e: F.col("_hit").isNull() | (side * e.p < F.col("_hit.k")))
+        met = met.withColumn("_passed", passed)
+        row = lambda e: F.when(side < 0, e["first"]).otherwise(e["last"])
+        edge = F.array_max(F.transform("_passed", lambda e: F.struct((side * e.p).alias("k"), row(e).p.alias("p"), (kind * row(e).v).alias("v"))))
+        low = F.array_min(F.transform("_passed", bottom))
+        found = F.col("_wanted") & F.col("_hit").isNotNull()
+        state = met.withColumn("_edge", edge).withColumns(
+            {
+                "least": F.least("least", low),
+                "edge": F.when(F.col("_edge").isNotNull(), F.struct(F.col("_edge.p").alias("p"), F.col("_edge.v").alias("v"))).otherwise(F.col("edge")),
+                "hit_p": F.when(found, side * F.col("_hit.k")).otherwise(F.col("hit_p")),
+                "hit_v": F.when(found, F.col("_hit.v")).otherwise(F.col("hit_v")),
+                "_at": F.when(found, level).otherwise(F.col("_at")),
+                "_place": F.floor(F.col("_place") / fan),
+            }
+        ).drop("_items", "_ahead", "_hit", "_passed", "_edge", "_node", "_start", "_wanted")
+    return state.drop("_at", "_place")
 
 
 def turning_points(
-    df: DataFrame, by: Sequence[str], idx: str, x: str, prominence: float = 10.0, width: float = 30.0, size: int = 50_000
+    df: DataFrame, by: Sequence[str], idx: str, x: str, prominence: float = 10.0, width: float = 30.0, size: int = 50_000, fan: int = 256
 ) -> DataFrame:
     """Prominent and wide maxima (``kind`` 1) and minima (-1) of each series.
 
-    Width is measured in rows at half prominence, interpolated between rows. Three steps keep
-    long series distributed: each block is reduced to the few extremes that can matter, the
-    extremes of a series are ranked together, and the crossings are looked up in the rows.
+    Width is measured in rows at half prominence, interpolated between rows. ``idx`` counts from 0 and may
+    have gaps, ``prominence`` is above 0. A block finds its summits and most of their bases; what lies beyond
+    it (a higher value, the crossing of the half height, the end of a plateau) is sought in a tree of extremes
+    over the rows. At no point do the rows, extremes or summits of a series meet in one task.
     """
     by = list(by)
     key = [df.schema[c] for c in by]
-    runs = T.StructType([*key, *(T.StructField(n, T.LongType()) for n in ("lo", "hi")), T.StructField("v", T.DoubleType())])
+    names = ["kind", "lo", "hi", "w", "left", "right", "l_open", "r_open", "l_touch", "r_touch"]
+    kinds = [T.IntegerType(), *[T.LongType()] * 2, *[T.DoubleType()] * 3, *[T.BooleanType()] * 4]
+    found = T.StructType([*key, T.StructField("_block", T.LongType()), *map(T.StructField, names, kinds)])
 
-    def shrink(block: pd.DataFrame) -> pd.DataFrame:
+    def summits(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(idx, kind="stable")
         at, v = block[idx].to_numpy(), block[x].to_numpy(dtype=float)
-        lo, hi, v = _drop_ripples(*_collapse(at, at, v), prominence)
-        return pd.DataFrame({**{c: block[c].iloc[0] for c in by}, "lo": lo, "hi": hi, "v": v})
-
-    found = T.StructType(
-        [
-            *key,
-            T.StructField("kind", T.IntegerType()),
-            T.StructField("at", T.LongType()),
-            T.StructField("prominence", T.DoubleType()),
-            T.StructField("level", T.DoubleType()),
-            *(T.StructField(n, T.LongType()) for n in ("l_from", "l_to", "r_from", "r_to")),
-        ]
-    )
-
-    def rank(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("lo", kind="stable")
-        lo, hi, v = (group[c].to_numpy() for c in ("lo", "hi", "v"))
-        lo, hi, v = _drop_ripples(*_collapse(lo, hi, v), prominence)
-        rows = []
-        for kind in (1, -1):
-            for p, prom, left, right in _prominent(kind * v, prominence):
-                level = kind * v[p] - 0.5 * prom
-                spot = (int(lo[p]) + int(hi[p])) // 2
-                # A crossing next to the peak itself is searched from the peak's middle.
-                l_to = spot if left == p else int(lo[left])
-                r_from = spot if right == p else int(hi[right])
-                rows.append((kind, spot, prom, level, int(hi[left - 1]), l_to, r_from, int(lo[right + 1])))
-        out = pd.DataFrame(rows, columns=["kind", "at", "prominence", "level", "l_from", "l_to", "r_from", "r_to"])
-        for c in by:
-            out[c] = group[c].iloc[0]
+        lo, hi, v = _collapse(at, at, v)
+        rows = [(kind, *row) for kind in (1, -1) for row in _summits(lo, hi, kind * v, prominence)]
+        out = pd.DataFrame(rows, columns=names)
+        for c in (*by, "_block"):
+            out[c] = block[c].iloc[0]
         return out[found.fieldNames()]
 
-    block = F.floor(F.col(idx) / F.lit(size))
-    core = df.select(*by, idx, x).where(F.col(x).isNotNull()).withColumn("_block", block)
+    core = df.select(*by, idx, F.col(x).cast("double").alias(x)).where(F.col(x).isNotNull())
     core = core if leaves(core) < 2 else durable(core)
-    extremes = core.groupBy(*by, "_block").applyInPandas(shrink, runs)
-    tops = durable(extremes.groupBy(*by).applyInPandas(rank, found))
-
-    # Each side of each peak asks for the row nearest to it that is not above the level.
-    sides = tops.select(*by, "kind", "at", "level", F.lit(-1).alias("side"), F.col("l_from").alias("first"), F.col("l_to").alias("last")).union(
-        tops.select(*by, "kind", "at", "level", F.lit(1), "r_from", "r_to")
+    levels = _levels(core, by, idx, x, fan)
+    blocks = core.withColumn("_block", F.floor(F.col(idx) / F.lit(size))).groupBy(*by, "_block")
+    own = [*by, "kind", "lo", "hi"]
+    seen = durable(blocks.applyInPandas(summits, found))
+
+    def ask(rows: DataFrame, side: int, pos: Column, goal: Column, strict: bool) -> DataFrame:
+        start = F.struct(F.col("lo" if side < 0 else "hi").alias("p"), F.col("w").alias("v"))
+        least = F.col("left" if side < 0 else "right")
+        return rows.select(*own, F.lit(side).alias("side"), pos.alias("pos"), goal.alias("goal"), F.lit(strict).alias("strict"), least.alias("least"), start.alias("edge"))
+
+    # Bases beyond the block, up to a higher row.
+    beyond = ask(seen.where("l_open"), -1, F.col("_block") * size, F.col("w"), True).union(
+        ask(seen.where("r_open"), 1, (F.col("_block") + 1) * size - 1, F.col("w"), True)
+    )
+    bases = _seek(beyond, levels, by, fan, lambda top, _: top > F.col("goal")).groupBy(*own).agg(
+        F.max(F.when(F.col("side") < 0, F.col("least"))).alias("_left"), F.max(F.when(F.col("side") > 0, F.col("least"))).alias("_right")
+    )
+    height = F.col("w") - F.greatest(F.coalesce("_left", "left"), F.coalesce("_right", "right"))
+    tall = join_back(seen, bases, own, "left").withColumn("prominence", height)
+    tall = durable(tall.where((F.col("prominence") >= prominence) & (F.col("prominence") > 0)).drop("_left", "_right"))
+
+    # Crossings of the half height, and the ends of plateaus that reach a block's border.
+    level = F.col("w") - 0.5 * F.col("prominence")
+    outward = [ask(tall, -1, F.col("lo"), level, False), ask(tall, 1, F.col("hi"), level, False)]
+    outward += [ask(tall.where("l_touch"), -1, F.col("lo"), F.col("w"), True), ask(tall.where("r_touch"), 1, F.col("hi"), F.col("w"), True)]
+    below = lambda _, bottom: F.when(F.col("strict"), bottom < F.col("goal")).otherwise(bottom <= F.col("goal"))
+    met = _seek(reduce(DataFrame.union, outward), levels, by, fan, below)
+    share = (F.col("goal") - F.col("hit_v")) / F.nullif(F.col("edge.v") - F.col("hit_v"), F.lit(0.0))
+    spot = F.col("hit_p") + (F.col("edge.p") - F.col("hit_p")) * F.coalesce(share, F.lit(0.0))
+    pick = lambda side, strict, value: F.max(F.when((F.col("side") == side) & (F.col("strict") == strict), value))
+    sides = met.groupBy(*own).agg(
+        (pick(1, False, spot) - pick(-1, False, spot)).alias("width"), pick(-1, True, F.col("edge.p")).alias("_lo"), pick(1, True, F.col("edge.p")).alias("_hi")
     )
-    cell = 1024
-    asked = sides.withColumn("_cell", F.explode(F.sequence(F.floor(F.col("first") / cell), F.floor(F.col("last") / cell))))
-    rows = core.select(*by, idx, x, F.floor(F.col(idx) / cell).alias("_cell"))
-    met = asked.join(rows, [*by, "_cell"]).where(F.col(idx).between(F.col("first"), F.col("last")))
-    signed = F.col("kind") * F.col(x)
-    below, above = signed <= F.col("level"), signed > F.col("level")
-    nearness = F.col(idx) * F.col("side") * -1
-    hit = met.groupBy(*by, "kind", "at", "level", "side").agg(F.max_by(idx, F.when(below, nearness)).alias("i"))
-    next_in = hit.withColumn("j", F.col("i") - F.col("side"))
-    values = rows.select(*by, idx, x)
-    low = values.select(*by, F.col(idx).alias("i"), F.col(x).alias("xi"))
-    high = values.select(*by, F.col(idx).alias("j"), F.col(x).alias("xj"))
-    crossed = next_in.join(low, [*by, "i"]).join(high, [*by, "j"])
-    yi, yj = F.col("kind") * F.col("xi"), F.col("kind") * F.col("xj")
-    spot = F.col("i") - F.col("side") * F.coalesce((F.col("level") - yi) / F.nullif(yj - yi, F.lit(0.0)), F.lit(0.0))
-    wide = crossed.groupBy(*by, "kind", "at").agg(
-        (F.max(F.when(F.col("side") == 1, spot)) - F.max(F.when(F.col("side") == -1, spot))).alias("width")
+    whole = join_back(tall, sides, own).where(F.col("width") >= width)
+    middle = F.floor((F.coalesce("_lo", "lo") + F.coalesce("_hi", "hi")) / 2).alias(idx)
+    # The parts of a plateau that several blocks hold are one turning point.
+    return whole.groupBy(*by, middle, "kind").agg(
+        F.first(F.col("kind") * F.col("w")).alias(x), F.first("prominence").alias("prominence"), F.max("width").alias("width")
     )
-    depth = high.withColumnRenamed("j", "at").withColumnRenamed("xj", x)
-    kept = tops.join(wide.where(F.col("width") >= width), [*by, "kind", "at"]).join(depth, [*by, "at"])
-    return kept.select(*by, F.col("at").alias(idx), "kind", x, "prominence", "width")
 
 
 def profile_number(
