@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import section, signal
 from tidemark.operators.ordered import axis
 from tidemark.operators.particles import repair_counter
+from tidemark.plans import grid
 from tidemark.plans.calibrate import calibrate_depth
 from tidemark.streaming import means
 
@@ -233,3 +234,16 @@ def test_late_rows_are_dropped(spark, tmp_path):
     seconds = ((out["ts"] - base).dt.total_seconds()).tolist()
     assert seconds == [0, 1, 1990, 2000]
     assert out["v"].tolist() == [2.0, 5.0, 1.0, 7.0]
+
+
+def test_depth_of_each_variable(spark):
+    """Coordinates go; depth is the sensor's own, else the filtered one of the series, else unknown."""
+    names = ["ctd1_salinity", "navigation_roll", "navigation_depth", "navigation", "gps_latitude", "nudged_longitude", "depth_filtdepth", None, "hs2_bb"]
+    readings = spark.createDataFrame([(s, v, 50 * i) for s in (1, 2, None) for i, v in enumerate(names)], "s int, var string, us long")
+    depths = [(1, "ctd1", 0, 10.0), (1, "ctd1", 400, 50.0), (1, "hs2", 0, None), (1, "depth", 0, 100.0), (1, "depth", 400, 500.0), (None, "depth", 0, 7.0)]
+    nav = spark.createDataFrame([(s, 0, 36.0, -122.0) for s in (1, 2, None)], "s int, us long, lat double, lon double")
+    out = grid.align_variables(readings, spark.createDataFrame(depths, "s int, instr string, us long, depth double"), nav, ["s"], width=100)
+    got = {(r.s, r["var"]): (r.depth, r.lat) for r in out.collect()}
+    kept = ("ctd1_salinity", "navigation_roll", "hs2_bb")
+    want = {(1, v): d for v, d in zip(kept, (10.0, 150.0, 500.0))} | {(2, v): None for v in kept} | {(None, v): 7.0 for v in kept}
+    assert got == {k: (d, 36.0) for k, d in want.items()}

@@ -22,6 +22,38 @@ def align(readings: DataFrame, depths: DataFrame, nav: DataFrame, by: Sequence[s
     return interp_join(deep, nav.select(*by, us, "lat", "lon"), by, us, ["lat", "lon"], width=width)
 
 
+#: Instruments that give coordinates, the one of the filtered depth, and the navigation variables that are aligned.
+COORDINATES = ("gps", "depth", "nudged")
+FILTERED = "depth"
+NAVIGATION = ("mWaterSpeed", "roll", "pitch", "yaw")
+
+
+def aligned_only(readings: DataFrame, var: str = "var") -> DataFrame:
+    """Readings of the variables that are aligned, with their instrument, the name's first word.
+
+    Coordinates go, and of navigation all but speed and attitude. Readings without a name go as well.
+    """
+    instr, rest = F.get(F.split(var, "_"), F.lit(0)), F.get(F.split(var, "_"), F.lit(1))
+    navigation = F.col(var).startswith("navigation") & ~F.coalesce(rest.isin(*NAVIGATION), F.lit(False))
+    return readings.withColumn("instr", instr).where(~instr.isin(*COORDINATES) & ~navigation)
+
+
+def align_variables(
+    readings: DataFrame, depths: DataFrame, nav: DataFrame, by: Sequence[str], us: str = "us", var: str = "var", width: float = HOUR
+) -> DataFrame:
+    """Depth, latitude and longitude for the readings of every variable that is aligned.
+
+    ``depths`` has the depth of each instrument's sensor (``instr``) and the filtered depth under ``depth``, which
+    holds for the instruments of a series that have no sensor depth in it. With neither, depth is NULL.
+    """
+    sensed = depths.where((F.col("instr") != FILTERED) & F.col("depth").isNotNull()).select(*by, "instr").distinct()
+    known = join_back(aligned_only(readings, var), sensed.withColumn("_sensed", F.lit(True)), [*by, "instr"], "left")
+    sourced = known.withColumn("_source", F.when(F.col("_sensed"), F.col("instr")).otherwise(FILTERED)).drop("_sensed")
+    source = depths.where(F.col("depth").isNotNull()).select(*by, F.col("instr").alias("_source"), us, "depth")
+    deep = interp_join(sourced, source, [*by, "_source"], us, ["depth"], width=width).drop("_source")
+    return interp_join(deep, nav.select(*by, us, "lat", "lon"), by, us, ["lat", "lon"], width=width)
+
+
 def summary(readings: DataFrame, by: Sequence[str], us: str, cols: Sequence[str], per_s: float = 1.0) -> DataFrame:
     """Bounds, duration and sampling rate of each instrument; the rate per ``per_s`` seconds."""
     scaled = readings.select(*by, (F.col(us) / per_s).alias(us))

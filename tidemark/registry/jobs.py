@@ -320,6 +320,36 @@ def job6(spark, sf):
     return out.select("series", "instr", "seq", F.round("depth", 6).alias("depth"), F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"))
 
 
+VARIABLES = ("ctd1_temperature", "ctd1_salinity", "hs2_bb", "navigation_pitch", "navigation_depth", "gps_latitude", "nudged_longitude", "biolume_raw")
+VAR_SQL = "CASE event_id % 8 " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(VARIABLES)) + " END"
+
+
+@query(
+    "job6_align_variables",
+    f"""WITH e AS (SELECT user_id AS u, event_type, event_id, epoch_us(ts) AS us, value AS depth FROM events),
+    dv AS (SELECT u, CASE WHEN event_id % 2 = 1 THEN 'depth' WHEN u % 3 = 0 THEN 'hs2' ELSE 'ctd1' END AS instr, us, depth FROM e WHERE event_type = 'view'),
+    av AS (SELECT u, {VAR_SQL} AS var, event_id AS seq, us FROM e WHERE event_type NOT IN ('view', 'signup') AND event_id % 8 NOT IN (4, 5, 6)),
+    sv AS (SELECT av.*, split_part(var, '_', 1) AS instr FROM av),
+    kv AS (SELECT sv.*, concat(sv.u, ':', coalesce(d.instr, 'depth')) AS series FROM sv LEFT JOIN (SELECT DISTINCT u, instr FROM dv WHERE instr <> 'depth') d ON d.u = sv.u AND d.instr = sv.instr),
+    dp AS (SELECT concat(u, ':', instr) AS series, us, depth FROM dv), {asof_lerp('kv', 'dp', ['depth'], 'x1')},
+    y1 AS (SELECT u AS series, var, instr, seq, us, depth FROM x1), gp AS (SELECT series, us, lat, lon FROM gps), {asof_lerp('y1', 'gp', ['lat', 'lon'], 'x2')}
+    SELECT series, var, instr, seq, round(depth, 6) AS depth, round(lat, 9) AS lat, round(lon, 9) AS lon FROM x2""",
+    ("gps",),
+)
+def job6_variables(spark, sf):
+    """Coordinates are left out; a sensor's own depth, or else the filtered one."""
+    e = table(spark, sf, "events").select(
+        F.col("user_id").alias("series"), "event_type", F.col("event_id").alias("seq"), F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "value"
+    )
+    own = F.when(F.col("seq") % 2 == 1, "depth").when(F.col("series") % 3 == 0, "hs2").otherwise("ctd1")
+    depths = e.where("event_type = 'view'").select("series", own.alias("instr"), "us", F.col("value").alias("depth"))
+    var = F.array(*map(F.lit, VARIABLES))[(F.col("seq") % 8).cast("int")]
+    readings = e.where("event_type NOT IN ('view', 'signup')").select("series", var.alias("var"), "seq", "us")
+    nav = fx.gps(spark, sf).select("series", F.unix_micros("ts").alias("us"), "lat", "lon")
+    out = grid.align_variables(readings, depths, nav, ["series"], width=10 * DAY)
+    return out.select("series", "var", "instr", "seq", F.round("depth", 6).alias("depth"), F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"))
+
+
 def coordinate_sql(cols, src, out):
     """Median of three with filled ends, centred hourly means, dense grid, gaps up to three filled."""
     med = ", ".join(f"CASE WHEN count({c}) OVER w = 3 THEN median({c}) OVER w END AS {c}" for c in cols)
