@@ -16,7 +16,7 @@ from tidemark.registry.core import query
 from tidemark.registry.inputs import DAY, table
 from tidemark.registry.joins import NEIGHBOURS
 from tidemark.registry.particles import MEPS
-from tidemark.registry.signals import ENVELOPE, FLEET, NIGHTS, PEAK_SQL, TAPS_SQL, TRACK_SQL, TURNS, lowpass_sql, utm_sql
+from tidemark.registry.signals import ENVELOPE, FLEET, NIGHTS, PEAK_SQL, SECT, TAPS_SQL, TRACK_SQL, TURNS, lowpass_sql, utm_sql
 from tidemark.session import shared_folder
 from tidemark.streaming import means as streaming
 
@@ -618,10 +618,13 @@ def job12_total(spark, sf):
     return products.total_spectra(spectra(spark, sf)[1], frames, ["series"], "sec", "counts")
 
 
+DEPLOYED = f"""{TRACK_SQL}, {utm_sql('sl', 'so')}, pr AS (SELECT series % 10 AS series, us, 1 + seq // 70 % 9 AS p FROM nav),
+    dr AS (SELECT *, lag(p) OVER (PARTITION BY series ORDER BY us) AS b FROM pr), cu AS (SELECT series, us, p + sum(CASE WHEN p < b THEN b ELSE 0 END) OVER (PARTITION BY series ORDER BY us) AS cumulative FROM dr)"""
+
+
 @query(
     "job13_deployment",
-    f"""WITH {TRACK_SQL}, {utm_sql('sl', 'so')}, pr AS (SELECT series % 10 AS series, us, 1 + seq // 70 % 9 AS p FROM nav),
-    dr AS (SELECT *, lag(p) OVER (PARTITION BY series ORDER BY us) AS b FROM pr), cu AS (SELECT series, us, p + sum(CASE WHEN p < b THEN b ELSE 0 END) OVER (PARTITION BY series ORDER BY us) AS cumulative FROM dr)
+    f"""WITH {DEPLOYED}
     SELECT t.series, t.us, round(distance/1000, 6) AS km, cumulative FROM track t JOIN cu ON cu.series = t.series AND cu.us = t.us""",
     ("nav",),
 )
@@ -685,6 +688,19 @@ def job13_rate(spark, sf):
     return out.select("series", F.round("mean_rate", 9).alias("mean_rate"), F.round("last_rate", 9).alias("last_rate"))
 
 
+@query(
+    "job13_deployment_section",
+    f"""WITH {DEPLOYED}, n AS (SELECT series % 10 AS series, us, seq FROM nav),
+    d AS (SELECT t.series, distance/1000 AS x, CAST(seq % 90 AS DOUBLE) AS depth, cumulative AS profile, CAST(seq % 7 AS DOUBLE) AS v FROM track t JOIN cu ON cu.series = t.series AND cu.us = t.us JOIN n ON n.series = t.series AND n.us = t.us),
+    {SECT} SELECT series, xi, depth, round(v + {NUDGE}, 6) AS v FROM (SELECT *, zi*0.5::DOUBLE AS depth FROM sect) z""",
+    ("nav",),
+)
+def job13_section(spark, sf):
+    """The variable along the kilometres of the deployment, three columns a profile."""
+    out = deployment_products(spark, sf)["section"]
+    return out.select("series", F.col("xi").cast("bigint").alias("xi"), "depth", F.round(F.col("v") + NUDGE, 6).alias("v"))
+
+
 @query(
     "job13_deployment_ranges",
     f"""WITH {ALONG}, l1 AS (SELECT user_id % 10 AS series, concat('log', event_id // 500) AS label, min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b FROM events WHERE event_type = 'signup' GROUP BY ALL)

@@ -343,13 +343,15 @@ def agg23(spark, sf):
     return sec.log_ranges(km_track(spark, sf), logs, ["series"], "us", "km")
 
 
-SECTION = """d AS (SELECT user_id % 5 AS series, event_id AS x, value % 90 AS depth, CAST(event_id // 2000 AS INT) + 1 AS profile, CASE WHEN event_id % 4 > 0 THEN value END AS v FROM events),
-    sh AS (SELECT series, min(x) AS x0, max(x) AS x1, greatest(2, 3*max(profile)) AS nx, greatest(10.0, floor(max(CASE WHEN v IS NOT NULL THEN depth END)/10)*10) AS bottom FROM d GROUP BY series),
+#: Cells of the rows ``d``, filled along depth.
+SECT = """sh AS (SELECT series, min(x) AS x0, max(x) AS x1, greatest(2, 3*max(profile)) AS nx, greatest(10.0, floor(max(CASE WHEN v IS NOT NULL THEN depth END)/10)*10) AS bottom FROM d GROUP BY series),
     c AS (SELECT d.series, CAST(floor((x - x0)/((x1 - x0)/(nx - 1)) + 0.5) AS BIGINT) AS xi, CAST(floor(depth/0.5 + 0.5) AS BIGINT) AS zi, avg(v) AS v FROM d JOIN sh USING (series) WHERE v IS NOT NULL GROUP BY ALL),
     g AS (SELECT series, xi, unnest(range(CAST(floor(bottom/0.5) AS BIGINT) + 1)) AS zi FROM (SELECT DISTINCT c.series, xi, bottom FROM c JOIN sh USING (series)) q),
     p AS (SELECT g.*, c.zi AS z0, c.v AS v0 FROM g ASOF LEFT JOIN c ON g.series = c.series AND g.xi = c.xi AND g.zi >= c.zi),
     q AS (SELECT p.*, c.zi AS z1, c.v AS v1 FROM p ASOF LEFT JOIN c ON p.series = c.series AND p.xi = c.xi AND p.zi <= c.zi),
     sect AS (SELECT series, xi, zi, CASE WHEN v0 IS NULL OR v1 IS NULL THEN NULL WHEN z0 = z1 THEN v0 ELSE v0 + (v1 - v0)*((zi - z0)/nullif(z1 - z0, 0)::DOUBLE) END AS v FROM q)"""
+SECTION = f"""d AS (SELECT user_id % 5 AS series, event_id AS x, value % 90 AS depth, CAST(event_id // 2000 AS INT) + 1 AS profile, CASE WHEN event_id % 4 > 0 THEN value END AS v FROM events),
+    {SECT}"""
 
 
 def section(spark, sf):
