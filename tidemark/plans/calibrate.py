@@ -69,16 +69,34 @@ def calibrate_ctd(
 
 
 def calibrate_optics(
-    raw: DataFrame, by: Sequence[str], us: str, seq: str, blue: dict, red: dict, fluo: dict, legacy: bool = False, seq_width: float = 100_000
+    raw: DataFrame,
+    by: Sequence[str],
+    us: str,
+    seq: str,
+    blue: dict,
+    red: dict,
+    fluo: dict,
+    legacy: bool = False,
+    seq_width: float = 100_000,
+    place: tuple[DataFrame, DataFrame, tuple[float, float]] | None = None,
+    width: float = HOUR,
 ) -> DataFrame:
-    """Backscatter and fluorescence from the raw channels ``snorm1..3`` with ``gain1..3`` and ``temp_raw``."""
+    """Backscatter and fluorescence from the raw channels ``snorm1..3`` with ``gain1..3`` and ``temp_raw``.
+
+    ``place`` has the depths ``filtdepth``, the pitches ``pitch`` and the offset of the sensor; it adds the
+    sensor's ``depth``.
+    """
     df = clean.keep_monotonic(raw, axis(by, seq, seq_width), us)
     temp = F.col("temp_raw")
     _, bbp_blue = optics.backscatter(F.col("snorm1"), F.col("gain1"), temp, **blue)
     _, bbp_red = optics.backscatter(F.col("snorm2"), F.col("gain2"), temp, **red)
     fl = optics.fluorescence(F.col("snorm3"), F.col("gain3"), temp, **fluo)
     named = df.withColumns({"bbp_blue": bbp_blue, "bbp_red": bbp_red, "fl": fl})
-    return clean.backscatter_qc(named, by, "bbp_blue", "bbp_red", "fl", legacy)
+    sound = clean.backscatter_qc(named, by, "bbp_blue", "bbp_red", "fl", legacy)
+    if not place:
+        return sound
+    depths, pitches, offset = place
+    return sensor_depth(sound, by, us, depths, pitches, *offset, width)
 
 
 def calibrate_puck(

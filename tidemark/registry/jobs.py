@@ -191,6 +191,40 @@ def job3(spark, sf):
     return out.select("series", "seq", *[F.round(c, 6).alias(c) for c in ("bbp_blue", "bbp_red", "fl")])
 
 
+@query(
+    "job3_optics_at_depth",
+    f"""WITH e AS (SELECT user_id AS series, event_id AS seq, epoch_us(ts) AS us, value, event_type FROM events), raw AS (SELECT * FROM e WHERE event_type NOT IN ('view', 'click')),
+    m AS (SELECT * FROM (SELECT *, max(us) OVER (PARTITION BY series ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM raw) q WHERE seen IS NULL OR us > seen),
+    d AS (SELECT series, us, value AS v FROM e WHERE event_type = 'view'), p AS (SELECT series, us, value/10 AS v FROM e WHERE event_type = 'click'),
+    a AS (SELECT m.*, d.us AS t0, d.v AS v0 FROM m ASOF LEFT JOIN d ON m.series = d.series AND m.us >= d.us),
+    b AS (SELECT a.*, d.us AS t1, d.v AS v1 FROM a ASOF LEFT JOIN d ON a.series = d.series AND a.us <= d.us),
+    c AS (SELECT b.*, p.us AS p0, p.v AS w0 FROM b ASOF LEFT JOIN p ON b.series = p.series AND b.us >= p.us),
+    f AS (SELECT c.*, p.us AS p1, p.v AS w1 FROM c ASOF LEFT JOIN p ON c.series = p.series AND c.us <= p.us),
+    g AS (SELECT *, CASE WHEN t0 IS NULL OR t1 IS NULL THEN coalesce(v0, v1) WHEN t0 = t1 THEN v0 ELSE v0 + (v1 - v0)*((us - t0)/nullif(t1 - t0, 0)::DOUBLE) END AS z,
+      CASE WHEN p0 IS NULL OR p1 IS NULL THEN coalesce(w0, w1) WHEN p0 = p1 THEN w0 ELSE w0 + (w1 - w0)*((us - p0)/nullif(p1 - p0, 0)::DOUBLE) END AS pitch FROM f),
+    r AS (SELECT series, seq, z, pitch, CAST(floor(value) AS BIGINT) % 400 AS s1, (CAST(floor(value) AS BIGINT) // 7) % 300 AS s2, CAST(floor(value) AS BIGINT) % 65536 AS s3, 2 + seq % 4 AS g, seq % 250 AS tr FROM g),
+    k AS (SELECT *, 4871.0*(1 - 1.2e-3*((tr/5 - 10) - 19.0)) AS warm, CASE g WHEN 2 THEN 9.8 WHEN 3 THEN 97.5 WHEN 4 THEN 985.0 WHEN 5 THEN 10050.0 END AS gain FROM r),
+    h AS (SELECT *, s1*4.3/(warm*gain) AS beta1, s2*4.3/(warm*gain) AS beta2, CASE WHEN s3 > 32767 THEN s3 - 65536 ELSE s3 END*50/(warm*gain) AS fl FROM k),
+    q AS (SELECT series, seq, z, pitch, {channel_sql(1, 420, 0.1486)} AS b1, {channel_sql(2, 700, 0.1522)} AS b2, fl FROM h)
+    SELECT series, seq, round(CASE WHEN b1 <= 0.1 THEN b1 END, 6) AS bbp_blue, round(CASE WHEN b2 <= 0.1 THEN b2 END, 6) AS bbp_red, round(fl, 6) AS fl,
+      round(z - (0.1397*sin(radians(pitch)) - 0.2794*cos(radians(pitch))), 6) AS depth FROM q""",
+)
+def job3_optics_at_depth(spark, sf):
+    e = table(spark, sf, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp"))).withColumnRenamed("user_id", "series")
+    v = F.floor("value")
+    raw = e.where("event_type NOT IN ('view', 'click')").withColumnRenamed("event_id", "seq").select(
+        "series", "seq", "us", (v % 400).alias("snorm1"), (F.floor(v / 7) % 300).alias("snorm2"), (v % 65536).alias("snorm3"),
+        *[(2 + F.col("seq") % 4).cast("int").alias(f"gain{i}") for i in (1, 2, 3)], (F.col("seq") % 250).alias("temp_raw"),
+    )
+    depths = e.where("event_type = 'view'").select("series", "us", F.col("value").alias("filtdepth"))
+    pitches = e.where("event_type = 'click'").select("series", "us", (F.col("value") / 10).alias("pitch"))
+    blue, red = dict(fm.HS2, wavelength=420, sigma_exp=0.1486), dict(fm.HS2, wavelength=700, sigma_exp=0.1522)
+    fluo = dict(temp_coeff=-1.2e-3, cal_temp=19.0, gains=fm.GAINS, nominal=4871.0)
+    place = (depths, pitches, (0.1397, -0.2794))
+    out = calibrate.calibrate_optics(raw, ["series"], "us", "seq", blue, red, fluo, seq_width=2_000, place=place, width=10 * DAY)
+    return out.select("series", "seq", *[F.round(c, 6).alias(c) for c in ("bbp_blue", "bbp_red", "fl", "depth")])
+
+
 @query(
     "job4_calibrate_navigation",
     f"""WITH {MONOTONIC.format(src='clock')}, d AS (SELECT series, seq, us, degrees(radians(36 + value % 1000/500)) AS lat, (CASE WHEN series % 2 = 0 THEN -1 ELSE 1 END)*degrees(radians(121 + value % 100/50)) AS lon, degrees(value % 7/10) AS yaw FROM m),
