@@ -5,8 +5,9 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import clean, particles, resample, section, signal, stats
+from tidemark.operators import arrays, clean, particles, resample, section, signal, stats, timejoin
 from tidemark.operators.ordered import join_back, quantiles
+from tidemark.plans import plankton, positions
 
 N = 900
 BY = ["series"]
@@ -31,7 +32,56 @@ def rules(spark):
     return spark.createDataFrame([("a", -100.0, 100.0), ("b", -100.0, 100.0)], "var string, lo double, hi double")
 
 
+def fixes(d):
+    return d.where("idx % 40 = 20").select("series", F.col("us").alias("us"), (F.col("lat") + 0.001).alias("lat"), (F.col("lon") - 0.001).alias("lon"))
+
+
+def sun(d):
+    every = d.where("idx % 20 = 0")
+    return every.select("series", "us", (F.lit(10) - F.col("idx") % 200 / 8).alias("altitude"), (F.col("idx") % 100 == 60).alias("changes"), (F.col("idx") % 200 == 60).alias("is_sunset"))
+
+
+def nights(d):
+    return signal.night_windows(sun(d), d.groupBy("series").agg(F.min("us").alias("start"), F.max("us").alias("end")), BY, "us", 1_000_000)
+
+
+def spans(d):
+    return d.groupBy("series", F.floor(F.col("idx") / 100).cast("string").alias("label")).agg(F.min("us").alias("start"), F.max("us").alias("end"), F.min("idx").alias("position"))
+
+
+def profiles(d):
+    return d.withColumns({"profile": (F.floor(F.col("idx") / 90) + 1).cast("int"), "km": F.col("idx") / 50})
+
+
+def proxies(d):
+    wanted = {"fluo": F.col("value"), "bg": F.col("value") * 2 + F.col("idx") % 3, "adinos": F.abs("value") + 1, "diatoms": F.lit(2.0), "hdinos": F.lit(1.0)}
+    return d.select("series", "us", *[v.alias(c) for c, v in wanted.items()])
+
+
+def plankton_table(d):
+    raw = d.select("series", "us", F.abs("value").alias("x"))
+    flow, fluo = d.select("series", "us", F.lit(340.0).alias("flow")), d.select("series", "us", (F.col("depth") / 10).alias("fluo"))
+    return plankton.plankton_proxies(raw, flow, fluo, d.select("series", "us", "lat", "lon"), BY, stride=50)[0]
+
+
 CASES = {
+    "night_windows": lambda d, s: nights(d),
+    "select_nights": lambda d, s: signal.select_nights(d.select("series", "us", "idx"), nights(d), BY, "us"),
+    "midnights": lambda d, s: section.midnights(profiles(d).withColumn("us", F.col("us") + F.col("idx") * 600_000_000), BY, "us", "lon", "km"),
+    "log_ranges": lambda d, s: section.log_ranges(profiles(d), spans(d), BY, "us", "km"),
+    "grid_section": lambda d, s: section.grid_section(profiles(d), BY, "km", "depth", "profile", "value", 2.0),
+    "simplify": lambda d, s: section.simplify(d, BY, "idx", "lat", "depth", 0.5, 200),
+    "peaks": lambda d, s: signal.peaks_above(d.withColumn("level", F.lit(1.0)), BY, "idx", "value", "level"),
+    "latest_profile": lambda d, s: arrays.latest_profile(profiles(d), BY, "profile"),
+    "contains_event": lambda d, s: timejoin.contains_event(spans(d), d.where("idx % 150 = 7"), BY, "start", "end", "us", "held"),
+    "time_join": lambda d, s: timejoin.time_join(d.select("series", "idx", "us"), d.where("idx % 3 = 0").select("series", "us", "depth"), ["series", "us"]),
+    "axes_equal": lambda d, s: timejoin.axes_equal(d, d.withColumn("us", F.col("us") + 1), BY, "idx", "us"),
+    "nudge_positions": lambda d, s: positions.nudge_positions(d.select("series", "us", "lat", "lon"), fixes(d), BY)[0],
+    "nudge_summary": lambda d, s: positions.nudge_positions(d.select("series", "us", "lat", "lon"), fixes(d), BY)[1],
+    "correct_proxies": lambda d, s: plankton.correct_proxies(
+        proxies(d), profiles(d).select("series", "us", "depth", F.col("profile").alias("profile_number")), d.where("idx = 450").select("series", F.col("us").alias("at")), BY
+    ),
+    "plankton_proxies": lambda d, s: plankton_table(d),
     "intersect_indices": lambda d, s: clean.intersect_indices(d.withColumn("slot", F.floor(F.col("idx") / 2)).where("idx % 7 <> 0"), BY, "slot", "var"),
     "range_qc_drop": lambda d, s: clean.range_qc_drop(d, rules(s), [*BY, "us"], "var", "value"),
     "fix_lon_sign": lambda d, s: clean.fix_lon_sign(d, BY, "lon", ["idx"]),

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.ordered import join_back
+
 
 def expand(df: DataFrame, us: str, samples: str, rate: int, coeff: Column | None = None, offset_us: int = 0) -> DataFrame:
     """One row per sample of a per-second array, ``j / rate`` seconds after the row's time.
@@ -47,4 +49,4 @@ def concat_logs(logs: Sequence[DataFrame], by: Sequence[str], ts: str, seq: str,
 
 def latest_profile(df: DataFrame, by: Sequence[str], profile: str) -> DataFrame:
     last = df.groupBy(*by).agg(F.max(profile).alias(profile))
-    return df.join(last, [*by, profile], "left_semi")
+    return join_back(df, last, [*by, profile], "left_semi").select(df.columns)

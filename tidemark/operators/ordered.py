@@ -174,7 +174,9 @@ def join_back(df: DataFrame, other: DataFrame, on: Sequence[str], how: str = "in
     same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(o)) for k, o in own.items()))
     joined = df.join(other.withColumnsRenamed(own), same, how)
     more = [] if how in ("left_semi", "left_anti") else [c for c in other.columns if c not in own]
-    return joined.select(*own, *[c for c in df.columns if c not in own], *more)
+    # In a full join a key is on one side or equal on both.
+    keys = [F.coalesce(k, o).alias(k) if how == "full" else F.col(k) for k, o in own.items()]
+    return joined.select(*keys, *[c for c in df.columns if c not in own], *more)
 
 
 def scan(df: DataFrame, ax: Axis, **steps: Step) -> DataFrame:

@@ -78,7 +78,8 @@ def midnights(track: DataFrame, by: Sequence[str], us: str, lon: str, km: str, w
     by = list(by)
     day = 24 * HOUR
     offset = quantiles(track, by, lon, {"_lon": 0.5}).select(*by, (F.round(F.col("_lon") / 15) * HOUR).cast("bigint").alias("_off"))
-    span = track.groupBy(*by).agg(F.min(us).alias("_a"), F.max(us).alias("_b")).join(offset, by)
+    span = track.groupBy(*by).agg(F.min(us).alias("_a"), F.max(us).alias("_b"))
+    span = join_back(span, offset, by)
     first, last = F.floor((F.col("_a") + F.col("_off")) / day), F.floor((F.col("_b") + F.col("_off")) / day)
     days = span.select(*by, "_a", "_b", "_off", F.explode(F.sequence(first, last)).alias("_d"))
     marks = days.withColumn(us, F.col("_d") * day - F.col("_off")).where(F.col(us).between(F.col("_a"), F.col("_b")))
@@ -92,7 +93,7 @@ def log_ranges(track: DataFrame, logs: DataFrame, by: Sequence[str], us: str, km
     cells = F.sequence(F.floor(F.col("start") / width), F.floor(F.col("end") / width))
     placed = unique.withColumn("_cell", F.explode(cells))
     rows = track.select(*by, us, km, F.floor(F.col(us) / width).alias("_cell"))
-    inside = rows.join(placed, [*by, "_cell"]).where((F.col(us) >= F.col("start")) & (F.col(us) < F.col("end")))
+    inside = join_back(rows, placed, [*by, "_cell"]).where((F.col(us) >= F.col("start")) & (F.col(us) < F.col("end")))
     return inside.groupBy(*by, "label").agg(F.min_by(km, us).alias("start_km"), F.max_by(km, us).alias("end_km"))
 
 
@@ -127,7 +128,7 @@ def grid_section(
     )
     dx = (F.col("_x1") - F.col("_x0")) / (F.col("_nx") - 1)
     xi = F.floor((F.col(x) - F.col("_x0")) / F.nullif(dx, F.lit(0.0)) + 0.5)
-    placed = df.where(have).join(shape, by).select(
+    placed = join_back(df.where(have), shape, by).select(
         *by, value, F.coalesce(xi, F.lit(0)).alias("xi"), F.floor(F.col(depth) / step + 0.5).alias("zi"), "_bottom"
     )
     cells = durable(placed.groupBy(*by, "xi", "zi").agg(F.avg(value).alias(value), F.max("_bottom").alias("_bottom")))
@@ -189,7 +190,7 @@ def simplify(df: DataFrame, by: Sequence[str], idx: str, x: str, y: str, toleran
     rows = df.select(*by, idx, x, y)
     ends = rows.groupBy(*by).agg(F.min_by(point, idx).alias("a"), F.max_by(point, idx).alias("b"))
     kept = ends.select(*by, F.explode(F.array("a", "b")).alias("p"))
-    rows = rows.join(ends, by).where((F.col(idx) > F.col("a.i")) & (F.col(idx) < F.col("b.i")))
+    rows = join_back(rows, ends, by).where((F.col(idx) > F.col("a.i")) & (F.col(idx) < F.col("b.i")))
     gap = _gap(F.col(x), F.col(y), F.col("a.x"), F.col("a.y"), F.col("b.x"), F.col("b.y"))
     piece = [*by, "a", "b"]
 
@@ -200,7 +201,7 @@ def simplify(df: DataFrame, by: Sequence[str], idx: str, x: str, y: str, toleran
         far = rows.groupBy(*piece).agg(F.max_by(point, F.struct(gap.alias("g"), (-F.col(idx)).alias("i"))).alias("p"), F.max(gap).alias("g"))
         far = durable(far.where(F.col("g") > tolerance).drop("g"))
         kept = kept.union(far.select(*by, "p"))
-        parts = rows.join(far, piece).where(F.col(idx) != F.col("p.i"))
+        parts = join_back(rows, far, piece).where(F.col(idx) != F.col("p.i"))
         left = F.col(idx) < F.col("p.i")
         rows = durable(
             parts.withColumns({"_a": F.when(left, F.col("a")).otherwise(F.col("p")), "_b": F.when(left, F.col("p")).otherwise(F.col("b"))})

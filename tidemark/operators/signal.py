@@ -52,7 +52,7 @@ def peaks(df: DataFrame, by: Sequence[str], idx: str, x: str, width: float = 100
 def peaks_above(df: DataFrame, by: Sequence[str], idx: str, x: str, height: str, width: float = 100_000) -> DataFrame:
     """Rows of ``df`` that are peaks at least as high as their own ``height``."""
     found = peaks(df, by, idx, x, width).select(*by, idx)
-    return df.where(F.col(x) >= F.col(height)).join(found, [*by, idx], "left_semi")
+    return join_back(df.where(F.col(x) >= F.col(height)), found, [*by, idx], "left_semi").select(df.columns)
 
 
 # --- turning points -------------------------------------------------------------------------
@@ -304,7 +304,8 @@ def night_windows(sun: DataFrame, spans: DataFrame, by: Sequence[str], us: str,
         F.count(F.lit(1)).over(Window.partitionBy(*by)).alias("n"),
         F.lead("at").over(w).alias("next_at"),
         F.first("is_sunset").over(w).alias("first_set"),
-    ).join(spans, by)
+    )
+    nth = join_back(nth, spans, by)
     lead_in = (F.col("k") == 0) & ~F.col("first_set")
     shift = F.when(F.col("first_set"), 0).otherwise(1)
     pair = (F.col("k") >= shift) & ((F.col("k") - shift) % 2 == 0) & F.col("next_at").isNotNull()
@@ -318,7 +319,7 @@ def night_windows(sun: DataFrame, spans: DataFrame, by: Sequence[str], us: str,
         (lead_out & ~pair).alias("end_closed"),
     ).where(F.col("night_start").isNotNull())
     dark = sun.groupBy(*by).agg(F.bool_and(F.col("altitude") < 0).alias("_dark"), F.count_if("changes").alias("_n"))
-    whole = dark.where("_dark AND _n = 0").join(spans, by).select(
+    whole = join_back(dark.where("_dark AND _n = 0"), spans, by).select(
         *by, F.col("start").alias("night_start"), F.col("end").alias("night_end"), F.lit(True).alias("start_closed"), F.lit(True).alias("end_closed")
     )
     return windows.union(whole)

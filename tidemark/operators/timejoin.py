@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import HOUR, axis, latest, scan, upcoming
+from tidemark.operators.ordered import HOUR, axis, join_back, latest, scan, upcoming
 
 
 def _timeline(a: DataFrame, b: DataFrame, by: Sequence[str], ts: str, cols: Sequence[str], width: float) -> DataFrame:
@@ -89,7 +89,7 @@ def band_join(events: DataFrame, grid: DataFrame, by: Sequence[str], ts: str, se
     )
     celled = grid.withColumn("_cell", F.floor(F.unix_micros(ts) / F.lit(cell)))
     gap = F.abs(F.unix_micros(ts) - t)
-    return celled.join(placed, [*by, "_cell"]).where(gap <= reach).drop("_cell").withColumnRenamed("_event_ts", "event_ts")
+    return join_back(celled, placed, [*by, "_cell"]).where(gap <= reach).drop("_cell").withColumnRenamed("_event_ts", "event_ts")
 
 
 def segment_join(nav: DataFrame, fixes: DataFrame, by: Sequence[str], ts: str, cols: Sequence[str], width: float = HOUR) -> DataFrame:
@@ -108,8 +108,8 @@ def segment_join(nav: DataFrame, fixes: DataFrame, by: Sequence[str], ts: str, c
 
 
 def time_join(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of both series at exactly the same time."""
-    return a.join(b, list(on))
+    """Rows of both series at exactly the same time, the last of ``on``; rows without a time match nobody."""
+    return join_back(a.where(F.col(on[-1]).isNotNull()), b, on)
 
 
 def aligned(a: DataFrame, b: DataFrame, on: Sequence[str], how: str = "full") -> DataFrame:
@@ -152,7 +152,7 @@ def contains_event(intervals: DataFrame, events: DataFrame, by: Sequence[str], s
     )
     seen = scan(first, axis(by, "_at", 24 * HOUR), _next=upcoming(F.col("_event"), peers=True))
     starts = seen.where(F.col("_event").isNull()).select(*by, F.col("_at").alias(start), "_next")
-    return intervals.join(starts, [*by, start], "left").withColumn(name, F.coalesce(F.col("_next") <= F.col(end), F.lit(False))).drop("_next")
+    return join_back(intervals, starts, [*by, start], "left").withColumn(name, F.coalesce(F.col("_next").between(F.col(start), F.col(end)), F.lit(False))).select(*intervals.columns, name)
 
 
 def match_axis(variables: DataFrame, axes: DataFrame, by: Sequence[str], var: str = "var", name: str = "axis") -> DataFrame:
@@ -165,13 +165,13 @@ def match_axis(variables: DataFrame, axes: DataFrame, by: Sequence[str], var: st
     words = F.split(var, "_")
     lead = F.transform(F.sequence(F.lit(1), F.size(words)), lambda k: F.array_join(F.slice(words, 1, k), "_"))
     tried = variables.withColumn("_prefix", F.explode(lead))
-    hits = tried.join(prefixes, [*by, "_prefix"])
+    hits = join_back(tried, prefixes, [*by, "_prefix"])
     return hits.groupBy(*by, var).agg(F.max_by(name, F.struct(F.length("_prefix"), F.length(name) * -1)).alias(name))
 
 
 def axes_equal(a: DataFrame, b: DataFrame, by: Sequence[str], seq: str, t: str, rtol: float = 1e-10) -> DataFrame:
     """Whether two time axes have equal length and agree within a relative tolerance."""
-    pair = a.select(*by, seq, F.col(t).alias("_a")).join(b.select(*by, seq, F.col(t).alias("_b")), [*by, seq], "full")
+    pair = join_back(a.select(*by, seq, F.col(t).alias("_a")), b.select(*by, seq, F.col(t).alias("_b")), [*by, seq], "full")
     gap = F.abs(F.col("_a") - F.col("_b"))
     return pair.groupBy(*by).agg(
         F.max(gap).alias("max_gap"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import biology as bio
 from tidemark.operators import signal as sig
 from tidemark.operators.clean import default_flow, negative_to_null
-from tidemark.operators.ordered import HOUR, axis, row_index
+from tidemark.operators.ordered import HOUR, axis, join_back, row_index
 from tidemark.operators.resample import fill, on_grid, resample_mean
 from tidemark.operators.stats import profile_corr
 from tidemark.operators.timejoin import asof_nearest, contains_event
@@ -60,16 +60,18 @@ def plankton_proxies(
 
     def per_liter(rows: DataFrame, name: str) -> DataFrame:
         means = resample_mean(rows, by, "us", ["min_bg"], seconds, centred=False)
-        return means.join(flows, key, "left").select(*key, (F.col("min_bg") / F.col("flow") * per_litre).alias(name))
+        return join_back(means, flows, key, "left").select(*key, (F.col("min_bg") / F.col("flow") * per_litre).alias(name))
 
     sun = durable(sig.sun_events(positions, by, "us", "lat", "lon", stride, width))
     spans = positions.groupBy(*by).agg(F.min("us").alias("start"), F.max("us").alias("end"))
     nights = durable(sig.night_windows(sun, spans, by, "us"))
     night_bg = per_liter(sig.select_nights(env, nights, by, "us", width), "night_bg")
     whole = nights.groupBy(*by).agg(F.min("night_start").alias("_a"), F.max("night_end").alias("_b"))
-    lit = fluo.join(whole, by).where((F.col("us") > F.col("_a")) & (F.col("us") < F.col("_b")))
+    lit = join_back(fluo, whole, by).where((F.col("us") > F.col("_a")) & (F.col("us") < F.col("_b")))
     fluos = resample_mean(lit, by, "us", ["fluo"], seconds, centred=False).withColumn("fluo", negative_to_null(F.col("fluo")))
-    table = rates.join(intensity, key, "full").join(per_liter(env, "bg_biolume"), key, "full").join(night_bg, key, "full").join(fluos, key, "full")
+    table = rates
+    for part in (intensity, per_liter(env, "bg_biolume"), night_bg, fluos):
+        table = join_back(table, part, key, "full")
     return table.withColumns(bio.proxies(F.col("fluo"), F.col("night_bg"), ratio, cal)).drop("night_bg"), nights
 
 
@@ -103,7 +105,7 @@ def correct_proxies(
     spans = durable(contains_event(spans, sun, by, "start", "end", "at", "has_sun"))
     reach = int(minutes * 60 * 1_000_000)
     near = F.coalesce((F.col("us") > F.col("_d0") - reach) & (F.col("us") < F.col("_d1") + reach), F.lit(False))
-    rows = placed.join(spans.drop("start", "end"), key).withColumn("_near", near).drop("_d0", "_d1")
+    rows = join_back(placed.where(F.col("profile_number").isNotNull()), spans.drop("start", "end"), key).withColumn("_near", near).drop("_d0", "_d1")
     rich = deep & F.col("_near") & F.coalesce(F.col("adinos") > adinos_min, F.lit(False))
     counts = rows.groupBy(*key).agg(
         F.bool_or("has_sun").alias("_sun"),
@@ -113,7 +115,7 @@ def correct_proxies(
         F.max(F.when(rich, F.col("depth"))).alias("_bottom"),
     )
     counts = durable(counts)
-    upper = rows.join(counts.select(*key, "_bottom"), key).where(deep & F.col("_near") & (F.col("depth") <= F.col("_bottom")))
+    upper = join_back(rows, counts.select(*key, "_bottom"), key).where(deep & F.col("_near") & (F.col("depth") <= F.col("_bottom")))
     corr = profile_corr(upper, key, "fluo", "bg", kind).withColumnRenamed("r", "_corr")
     outcome = (
         F.when(F.col("_sun"), "sun_event")
@@ -123,9 +125,9 @@ def correct_proxies(
         .when(F.col("_rich") < least, "low_signal")
         .otherwise("corrected")
     )
-    judged = counts.join(corr, key, "left").select(*key, outcome.alias("outcome"), "_corr")
+    judged = join_back(counts, corr, key, "left").select(*key, outcome.alias("outcome"), "_corr")
     r = F.when(F.col("outcome") == "low_signal", F.lit(1.0)).when(F.col("outcome") == "corrected", F.col("_corr"))
     usable = F.when(F.col("_near"), r)
     fixed = bio.corrected(F.col("adinos"), F.col("diatoms"), F.col("hdinos"), F.col("_r"), floor)
-    done = rows.join(judged, key, "left").withColumn("_r", usable).withColumns(fixed)
+    done = join_back(rows, judged, key, "left").withColumn("_r", usable).withColumns(fixed)
     return done.withColumn("r", F.col("_r")).select(*proxies.columns, "depth", "profile_number", "outcome", "r")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.biology import drift_cm_per_s
-from tidemark.operators.ordered import HOUR
+from tidemark.operators.ordered import HOUR, join_back
 from tidemark.operators.timejoin import lerp, segment_join
 
 LONG_SEGMENT = 10
@@ -62,11 +62,11 @@ def nudge_positions(
         F.count_if(F.col("points") > LONG_SEGMENT).alias("segments"), F.sum("minutes").alias("minutes"), F.bool_or("too_far").alias("failed")
     )
     has_fix = gps.select(*by).distinct().withColumn("_fix", F.lit(True))
-    state = nav.select(*by).distinct().join(has_fix, by, "left").join(summary.select(*by, "failed"), by, "left")
+    state = join_back(join_back(nav.select(*by).distinct(), has_fix, by, "left"), summary.select(*by, "failed"), by, "left")
     status = F.when(F.col("_fix").isNull(), "no_fix").when(F.coalesce("failed", F.lit(False)), "failed").otherwise("nudged")
     state = state.select(*by, status.alias("status"))
     ramp = segments.select(*by, "seg_start", "first_us", "last_us", "lat_diff", "lon_diff")
-    moved = points.join(state.where("status = 'nudged'"), by).join(ramp, [*by, "seg_start"], "left")
+    moved = join_back(join_back(points, state.where("status = 'nudged'"), by), ramp, [*by, "seg_start"], "left")
     part, whole = F.col(us) - F.col("first_us"), F.col("last_us") - F.col("first_us")
     inner = F.col("seg_end").isNotNull() & F.col("lat_diff").isNotNull()
 
@@ -77,5 +77,5 @@ def nudge_positions(
 
     others = [c for c in nav.columns if c not in ("lat", "lon", *by)]
     nudged = moved.select(*by, *others, ramped("lat"), ramped("lon"), "status")
-    raw = nav.join(state.where("status <> 'nudged'"), by).select(*by, *others, "lat", "lon", "status")
+    raw = join_back(nav, state.where("status <> 'nudged'"), by).select(*by, *others, "lat", "lon", "status")
     return nudged.union(raw), summary

@@ -13,7 +13,7 @@ from tidemark.operators import section as sec
 from tidemark.operators import signal as sig
 from tidemark.operators.arrays import concat_logs
 from tidemark.operators.clean import clip_null, drop_garbled
-from tidemark.operators.ordered import Axis, axis, row_index
+from tidemark.operators.ordered import Axis, axis, join_back, row_index
 from tidemark.operators.resample import resample_mean
 from tidemark.operators.samples import sample_means
 from tidemark.operators.stats import ols
@@ -31,10 +31,10 @@ def particle_spectra(words: DataFrame, ax: Axis, frame: Column, interval: int =
     fields = words.withColumns(unpack_words(F.col("a"), F.col("b"), F.col("c"))).withColumn("_frame", frame).drop("a", "b", "c")
     fragments = pt.build_particles(fields, ax)
     starts = fragments.groupBy(*by, "particle").agg(F.min("_frame").alias("frame"))
-    attributes = durable(pt.particle_attributes(fragments, [*by, "particle"]).join(starts, [*by, "particle"]))
+    attributes = durable(join_back(pt.particle_attributes(fragments, [*by, "particle"]), starts, [*by, "particle"]))
     binned = attributes.withColumn("bin", pt.frame_bin("frame", interval))
     classes = pt.particle_classes(binned, [*by, "bin"])
-    stats = pt.bin_particles(attributes, by, "frame", interval).join(classes, [*by, "bin"])
+    stats = join_back(pt.bin_particles(attributes, by, "frame", interval), classes, [*by, "bin"])
     return stats, pt.size_histogram(binned, [*by, "bin"])
 
 

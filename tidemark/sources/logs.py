@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.clean import dedupe_names
-from tidemark.operators.ordered import HOUR, Axis, axis, latest, row_index, scan
+from tidemark.operators.ordered import HOUR, Axis, axis, join_back, latest, row_index, scan
 
 # Storage of the log types; every other type is an 8-byte float.
 TYPES = {"float": "<f4", "integer": "<i4", "short": "<i2"}
@@ -135,7 +135,7 @@ def bottle_events(lines: DataFrame, missions: DataFrame, by: Sequence[str], line
     number = F.coalesce(before, F.col("_number"))
     clears = is_timed | is_command | (is_finished & number.isNotNull())
     mark = F.when(clears, F.lit(-1.0)).otherwise(F.nullif(F.col("elapsed"), F.lit(0.0)))
-    timed = scan(named.withColumn("_mark", mark), ax, _last=latest(F.col("_mark"), inclusive=False)).join(missions, by)
+    timed = join_back(scan(named.withColumn("_mark", mark), ax, _last=latest(F.col("_mark"), inclusive=False)), missions, by)
     known = F.coalesce(F.nullif(F.col("elapsed"), F.lit(0.0)), F.nullif(F.col("_last"), F.lit(-1.0)))
     bottle = F.when(is_timed, F.col("timed")).when(is_finished, number).when(is_command & known.isNotNull(), F.col("command"))
     second = F.when(is_timed, F.col("timed_t")).when(is_finished, F.col("finished") + F.col("t0")).when(is_command, known + F.col("t0"))
@@ -173,11 +173,11 @@ def cartridge_events(lines: DataFrame, by: Sequence[str], line_no: str, line: st
         (F.col("level") != "INFO").cast("int").alias("rank"),
     )
     best = events.groupBy(*by, "kind").agg(F.min("rank").alias("rank"))
-    chosen = events.join(best, [*by, "kind", "rank"], "left_semi")
+    chosen = join_back(events, best, [*by, "kind", "rank"], "left_semi")
     ordered = row_index(chosen, Axis((*by, "kind"), (line_no,), width), "nth")
     starts = ordered.where("kind = 'start'").select(*by, "nth", "seconds")
     numbers = ordered.where("kind = 'number'").select(*by, "nth", "sample")
-    return starts.join(numbers, [*by, "nth"]).groupBy(*by, "sample").agg(F.max_by("seconds", "nth").alias("seconds"))
+    return join_back(starts, numbers, [*by, "nth"]).groupBy(*by, "sample").agg(F.max_by("seconds", "nth").alias("seconds"))
 
 
 def read_coefficients(lines: DataFrame, by: Sequence[str], line_no: str, line: str = "line") -> DataFrame:
