@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import ordered as o
-from tidemark.operators import particles, resample, signal, timejoin
+from tidemark.operators import particles, resample, section, signal, timejoin
 from tidemark.operators.clean import keep_monotonic
 
 
@@ -197,3 +197,10 @@ def test_trailing_envelope(spark):
     roll = got["x"].rolling(30, min_periods=1)
     low = roll.min().rolling(30, min_periods=1).mean()
     np.testing.assert_allclose(got["min_bg"], low, atol=1e-9)
+
+
+@pytest.mark.parametrize("step", [1, 7, 1000])
+def test_count_up_at_any_step(spark, step):
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate([0, 1, 6, 7, 8, 999, 1000, 1001, -3, None])], "i int, n bigint")
+    found = section.count_up(rows, F.col("n"), "k", step).groupBy("i").agg(F.count("k").alias("c"), F.min("k").alias("a"), F.max("k").alias("b")).collect()
+    assert {r.i: (r.c, r.a, r.b) for r in found} == {i: (n, 0, n - 1) for i, n in enumerate([0, 1, 6, 7, 8, 999, 1000, 1001]) if n}

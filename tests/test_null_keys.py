@@ -75,6 +75,8 @@ CASES = {
     "latest_profile": lambda d, s: arrays.latest_profile(profiles(d), BY, "profile"),
     "contains_event": lambda d, s: timejoin.contains_event(spans(d), d.where("idx % 150 = 7"), BY, "start", "end", "us", "held"),
     "time_join": lambda d, s: timejoin.time_join(d.select("series", "idx", "us"), d.where("idx % 3 = 0").select("series", "us", "depth"), ["series", "us"]),
+    "clock_sync": lambda d, s: clean.clock_sync(d, d.withColumn("us", F.col("us") + F.col("idx") % 3), BY, "idx", "us"),
+    "rate_per_km": lambda d, s: section.rate_per_km(profiles(d), BY, "us", "km", "idx"),
     "axes_equal": lambda d, s: timejoin.axes_equal(d, d.withColumn("us", F.col("us") + 1), BY, "idx", "us"),
     "nudge_positions": lambda d, s: positions.nudge_positions(d.select("series", "us", "lat", "lon"), fixes(d), BY)[0],
     "nudge_summary": lambda d, s: positions.nudge_positions(d.select("series", "us", "lat", "lon"), fixes(d), BY)[1],

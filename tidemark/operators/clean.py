@@ -234,7 +234,8 @@ def stride(df: DataFrame, ax: Axis, n: int) -> DataFrame:
 
 def clock_sync(a: DataFrame, b: DataFrame, by: Sequence[str], seq: str, t: str) -> DataFrame:
     """Compare two clocks sample by sample (seconds): share that differ, largest difference, grade."""
-    pair = a.select(*by, seq, F.col(t).alias("_a")).join(b.select(*by, seq, F.col(t).alias("_b")), [*by, seq])
+    numbered = a.where(F.col(seq).isNotNull()).select(*by, seq, F.col(t).alias("_a"))
+    pair = join_back(numbered, b.select(*by, seq, F.col(t).alias("_b")), [*by, seq])
     diff = F.abs(F.col("_a") - F.col("_b"))
     stats = pair.groupBy(*by).agg(
         (F.avg((diff > 0).cast("double")) * 100).alias("percent_diff"), F.max(diff).alias("max_diff")

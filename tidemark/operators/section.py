@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,18 @@ from tidemark.operators.timejoin import interp_join
 from tidemark.session import durable
 
 
+#: Rows that one row is exploded into at once.
+STEP = 1_000
+
+
+def count_up(df: DataFrame, n: Column, name: str, step: int = STEP) -> DataFrame:
+    """Each row ``n`` times, numbered from 0; in two steps, so that a large ``n`` makes no huge array."""
+    sized = df.withColumn("_n", n.cast("bigint")).where("_n > 0")
+    blocks = sized.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / step))))
+    inside = F.sequence(F.col("_b") * step, F.least((F.col("_b") + 1) * step, F.col("_n")) - 1)
+    return blocks.withColumn(name, F.explode(inside)).drop("_n", "_b")
+
+
 def fill_by_position(df: DataFrame, by: Sequence[str], idx: str, cols: Sequence[str], size: float = 100_000) -> DataFrame:
     """Linear fill over the row position, ends held."""
     steps = {}
@@ -100,10 +112,9 @@ def log_ranges(track: DataFrame, logs: DataFrame, by: Sequence[str], us: str, km
 def rate_per_km(track: DataFrame, by: Sequence[str], us: str, km: str, used: str, size: float = 1_000) -> DataFrame:
     """Use per kilometre: mean and last gradient on a grid of whole kilometres from the start."""
     by = list(by)
-    curve = track.groupBy(*by, km).agg(F.max_by(used, us).alias(used)).dropna()
+    curve = track.groupBy(*by, km).agg(F.max_by(used, us).alias(used)).dropna(subset=[km, used])
     ends = track.groupBy(*by).agg(F.min(km).alias("_a"), F.max(km).alias("_b"))
-    count = F.ceil(F.col("_b") - F.col("_a")).cast("bigint")
-    grid = ends.where(count > 0).select(*by, "_a", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)).alias("k"))
+    grid = count_up(ends.withColumnRenamed("_b", "_end"), F.ceil(F.col("_end") - F.col("_a")), "k")
     at = interp_join(grid.select(*by, "k", (F.col("_a") + F.col("k")).alias(km)), curve, by, km, [used], width=size)
     rates = gradient(durable(at), axis(by, "k", size), used, "_rate")
     return rates.where(F.col("_rate").isNotNull()).groupBy(*by).agg(F.avg("_rate").alias("mean_rate"), F.max_by("_rate", "k").alias("last_rate"))
@@ -133,7 +144,7 @@ def grid_section(
     )
     cells = durable(placed.groupBy(*by, "xi", "zi").agg(F.avg(value).alias(value), F.max("_bottom").alias("_bottom")))
     columns = cells.groupBy(*by, "xi").agg(F.max("_bottom").alias("_bottom"))
-    grid = columns.select(*by, "xi", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("_bottom") / step))).alias("zi"))
+    grid = count_up(columns, F.floor(F.col("_bottom") / step) + 1, "zi").select(*by, "xi", "zi")
     field = interp_join(grid, cells.drop("_bottom"), [*by, "xi"], "zi", [value], clamp=False, width=size)
     return field.withColumn("depth", F.col("zi") * step)
 
