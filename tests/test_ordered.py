@@ -147,3 +147,32 @@ def test_effective_in_any_chunks(spark, by, first_if_none):
     long = timejoin.effective(facts, dim, "at", "t", by, first_if_none, width=7)
     rows = lambda df: sorted(map(str, df.select("s", "at", "v").collect()))
     assert rows(short) == rows(long)
+
+
+def test_backward_frames_run_from_the_start(spark):
+    """A frame with an unbounded end is evaluated anew for every row; ties and gaps keep their order."""
+    rows = [(s, i // 3, i, v) for s in ("a", None) for i, v in enumerate([None, 5.0, None, 2.0, None, None, 7.0, 1.0, None, None])]
+    df = spark.createDataFrame(rows, "series string, t long, seq long, v double")
+    steps = {
+        "next": o.upcoming(F.col("v")),
+        "after": o.upcoming(F.col("v"), inclusive=False),
+        "least": o.running("min", F.col("v"), forward=False),
+        "rest": o.running("sum", F.col("v"), inclusive=False, forward=False),
+    }
+    for width in (1, 2, 100):
+        out = o.scan(df, o.axis("series", ["t", "seq"], width), **steps)
+        tied = o.scan(df, o.axis("series", "t", width), peer=o.upcoming(F.col("v"), peers=True))
+        for plan in (out, tied):
+            assert "unboundedfollowing" not in plan._jdf.queryExecution().analyzed().toString().lower()
+        for series in ("a", None):
+            own = [r for r in rows if r[0] == series]
+            mine = F.col("series").eqNullSafe(F.lit(series))
+            for r in out.where(mine).collect():
+                later = [x[3] for x in own[r.seq :] if x[3] is not None]
+                beyond = [x[3] for x in own[r.seq + 1 :] if x[3] is not None]
+                first = later[0] if later else None
+                assert (r.next, r.after, r.least, r.rest) == (first, beyond[0] if beyond else None, min(later, default=None), sum(beyond) if beyond else None)
+            for r in tied.where(mine).collect():
+                later = [x[3] for x in own if x[1] >= r.t and x[3] is not None]
+                at = {x[3] for x in own if x[1] == r.t and x[3] is not None}
+                assert r.peer in at if at else r.peer == (later[0] if later else None)

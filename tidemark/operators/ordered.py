@@ -124,15 +124,29 @@ def _local(step: Step, ax: Axis) -> Column:
     base = Window.partitionBy(*ax.keys).orderBy(*ax.order)
     if step.kind == "step":
         return (F.lag if step.forward else F.lead)(step.expr).over(base)
-    edge = 0 if step.inclusive else (-1 if step.forward else 1)
+    if not step.forward:
+        return _onward(step, ax)
+    edge = 0 if step.inclusive else -1
     between = base.rangeBetween if step.peers else base.rowsBetween
-    if step.forward:
-        frame = between(Window.unboundedPreceding, Window.currentRow if step.peers else edge)
+    frame = between(Window.unboundedPreceding, Window.currentRow if step.peers else edge)
+    if step.kind == "near":
+        return F.last(step.expr, ignorenulls=True).over(frame)
+    return getattr(F, step.kind)(step.expr).over(frame)
+
+
+def _onward(step: Step, ax: Axis) -> Column:
+    """A frame up to the end of the chunk, as a frame from the start over the rows in reverse.
+
+    Spark evaluates a frame with an unbounded end anew for every row, which is quadratic in the rows
+    of a chunk. ``_rn`` and ``_rank`` number the rows in order, so tied rows are reversed as well.
+    """
+    back = Window.partitionBy(*ax.keys)
+    if step.peers:
+        frame = back.orderBy(F.desc("_rank")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     else:
-        frame = between(Window.currentRow if step.peers else edge, Window.unboundedFollowing)
+        frame = back.orderBy(F.desc("_rn")).rowsBetween(Window.unboundedPreceding, 0 if step.inclusive else -1)
     if step.kind == "near":
-        pick = F.last if step.forward else F.first
-        return pick(step.expr, ignorenulls=True).over(frame)
+        return F.min_by(step.expr, F.when(step.expr.isNotNull(), F.col("_rn"))).over(frame)
     return getattr(F, step.kind)(step.expr).over(frame)
 
 
@@ -149,12 +163,11 @@ def _carry(step: Step, name: str, ax: Axis) -> Column:
     base = Window.partitionBy(*ax.by).orderBy(CHUNK)
     if step.kind == "step":
         return (F.lag if step.forward else F.lead)(name).over(base)
-    if step.forward:
-        frame = base.rowsBetween(Window.unboundedPreceding, -1)
-    else:
-        frame = base.rowsBetween(1, Window.unboundedFollowing)
+    # A chunk has one row of totals, so the reverse order is exact; see ``_onward``.
+    order = base if step.forward else Window.partitionBy(*ax.by).orderBy(F.desc(CHUNK))
+    frame = order.rowsBetween(Window.unboundedPreceding, -1)
     if step.kind == "near":
-        return (F.last if step.forward else F.first)(name, ignorenulls=True).over(frame)
+        return F.last(name, ignorenulls=True).over(frame)
     return getattr(F, step.kind)(name).over(frame)
 
 
@@ -193,7 +206,9 @@ def scan(df: DataFrame, ax: Axis, **steps: Step) -> DataFrame:
         marks["_head"] = F.lag(F.lit(1)).over(base).isNull()
     if any(s.kind == "step" and not s.forward for s in steps.values()):
         marks["_tail"] = F.lead(F.lit(1)).over(base).isNull()
-    rows = cut.withColumns({**{f"_l_{n}": _local(s, ax) for n, s in steps.items()}, **marks})
+    onward = any(s.kind != "step" and not s.forward for s in steps.values())
+    numbered = cut.withColumns({"_rn": F.row_number().over(base), "_rank": F.rank().over(base)}) if onward else cut
+    rows = numbered.withColumns({**{f"_l_{n}": _local(s, ax) for n, s in steps.items()}, **marks})
     totals = cut.groupBy(*ax.keys).agg(*[_total(s, ax).alias(f"_c_{n}") for n, s in steps.items()])
     carry = totals.select(*ax.keys, *[_carry(s, f"_c_{n}", ax).alias(f"_c_{n}") for n, s in steps.items()])
     same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in ax.keys])
