@@ -99,14 +99,24 @@ def midnights(track: DataFrame, by: Sequence[str], us: str, lon: str, km: str, w
 
 
 def log_ranges(track: DataFrame, logs: DataFrame, by: Sequence[str], us: str, km: str, width: int = 24 * HOUR) -> DataFrame:
-    """First and last kilometre inside ``[start, end)`` of each log; one log per label."""
+    """First and last kilometre inside ``[start, end)`` of each log; one log per label.
+
+    Both ends are looked up along the track, so a row is not copied to the logs it lies in, which
+    may overlap. Of rows at one time the first counts the smallest kilometre and the last the largest.
+    """
     by = list(by)
     unique = logs.groupBy(*by, "label").agg(F.min_by(F.struct("start", "end"), "position").alias("_l")).select(*by, "label", "_l.*")
-    cells = F.sequence(F.floor(F.col("start") / width), F.floor(F.col("end") / width))
-    placed = unique.withColumn("_cell", F.explode(cells))
-    rows = track.select(*by, us, km, F.floor(F.col(us) / width).alias("_cell"))
-    inside = join_back(rows, placed, [*by, "_cell"]).where((F.col(us) >= F.col("start")) & (F.col(us) < F.col("end")))
-    return inside.groupBy(*by, "label").agg(F.min_by(km, us).alias("start_km"), F.max_by(km, us).alias("end_km"))
+    whole = unique.where(F.col("start").isNotNull() & F.col("end").isNotNull())
+    marks = whole.select(*by, "label", F.explode(F.array(F.struct(F.col("start").alias("t"), F.lit(True).alias("s")), F.struct(F.col("end").alias("t"), F.lit(False).alias("s")))).alias("_m"))
+    marks = marks.select(*by, F.col("_m.t").alias(us), F.lit(0).alias("_side"), "label", F.col("_m.s").alias("_starts"), F.lit(True).alias("_mark"))
+    rows = track.where(F.col(us).isNotNull()).select(*by, us, F.lit(1).alias("_side"), km, F.struct(F.col(us).alias("t"), F.col(km).alias("km")).alias("_row"))
+    # A mark stands before the rows of its time: a row at the start is inside, one at the end is not.
+    line = rows.unionByName(marks, allowMissingColumns=True)
+    seen = scan(line, axis(by, [us, "_side", km], width), _first=upcoming(F.col("_row")), _last=latest(F.col("_row"))).where("_mark")
+    ends = seen.groupBy(*by, "label").agg(
+        F.max(F.when(F.col("_starts"), F.col("_first"))).alias("_a"), F.max(F.when(~F.col("_starts"), F.col("_last"))).alias("_b"), F.max(F.when(~F.col("_starts"), F.col(us))).alias("_end")
+    )
+    return ends.where(F.col("_a.t") < F.col("_end")).select(*by, "label", F.col("_a.km").alias("start_km"), F.col("_b.km").alias("end_km"))
 
 
 def rate_per_km(track: DataFrame, by: Sequence[str], us: str, km: str, used: str, size: float = 1_000) -> DataFrame:
