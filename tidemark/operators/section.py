@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.geo import utm_forward, utm_zone
-from tidemark.operators.ordered import HOUR, axis, join_back, latest, previous, quantiles, running, scan, upcoming
+from tidemark.operators.ordered import HOUR, axis, following, join_back, latest, previous, quantiles, running, scan, upcoming
 from tidemark.operators.resample import gradient
 from tidemark.operators.stats import ols
-from tidemark.operators.timejoin import interp_join
+from tidemark.operators.timejoin import interp_join, lerp
 from tidemark.session import durable
 
 
@@ -153,10 +153,17 @@ def grid_section(
         *by, value, F.coalesce(xi, F.lit(0)).alias("xi"), F.floor(F.col(depth) / step + 0.5).alias("zi"), "_bottom"
     )
     cells = durable(placed.groupBy(*by, "xi", "zi").agg(F.avg(value).alias(value), F.max("_bottom").alias("_bottom")))
-    columns = cells.groupBy(*by, "xi").agg(F.max("_bottom").alias("_bottom"))
-    grid = count_up(columns, F.floor(F.col("_bottom") / step) + 1, "zi").select(*by, "xi", "zi")
-    field = interp_join(grid, cells.drop("_bottom"), [*by, "xi"], "zi", [value], clamp=False, width=size)
-    return field.withColumn("depth", F.col("zi") * step)
+    # A cell yields the grid rows from its own depth to the next cell's, so the grid itself is never shuffled. A mark
+    # without a value above all cells of its column yields the rows down to the first.
+    tops = cells.groupBy(*by, "xi").agg((F.least(F.min("zi"), F.lit(0)) - 1).alias("zi"), F.max("_bottom").alias("_bottom"))
+    known = cells.where(F.col("zi").isNotNull()).unionByName(tops, allowMissingColumns=True)
+    near = scan(known, axis([*by, "xi"], "zi", size), _next=following(F.struct("zi", value)))
+    own, end = F.greatest(F.col("zi"), F.lit(0)), F.floor(F.col("_bottom") / step) + 1
+    pieces = near.withColumn("_own", own)
+    grid = count_up(pieces, F.least(F.coalesce(F.col("_next.zi"), end), end) - F.col("_own"), "_k").withColumn("_z", F.col("_own") + F.col("_k"))
+    inside = lerp(F.col(value), F.col(f"_next.{value}"), F.col("_z") - F.col("zi"), F.col("_next.zi") - F.col("zi"))
+    filled = F.when(F.col("_z") == F.col("zi"), F.col(value)).otherwise(inside)
+    return grid.select(*by, "xi", F.col("_z").alias("zi"), filled.alias(value)).withColumn("depth", F.col("zi") * step)
 
 
 def cross_calibrate(a: DataFrame, b: DataFrame, cell: Sequence[str], by: Sequence[str], x: str, y: str, log: bool = False) -> DataFrame:
