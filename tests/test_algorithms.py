@@ -94,6 +94,32 @@ def test_simplify(spark, size):
         assert set(out[out.s == s]["idx"]) == recursive_lines(p.tolist(), 1.0)
 
 
+def test_simplify_rounds(spark, monkeypatch):
+    """A long track that is split cycle by cycle from its ends takes few rounds, and equal points and gaps stay exact."""
+    n = np.arange(6000)
+    steps = np.c_[n * 0.1, np.round(25 - 25 * np.cos(2 * np.pi * n / 20) + n * 0.005, 6)]
+    tracks = {1: steps, 2: np.c_[np.repeat(n[:500], 2) * 1.0, np.tile([0.0, 5.0, 5.0, 0.0], 250)], 3: np.c_[n[:1800] * 0.1, np.zeros(1800)]}
+    rows = [(s, i * 7, float(x), float(y)) for s, p in tracks.items() for i, (x, y) in enumerate(p)]
+    written, plain = [], section.durable
+    monkeypatch.setattr(section, "durable", lambda df: written.append(1) or plain(df))
+    df = spark.createDataFrame(rows, "s int, idx long, x double, y double")
+    out = section.simplify(df, ["s"], "idx", "x", "y", 1.0, 1500).toPandas()
+    for s, p in tracks.items():
+        keep = section._split_points(p[:, 0], p[:, 1], 1.0)
+        assert sorted(out[out.s == s]["idx"] // 7) == keep.tolist()
+    assert len(written) < 50
+
+
+def test_outer_rows_hold_the_farthest():
+    rng = np.random.default_rng(8)
+    for k in range(200):
+        p = rng.normal(size=(60, 2)) if k % 2 else rng.integers(0, 6, (60, 2)).astype(float)
+        outer = np.flatnonzero(section._outer(p[:, 0], p[:, 1]))
+        turn = rng.uniform(0, 2 * np.pi)
+        far = p @ np.array([np.cos(turn), np.sin(turn)])
+        assert far.argmax() in outer and far.argmin() in outer
+
+
 def test_repair_counter(spark):
     good = [100 + 2 * i for i in range(400)]
     bad = list(good)

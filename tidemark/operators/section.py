@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.geo import utm_forward, utm_zone
-from tidemark.operators.ordered import HOUR, axis, following, join_back, latest, previous, quantiles, running, scan, upcoming
+from tidemark.operators.ordered import CHUNK, HOUR, axis, fit_width, fits, following, join_back, latest, previous, quantiles, running, scan, upcoming
 from tidemark.operators.resample import gradient
 from tidemark.operators.stats import ols
 from tidemark.operators.timejoin import interp_join, lerp
@@ -174,14 +175,15 @@ def cross_calibrate(a: DataFrame, b: DataFrame, cell: Sequence[str], by: Sequenc
     return ols(pairs, by, "_x", "_y")
 
 
-def _gap(x, y, ax, ay, bx, by_):
-    """Distance of a point to its chord; points behind the start of the chord do not count."""
-    length = F.sqrt((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay))
-    ux, uy = (F.coalesce(d / F.nullif(length, F.lit(0.0)), F.lit(0.0)) for d in (bx - ax, by_ - ay))
+def _gaps(x: np.ndarray, y: np.ndarray, ax: float, ay: float, bx: float, by: float) -> tuple[np.ndarray, np.ndarray]:
+    """How far points lie ahead of the start of a chord, and their distance; points behind it have none."""
+    length = np.hypot(bx - ax, by - ay)
+    ux, uy = ((bx - ax) / length, (by - ay) / length) if length else (0.0, 0.0)
     ahead = (x - ax) * ux + (y - ay) * uy
-    back = (x - bx) * -ux + (y - by_) * -uy
-    far2 = (x - bx) * (x - bx) + (y - by_) * (y - by_)
-    return F.when(ahead >= 0, F.when(back < 0, F.sqrt(far2)).otherwise(F.sqrt(F.abs(far2 - back * back))))
+    back = (x - bx) * -ux + (y - by) * -uy
+    far2 = (x - bx) ** 2 + (y - by) ** 2
+    gap = np.where(back < 0, np.sqrt(far2), np.sqrt(np.abs(far2 - back * back)))
+    return ahead, np.where(ahead >= 0, gap, 0.0)
 
 
 def _split_points(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
@@ -191,14 +193,7 @@ def _split_points(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
         a, b = todo.pop()
         if b - a < 2:
             continue
-        px, py = x[a + 1 : b], y[a + 1 : b]
-        length = np.hypot(x[b] - x[a], y[b] - y[a])
-        ux, uy = ((x[b] - x[a]) / length, (y[b] - y[a]) / length) if length else (0.0, 0.0)
-        ahead = (px - x[a]) * ux + (py - y[a]) * uy
-        back = (px - x[b]) * -ux + (py - y[b]) * -uy
-        far2 = (px - x[b]) ** 2 + (py - y[b]) ** 2
-        gap = np.where(back < 0, np.sqrt(far2), np.sqrt(np.abs(far2 - back * back)))
-        gap = np.where(ahead >= 0, gap, 0.0)
+        gap = _gaps(x[a + 1 : b], y[a + 1 : b], x[a], y[a], x[b], y[b])[1]
         if gap.max() > tolerance:
             split = a + 1 + int(gap.argmax())
             keep.add(split)
@@ -206,52 +201,150 @@ def _split_points(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
     return np.array(sorted(keep))
 
 
+def _outer(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether a point is on the convex hull of all, or so near that rounding could tell it farther from a chord.
+
+    Points strictly inside go, pass by pass; any that stay too long do no harm.
+    """
+    finite = np.flatnonzero(np.isfinite(x) & np.isfinite(y))
+    out = np.zeros(len(x), bool)
+    if not len(finite):
+        return out
+    order = finite[np.lexsort((y[finite], x[finite]))]
+    slack = 1e-9 * max(1.0, np.abs(y[order]).max())
+    out[order[(x[order] == x[order[0]]) | (x[order] == x[order[-1]])]] = True
+    for up in (1.0, -1.0):
+        left = order
+        for _ in range(64):
+            px, py = x[left], up * y[left]
+            wide = px[2:] - px[:-2]
+            inside = wide * (py[1:-1] - py[:-2]) - (py[2:] - py[:-2]) * (px[1:-1] - px[:-2]) < -slack * wide
+            if not inside.any():
+                break
+            left = left[np.r_[True, ~inside, True]]
+        out[left] = True
+    return out
+
+
+#: What became of a row of a long piece: in a short piece, waiting, in a fragment to load, kept.
+_SHORT, _WAIT, _LOAD, _KEPT = range(4)
+
+
+def _advance(i, x, y, w, blk, whole, a, b, tolerance: float, size: int) -> list[tuple]:
+    """Split a long piece as far as its rows can tell: ``state, start, end, positions`` of what it is cut into.
+
+    ``w`` adds up to the rows that a fragment stands for. A fragment of outer rows alone has its farthest row
+    if it is wholly ahead of the start of the chord; it is loaded if it isn't, or if it is to be split.
+    """
+    out, todo = [], [(0, len(i), a, b)]
+    while todo:
+        lo, hi, a, b = todo.pop()
+        if lo == hi:
+            continue
+        at = np.arange(lo, hi)
+        if w[lo:hi].sum() <= size:
+            out.append((_SHORT, a, b, at))
+            continue
+        ahead, gap = _gaps(x[lo:hi], y[lo:hi], a[1], a[2], b[1], b[2])
+        starts = np.flatnonzero(np.r_[True, blk[lo + 1 : hi] != blk[lo : hi - 1]])
+        margin = 1e-6 * max(1.0, np.hypot(b[1] - a[1], b[2] - a[2]))
+        cut = (np.fmin.reduceat(ahead, starts) < margin) & (np.fmax.reduceat(ahead, starts) >= -margin)
+        split = lo + int(gap.argmax())
+        load = cut & ~whole[lo:hi][starts]
+        if not load.any():
+            if not gap.max() > tolerance:
+                continue
+            if whole[split]:
+                p = (i[split], x[split], y[split])
+                out.append((_KEPT, a, b, at[split - lo : split - lo + 1]))
+                todo.append((lo, lo + int(np.searchsorted(i[lo:hi], p[0], "left")), a, p))
+                todo.append((lo + int(np.searchsorted(i[lo:hi], p[0], "right")), hi, p, b))
+                continue
+            load = blk[lo:hi][starts] == blk[split]
+        wanted = np.repeat(load, np.diff(np.r_[starts, hi - lo]))
+        out += [(_LOAD, a, b, at[wanted]), (_WAIT, a, b, at[~wanted])]
+    return out
+
+
 def simplify(df: DataFrame, by: Sequence[str], idx: str, x: str, y: str, tolerance: float, size: int = 50_000) -> DataFrame:
     """Douglas-Peucker: the rows of each track that keep it within ``tolerance``.
 
-    Pieces longer than ``size`` rows are split by one aggregation a round, all pieces of all tracks
-    at once; shorter ones are finished in one task each.
+    The farthest row from a chord is on the convex hull of its rows. So pieces longer than ``size`` rows are
+    split by the outer rows of their blocks, one task a piece; a block is loaded whole where a split falls into
+    it. A round goes on until a piece needs a block. Shorter pieces are finished in one task each.
     """
     by = list(by)
     key = [df.schema[c] for c in by]
+    rows = durable(df.select(*by, idx, x, y))
     point = F.struct(F.col(idx).alias("i"), F.col(x).alias("x"), F.col(y).alias("y"))
-    rows = df.select(*by, idx, x, y)
-    ends = rows.groupBy(*by).agg(F.min_by(point, idx).alias("a"), F.max_by(point, idx).alias("b"))
-    kept = ends.select(*by, F.explode(F.array("a", "b")).alias("p"))
-    rows = join_back(rows, ends, by).where((F.col(idx) > F.col("a.i")) & (F.col(idx) < F.col("b.i")))
-    gap = _gap(F.col(x), F.col(y), F.col("a.x"), F.col("a.y"), F.col("b.x"), F.col("b.y"))
-    piece = [*by, "a", "b"]
-
-    def longest(frame: DataFrame) -> int:
-        return frame.groupBy(*piece).count().agg(F.max("count")).first()[0] or 0
-
-    while longest(rows) > size:
-        far = rows.groupBy(*piece).agg(F.max_by(point, F.struct(gap.alias("g"), (-F.col(idx)).alias("i"))).alias("p"), F.max(gap).alias("g"))
-        far = durable(far.where(F.col("g") > tolerance).drop("g"))
-        kept = kept.union(far.select(*by, "p"))
-        parts = join_back(rows, far, piece).where(F.col(idx) != F.col("p.i"))
-        left = F.col(idx) < F.col("p.i")
-        rows = durable(
-            parts.withColumns({"_a": F.when(left, F.col("a")).otherwise(F.col("p")), "_b": F.when(left, F.col("p")).otherwise(F.col("b"))})
-            .select(*by, idx, x, y, F.col("_a").alias("a"), F.col("_b").alias("b"))
-        )
-
-    flat = rows.select(*by, idx, x, y, *[F.col(f"{e}.{f}").alias(f"{e}{f}") for e in "ab" for f in "ixy"])
+    ends = durable(rows.groupBy(*by).agg(F.min_by(point, idx).alias("a"), F.max_by(point, idx).alias("b"), F.count(F.lit(1)).alias("n")))
+    kept = ends.select(*by, F.explode(F.array("a", "b")).alias("p")).select(*by, "p.i", "p.x", "p.y")
+    span = [f"_{e}{f}" for e in "ab" for f in "ixy"]
+    spans = ends.select(*by, "n", *[F.col(f"{e}.{f}").alias(f"_{e}{f}") for e in "ab" for f in "ixy"])
+    inner = (F.col(idx) > F.col("_ai")) & (F.col(idx) < F.col("_bi"))
+    short = join_back(rows, spans.where(F.col("n") - 2 <= size).drop("n"), by).where(inner)
+    long = spans.where(F.col("n") - 2 > size).drop("n")
+    widest = long.agg(F.max(F.col("_bi") - F.col("_ai"))).first()[0]
+    if widest is not None:
+        block = max(8, size // 25)
+        cut = fit_width(join_back(rows, long, by, "left_semi"), axis(by, idx, widest + 1), 2 * block)
+        blocks = durable(cut.cut(join_back(rows, long, by)).where(inner))
+        kind = {"i": T.LongType(), "w": T.LongType(), CHUNK: T.LongType(), "whole": T.BooleanType(), "state": T.IntegerType()}
+        names = ["i", "x", "y", "w", CHUNK, "whole", "state", *span]
+        part = T.StructType([*key, *[T.StructField(c, kind.get(c, T.LongType() if c in ("_ai", "_bi") else T.DoubleType())) for c in names]])
+        whole = blocks.select(*by, F.col(idx).alias("i"), F.col(x).alias("x"), F.col(y).alias("y"), CHUNK, *span)
+
+        def outline(group: pd.DataFrame) -> pd.DataFrame:
+            group = group.sort_values("i", ignore_index=True)
+            held = _outer(group["x"].to_numpy(float), group["y"].to_numpy(float))
+            held[0] = True
+            out = group[held].copy()
+            out["w"] = np.r_[len(group), np.zeros(held.sum() - 1, "int64")]
+            return out.assign(whole=len(out) == len(group), state=_WAIT)[part.fieldNames()]
+
+        def advance(group: pd.DataFrame) -> pd.DataFrame:
+            group = group.sort_values("i", ignore_index=True)
+            a, b = (tuple(group[f"_{end}{c}"].iloc[0] for c in "ixy") for end in "ab")
+            cols = [group[c].to_numpy() for c in ("i", "x", "y", "w", CHUNK, "whole")]
+            pieces = []
+            for state, a, b, at in _advance(*cols, a, b, tolerance, size):
+                piece = group.iloc[at].assign(state=state, **dict(zip(span, (*a, *b))))
+                # All but one row of a fragment to load only tell that it is one.
+                pieces.append(piece.drop_duplicates(CHUNK) if state in (_LOAD, _SHORT) else piece)
+            return pd.concat(pieces)[part.fieldNames()] if pieces else group.iloc[:0][part.fieldNames()]
+
+        at = [*by, CHUNK]
+        waiting = durable(whole.groupBy(*at).applyInPandas(outline, part))
+        pieces = []
+        while True:
+            told = durable(waiting.groupBy(*by, "_ai", "_bi").applyInPandas(advance, part))
+            kept = kept.unionByName(told.where(F.col("state") == _KEPT).select(*by, "i", "x", "y"))
+            pieces.append(told.where(F.col("state") == _SHORT).select(*at, *span))
+            load = told.where(F.col("state") == _LOAD).select(*at, *span)
+            if load.isEmpty():
+                break
+            inside = (F.col("i") > F.col("_ai")) & (F.col("i") < F.col("_bi"))
+            loaded = join_back(whole.drop(*span), F.broadcast(load) if fits(load, 10_000) else load, at).where(inside)
+            loaded = loaded.withColumns({"w": F.lit(1).cast("bigint"), "whole": F.lit(True), "state": F.lit(_WAIT)})
+            waiting = told.where(F.col("state") == _WAIT).unionByName(loaded)
+        found = durable(reduce(DataFrame.unionByName, pieces))
+        short = short.unionByName(join_back(blocks.drop(*span), found, at).where(inner).drop(CHUNK))
+
     schema = T.StructType([*key, T.StructField("i", T.LongType()), T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
 
     def finish(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(idx)
         e = group.iloc[0]
-        i, px, py = (np.r_[e[f"a{n}"], group[c].to_numpy(), e[f"b{n}"]] for n, c in (("i", idx), ("x", x), ("y", y)))
+        i, px, py = (np.r_[e[f"_a{n}"], group[c].to_numpy(), e[f"_b{n}"]] for n, c in (("i", idx), ("x", x), ("y", y)))
         at = _split_points(px, py, tolerance)[1:-1]
         out = pd.DataFrame({"i": i[at].astype("int64"), "x": px[at], "y": py[at]})
         for c in by:
             out[c] = e[c]
         return out[schema.fieldNames()]
 
-    inner = flat.groupBy(*by, "ai", "bi").applyInPandas(finish, schema)
-    whole = kept.select(*by, "p.i", "p.x", "p.y").union(inner).distinct()
-    return whole.select(*by, F.col("i").alias(idx), F.col("x").alias(x), F.col("y").alias(y))
+    inner_kept = short.groupBy(*by, "_ai", "_bi").applyInPandas(finish, schema)
+    whole_kept = kept.union(inner_kept).distinct()
+    return whole_kept.select(*by, F.col("i").alias(idx), F.col("x").alias(x), F.col("y").alias(y))
 
 
 def with_distance_km(track: DataFrame, distance: str = "distance") -> DataFrame:
