@@ -217,3 +217,35 @@ def test_next_rows(spark):
     odd = [(5, "a"), (5, "a"), (5, "b"), (None, "n"), (9, None)]
     assert Counter(r.next_text for r in of(odd)) == Counter(t for _, t in odd)
     assert [r.next_text for r in of([(4, "alone")])] == ["alone"] and of([]) == []
+
+
+def around(spark, sets, percent=80):
+    """Pairs of ``around_pivots`` for one pivot, set 0, and all others apart."""
+    keys = [np.array(sorted(s), dtype=np.uint64) for s in sets]
+    own = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+    bits = neardup.parities(np.concatenate(keys), own, len(keys))
+    held = [(bytes([i]), k.astype(np.int64).tolist(), b.tolist()) for i, (k, b) in enumerate(zip(keys, bits))]
+    full = spark.createDataFrame(held, "cls binary, keys array<bigint>, parity array<bigint>")
+    star = spark.createDataFrame([(b"\0", bytes([i]), bytes([i])) for i in range(1, len(sets))], "pivot binary, cls binary, root binary")
+    return {(r.a[0], r.b[0]) for r in neardup.around_pivots(star, full, percent).collect()}
+
+
+def test_members_apart_make_few_rows(spark):
+    """Members that lack much the same of their pivot, but are not linked, make no rows by the square; no link is lost."""
+    draw = np.random.default_rng(3)
+    names = [int(k) for k in draw.integers(1, 2**62, 160)]
+    lack = [set(draw.choice(72, 36, replace=False)) for _ in range(40)]
+    lack += [(x - {min(x)}) | {71} for x in lack[:10]]
+    sets = [set(names)] + [{k for i, k in enumerate(names) if i not in x} for x in lack]
+    linked = {(i, j) for i in range(1, 51) for j in range(i + 1, 51) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    got = around(spark, sets)
+    assert len(linked) >= 10 and linked <= got
+    assert len(got) < 5 * len(linked)
+
+
+def test_parities_differ_no_more_than_sets():
+    draw = np.random.default_rng(5)
+    for n in (1, 40, 2000):
+        x, y = (np.unique(draw.integers(0, 3 * n, n).astype(np.uint64)) for _ in range(2))
+        a, b = neardup.parities(np.r_[x, y], np.repeat([0, 1], [len(x), len(y)]), 2)
+        assert sum(int(v).bit_count() for v in (a ^ b).view(np.uint64)) <= len(set(x.tolist()) ^ set(y.tolist()))

@@ -23,7 +23,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 from math import comb
 
 import numpy as np
@@ -38,6 +38,8 @@ from tidemark.session import durable
 WORDS = 5
 #: Length of a signature, hashes of a batch, and the miss probability of bands and of each decision.
 HASHES, BATCH, MISS = 252, 28, 1e-5
+#: Bits of a parity: how often a set falls on each, modulo two.
+BITS = 512
 #: Members of a bucket whose pairs are compared as they are, which is linear in the bucket rows.
 FEW = 8
 _FACTORS = np.random.Generator(np.random.PCG64(4)).integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -107,6 +109,16 @@ def minhash(keys: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return out
 
 
+def parities(keys: np.ndarray, own: np.ndarray, n: int) -> np.ndarray:
+    """``BITS`` parities of each of ``n`` sets, as longs.
+
+    The parities of two sets differ in no more bits than the sets differ in elements.
+    """
+    place = (keys * _FACTORS[0] >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)
+    odd = np.bincount(own * BITS + place, minlength=n * BITS).reshape(n, BITS) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view("<i8")
+
+
 def marks(df: DataFrame, text: str, doc: str) -> DataFrame:
     """``doc_id, n, cls, sig`` of every row; digest and signature are null for the empty set."""
 
@@ -135,7 +147,7 @@ def marks(df: DataFrame, text: str, doc: str) -> DataFrame:
 
 
 def sets(df: DataFrame, text: str) -> DataFrame:
-    """``cls, keys`` of every row with words: the digest and the whole set."""
+    """``cls, keys, parity`` of every row with words: the digest, the whole set and its parities."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,9 +157,10 @@ def sets(df: DataFrame, text: str) -> DataFrame:
                 edges = np.concatenate([[0], np.cumsum(n[n > 0])]).astype(np.int32)
                 digests = [hashlib.blake2b(keys[a:b].tobytes(), digest_size=16).digest() for a, b in zip(edges[:-1], edges[1:])]
                 held = pa.ListArray.from_arrays(pa.array(edges), pa.array(keys.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), held], ["cls", "keys"])
+                bits = pa.array(list(parities(keys, own, len(n))[n > 0]), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), held, bits], ["cls", "keys", "parity"])
 
-    return df.select(F.col(text).alias("t")).mapInArrow(run, "cls binary, keys array<bigint>")
+    return df.select(F.col(text).alias("t")).mapInArrow(run, "cls binary, keys array<bigint>, parity array<bigint>")
 
 
 def bands(classes: DataFrame, split: Banding) -> DataFrame:
@@ -181,7 +194,7 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def full_sets(cls: DataFrame, classes: DataFrame, df: DataFrame, text: str, doc: str) -> DataFrame:
-    """``cls, keys`` of the wanted classes, from the whole texts of their first documents."""
+    """``cls, keys, parity`` of the wanted classes, from the whole texts of their first documents."""
     ids = classes.join(cls, "cls", "left_semi").select("doc").distinct()
     texts = df.join(ids, F.col(doc).eqNullSafe(F.col("doc")), "left_semi")
     return sets(texts, text).join(cls, "cls", "left_semi").dropDuplicates(["cls"])
@@ -194,7 +207,8 @@ def linked(i: Column, sizes: Column, percent: int) -> Column:
 
 def confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets reach the threshold."""
-    both = pairs.join(full.toDF("a", "x"), "a").join(full.toDF("b", "y"), "b")
+    held = full.select("cls", "keys")
+    both = pairs.join(held.toDF("a", "x"), "a").join(held.toDF("b", "y"), "b")
     sized = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("i"), (F.size("x") + F.size("y")).alias("s"))
     return sized.where(linked(F.col("i"), F.col("s"), percent)).select("a", "b")
 
@@ -219,32 +233,34 @@ def around_pivots(star: DataFrame, sets_: DataFrame, percent: int) -> DataFrame:
     ``t >= (r + (1 - c) |dy|) / 2`` elements of their differences, with ``r = |dx| - c (|x| + |o|)``. If x isn't
     linked with o, r is above 0. So a member that is far from o shares ``r / (1 + c)`` with any other (as
     ``|dy| >= t``), and one that is near shares ``(1 - c) |dy| / 2`` with one that is far. With the elements in
-    one order, the rarest first, the first ones of both must meet, up to these bounds; edits of one copy
-    alone meet nobody. The join is on those elements, never on the pivot, and what follows a shared
-    element in both must be long enough for the pair's own bound: the first element they share always
-    passes. Its work, not its rows, can grow with the square of the members that are far from their
-    pivot, apart from each other, and lack or add the same.
+    one order, the first ones of both must meet, up to these bounds, and no others become rows. What a member
+    adds to its pivot, often its own edits alone, is first, what it lacks comes after. The join is on those
+    elements, never on the pivot. A pair becomes a row if what follows a shared element in both is long
+    enough for the pair's own bound (the first element they share always passes) and their parities differ
+    in no more bits than linked sets may. The work of that comparison, not its rows, can grow with the
+    square of the members that are far from their pivot, apart from each other, and lack or add the same.
     """
     c = (100 - percent) / (100 + percent)
+    held = sets_.select("cls", "keys", "parity")
     # The join by member comes last, so that the members of one pivot are spread when they are exploded.
-    both = star.join(sets_.toDF("pivot", "o"), "pivot").join(sets_.toDF("cls", "x"), "cls")
-    apart = F.concat(F.array_except("x", "o"), F.array_except("o", "x"))
-    sized = both.select("pivot", "cls", "root", apart.alias("d"), F.size("x").alias("nx"), F.size("o").alias("no"))
+    both = star.join(held.select(F.col("cls").alias("pivot"), F.col("keys").alias("o")), "pivot").join(held.withColumnRenamed("keys", "x"), "cls")
+    apart = F.concat(F.array_sort(F.array_except("x", "o")), F.array_sort(F.array_except("o", "x")))
+    sized = both.select("pivot", "cls", "root", apart.alias("d"), F.size("x").alias("nx"), F.size("o").alias("no"), "parity")
     n = F.size("d")
     far = (100 + percent) * n > (100 - percent) * (F.col("nx") + F.col("no"))
     shared = F.when(far, (n - c * (F.col("nx") + F.col("no"))) / (1 + c)).otherwise((1 - c) * n / 2)
     # The small amount keeps rounding from raising a bound.
     first = n - F.greatest(F.lit(1), F.ceil(shared - 1e-6)) + 1
-    rows = durable(sized.select("pivot", "cls", "root", far.alias("far"), first.alias("first"), "nx", n.alias("n"), F.explode("d").alias("e")))
-    often = rows.groupBy("pivot", "e").agg(F.count(F.lit(1)).alias("often"))
-    order = Window.partitionBy("pivot", "cls").orderBy("often", "e")
-    ranked = rows.join(often, ["pivot", "e"]).withColumn("nth", F.row_number().over(order))
-    ranked = durable(ranked.where((F.col("often") > 1) & (F.col("nth") <= F.col("first"))))
-    side = lambda k, name: [F.col(c).alias(f"{c}_{k}") for c in ("root", "n", "nx", "nth")] + [F.col("cls").alias(name)]
-    x, y = ranked.where("far").select("pivot", "e", *side("x", "a")), ranked.select("pivot", "e", *side("y", "b"))
-    most = 1 + F.least(F.col("n_x") - F.col("nth_x"), F.col("n_y") - F.col("nth_y"))
-    least = F.col("n_x") + F.col("n_y") - c * (F.col("nx_x") + F.col("nx_y"))
-    met = x.join(y, ["pivot", "e"]).where((F.col("a") != F.col("b")) & (F.col("root_x") != F.col("root_y")) & (2 * most >= least - 1e-6))
+    prefix = F.posexplode(F.slice("d", F.lit(1), first.cast("int"))).alias("nth", "e")
+    rows = durable(sized.where(n > 0).select("pivot", "cls", "root", far.alias("far"), "nx", n.alias("n"), "parity", prefix))
+    side = lambda k, name: [F.col(c).alias(f"{c}_{k}") for c in ("root", "n", "nx", "nth", "parity")] + [F.col("cls").alias(name)]
+    x, y = rows.where("far").select("pivot", "e", *side("x", "a")), rows.select("pivot", "e", *side("y", "b"))
+    most = F.least(F.col("n_x") - F.col("nth_x"), F.col("n_y") - F.col("nth_y"))
+    sizes = F.col("nx_x") + F.col("nx_y")
+    least = F.col("n_x") + F.col("n_y") - c * sizes
+    differ = reduce(Column.__add__, [F.bit_count(F.col("parity_x")[i].bitwiseXOR(F.col("parity_y")[i])) for i in range(BITS // 64)])
+    near = (2 * most >= least - 1e-6) & ((100 + percent) * differ <= (100 - percent) * sizes)
+    met = x.join(y, ["pivot", "e"]).where((F.col("a") != F.col("b")) & (F.col("root_x") != F.col("root_y")) & near)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
