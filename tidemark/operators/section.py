@@ -226,6 +226,8 @@ def _outer(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Fragments of a piece that are loaded along with the one to be split.
+AHEAD = 16
 #: What became of a row of a long piece: in a short piece, waiting, in a fragment to load, kept.
 _SHORT, _WAIT, _LOAD, _KEPT = range(4)
 
@@ -234,7 +236,8 @@ def _advance(i, x, y, w, blk, whole, a, b, tolerance: float, size: int) -> list[
     """Split a long piece as far as its rows can tell: ``state, start, end, positions`` of what it is cut into.
 
     ``w`` adds up to the rows that a fragment stands for. A fragment of outer rows alone has its farthest row
-    if it is wholly ahead of the start of the chord; it is loaded if it isn't, or if it is to be split.
+    if it is wholly ahead of the start of the chord; it is loaded if it isn't, or if it is to be split, along
+    with some that may be split next.
     """
     out, todo = [], [(0, len(i), a, b)]
     while todo:
@@ -260,7 +263,10 @@ def _advance(i, x, y, w, blk, whole, a, b, tolerance: float, size: int) -> list[
                 todo.append((lo, lo + int(np.searchsorted(i[lo:hi], p[0], "left")), a, p))
                 todo.append((lo + int(np.searchsorted(i[lo:hi], p[0], "right")), hi, p, b))
                 continue
-            load = blk[lo:hi][starts] == blk[split]
+            # Later splits often fall near this one or where the distance is almost as large.
+            high = np.maximum.reduceat(gap, starts)
+            near = np.abs(np.arange(len(starts)) - np.searchsorted(starts, split - lo, "right") + 1) <= 2
+            load = ~whole[lo:hi][starts] & (near | (high >= np.sort(high)[-AHEAD:][0]))
         wanted = np.repeat(load, np.diff(np.r_[starts, hi - lo]))
         out += [(_LOAD, a, b, at[wanted]), (_WAIT, a, b, at[~wanted])]
     return out
